@@ -12,7 +12,7 @@ Three rules:
                  record.
 
 The last two follow the order of arrival given by an ``arrival`` column on both sides (BIGINT, or a
-struct of integers); a customer record comes first on ties. Both run as windows per customer. Customers
+struct of BIGINTs); a customer record comes first on ties. Both run as windows per customer. Customers
 that hold a large share of the rows are cut into chunks of the order (see ``skew``); each chunk is
 one window group and learns what went before it from one summary row per chunk.
 """
@@ -93,13 +93,21 @@ def _hot_rows(log: DataFrame, hot: Profile) -> DataFrame:
     return log.filter(F.col("customer_id").isin(list(hot.chunks)))
 
 
-# Windows over chunk summaries: at most one row per chunk, and the chunks are bounded.
-_CHUNKS = Window.partitionBy("customer_id").orderBy("_chunk")
-_EARLIER = _CHUNKS.rowsBetween(Window.unboundedPreceding, -1)
-_EVERY = _CHUNKS.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def _chunk_windows():
+    """Windows over chunk summaries: at most one row per chunk, and the chunks are bounded."""
+    chunks = Window.partitionBy("customer_id").orderBy("_chunk")
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    every = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return chunks, earlier, every
 
 
 def asof(log: DataFrame, hot: Profile) -> DataFrame:
+    rows = asof_rows(log, hot).filter("cust IS NOT NULL")
+    return rows.select(*enriched(F.col("tx"), F.col("cust")))
+
+
+def asof_rows(log: DataFrame, hot: Profile) -> DataFrame:
+    """Each transaction with its customer record, null where the customer has none."""
     log, group = _chunked(log, hot)
     so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -114,6 +122,7 @@ def asof(log: DataFrame, hot: Profile) -> DataFrame:
     choice = [F.col("before"), F.col("first")]
     if not hot.empty:
         version = F.when(F.col("kind") == CUST, F.col("arrival"))
+        _, earlier, every = _chunk_windows()
         ends = (
             _hot_rows(log, hot)
             .groupBy("customer_id", "_chunk")
@@ -121,14 +130,13 @@ def asof(log: DataFrame, hot: Profile) -> DataFrame:
             .select(
                 "customer_id",
                 "_chunk",
-                F.last("last", True).over(_EARLIER).alias("earlier"),
-                F.first("first", True).over(_EVERY).alias("opening"),
+                F.last("last", True).over(earlier).alias("earlier"),
+                F.first("first", True).over(every).alias("opening"),
             )
         )
         rows = rows.join(F.broadcast(ends), ["customer_id", "_chunk"], "left")
         choice = [F.col("before"), F.col("earlier"), F.col("opening"), F.col("first")]
-    cust = F.coalesce(*choice)
-    return rows.select("tx", cust.alias("cust")).filter("cust IS NOT NULL").select(*enriched(F.col("tx"), F.col("cust")))
+    return rows.select("customer_id", "tx", F.coalesce(*choice).alias("cust"))
 
 
 def pair_buffer_states(log: DataFrame, hot: Profile) -> DataFrame:
@@ -150,6 +158,7 @@ def pair_buffer_states(log: DataFrame, hot: Profile) -> DataFrame:
     unpaired = (F.col("kind") == CUST) & (F.col("prev_kind").isNull() | (F.col("prev_kind") == CUST))
     if not hot.empty:
         place = F.struct("arrival", "kind")
+        chunks, earlier, every = _chunk_windows()
         ends = (
             _hot_rows(rows, hot)
             .groupBy("customer_id", "_chunk")
@@ -162,8 +171,8 @@ def pair_buffer_states(log: DataFrame, hot: Profile) -> DataFrame:
             )
             .select(
                 "*",
-                F.lag("tail").over(_CHUNKS).alias("before"),
-                F.last("last", True).over(_EARLIER).alias("earlier"),
+                F.lag("tail").over(chunks).alias("before"),
+                F.last("last", True).over(earlier).alias("earlier"),
             )
             .select(
                 "customer_id",
@@ -177,7 +186,7 @@ def pair_buffer_states(log: DataFrame, hot: Profile) -> DataFrame:
                         & (F.col("before").isNull() | (F.col("before.kind") == CUST)),
                         F.col("head.arrival"),
                     ).otherwise(F.col("inner"))
-                ).over(_EVERY).alias("from"),
+                ).over(every).alias("from"),
             )
         )
         head = F.col("prev_kind").isNull()
@@ -196,7 +205,11 @@ def pair_buffer_states(log: DataFrame, hot: Profile) -> DataFrame:
 
 
 def pair_buffer(log: DataFrame, hot: Profile) -> DataFrame:
-    rows = pair_buffer_states(log, hot)
+    return pairs(pair_buffer_states(log, hot))
+
+
+def pairs(rows: DataFrame) -> DataFrame:
+    """The pairs that leave the buffer, from the rows of ``pair_buffer_states``."""
     is_tx = F.col("kind") == TX
     leaves = (is_tx & F.col("keeps")) | (~is_tx & ~F.col("keeps"))
     return (

@@ -86,7 +86,7 @@ def profile(
     """Find the hot keys of a batch.
 
     A key is hot when it holds at least two of ``chunks`` equal parts of all rows (default: four
-    parts per shuffle partition). ``order`` is a BIGINT column, or a struct of integers; when given,
+    parts per shuffle partition). ``order`` is a BIGINT column, or a struct of BIGINTs; when given,
     the profile also holds the points that cut each hot key into even runs of that order. Inputs
     below ``min_bytes`` are not looked at: any single key of theirs fits a few tasks.
     """

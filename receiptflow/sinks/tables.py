@@ -1,12 +1,14 @@
 """Upserted tables as parquet files, for lakes and for runs without a database.
 
-Each micro-batch writes the last row per key to its own folder, named after the batch, so a retried
-batch replaces its own files and the write costs the size of the batch, not of the table. The table
-is the last row per key over all batches.
+Each micro-batch writes its own folder, named after the batch, so a retried batch replaces its own
+files and a write costs the size of the batch, not of the table. The table is the last row per key
+over all batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +16,31 @@ from receiptflow.operators.latest import latest_per_key
 from receiptflow.schemas import Record
 
 
-def upsert(record: Record, path: str):
-    """A ``foreachBatch`` function; rows carry the record's columns and an ``arrival``."""
+def append_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores each batch as it is."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def upsert(record: Record, path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for rows with the record's columns and an ``arrival``."""
+    store = append_batch(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*record.columns, "arrival").filter(f"{record.key} IS NOT NULL")
-        latest_per_key(rows, record.key, "arrival").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        store(latest_per_key(rows, record.key, "arrival"), batch_id)
 
     return write
 
 
+def read_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest state of rows that batches stored in update mode, each key once per batch."""
+    return latest_per_key(spark.read.parquet(path), keys, F.col("batch")).drop("batch")
+
+
 def read_table(spark: SparkSession, path: str, record: Record, view: str | None = None) -> DataFrame:
     """The table: across batches the later batch wins, within a batch the later arrival."""
     rows = spark.read.parquet(path).withColumn("_order", F.struct("batch", "arrival"))

@@ -126,25 +126,22 @@ class AsOf(_InOrder):
         self.pending = handle.getListState("pending", BODY, self.ttl_ms)
 
     def step(self, is_cust: np.ndarray, body: np.ndarray):
-        last = _last_before(is_cust)
+        fresh = body[is_cust]
         stored = self.customer.get()[0] if self.customer.exists() else None
-        cust = np.where(last >= 0, body[last], stored)
+        if stored is None and len(fresh) == 0:
+            self.pending.appendList([(text,) for text in body])
+            return [], []
         waiting = []
-        if stored is None:
-            # Nothing came before: the first record of this batch serves every earlier transaction.
-            if is_cust.any():
-                opening = body[is_cust][0]
-                cust = np.where(last >= 0, cust, opening)
-                if self.pending.exists():
-                    waiting = [row[0] for row in self.pending.get()]
-                    self.pending.clear()
-            else:
-                self.pending.appendList([(text,) for text in body])
-                return [], []
-        if is_cust.any():
-            self.customer.update((body[is_cust][-1],))
-        early = [body[is_cust][0]] * len(waiting)
-        return waiting + list(body[~is_cust]), early + list(cust[~is_cust])
+        if stored is None and self.pending.exists():
+            waiting = [row[0] for row in self.pending.get()]
+            self.pending.clear()
+        if len(fresh):
+            self.customer.update((fresh[-1],))
+        # Rows with no record before them take the stored one, else the first of this batch.
+        opening = fresh[0] if stored is None else stored
+        last = _last_before(is_cust)
+        cust = np.where(last >= 0, body[last], opening)[~is_cust]
+        return waiting + list(body[~is_cust]), [opening] * len(waiting) + list(cust)
 
 
 class PairBuffer(_InOrder):
@@ -164,7 +161,6 @@ class PairBuffer(_InOrder):
         keeps = np.logical_or.accumulate(is_cust & ~follows_tx)
         before = np.concatenate([[None], body[:-1]]).astype(object)
         leaves = is_cust != keeps
-        leaves[0] &= known is None and held is None
         tx = np.where(is_cust, before, body)[leaves]
         cust = np.where(is_cust, body, body[last])[leaves]
         if keeps[-1]:

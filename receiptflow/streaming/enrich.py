@@ -37,7 +37,8 @@ def enrich_stream(
     ``pair_buffer`` depends on every row before it and keeps one group per customer; for customers
     too hot for one task use ``streaming.batches``, which cuts them into chunks.
 
-    State never expires unless ``ttl`` (like "30 days") is given.
+    State never expires unless ``ttl`` (like "30 days") is given. With it Spark keeps running empty
+    micro-batches to expire state, so such a query does not end by itself under ``availableNow``.
     """
     processors = {"asof": AsOf, "pair_buffer": PairBuffer}
     if mode not in processors:

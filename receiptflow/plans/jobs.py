@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -21,22 +22,24 @@ INPUTS = (TRANSACTION, CUSTOMER, FRAUD_MARK)
 TABLES = (TRANSACTION, CUSTOMER, FRAUD_MARK, CUSTOMER_TRANSACTION)
 
 Sink = Callable[[DataFrame], DataStreamWriter]
+Batch = Callable[[DataFrame, int], None]
 
 
 @dataclass
 class Job:
     """What to run and where to put it.
 
-    ``topics`` gives the message stream of each input record; ``tables`` gives, per record, a
-    ``foreachBatch`` function that stores its rows; ``bad_messages``, if given, makes a writer for the
+    ``topics`` gives the message stream of each input record; ``enriched`` publishes a micro-batch of
+    enriched records; ``tables`` gives, per record, a function that stores a micro-batch of its rows
+    (both as for ``foreachBatch``); ``bad_messages``, if given, makes a writer for the
     messages of a table that do not decode, which otherwise stop the job.
     """
 
     checkpoints: str
     topics: dict[str, DataFrame]
-    enriched: Sink
+    enriched: Batch
     totals: Sink = console_sink
-    tables: dict[str, Callable[[DataFrame, int], None]] = field(default_factory=dict)
+    tables: dict[str, Batch] = field(default_factory=dict)
     bad_messages: Callable[[DataFrame, str], DataStreamWriter] | None = None
     window: str = "10 seconds"
     window_time: str = "event"
@@ -58,10 +61,9 @@ class Job:
                 writers[f"bad_{record.table}"] = self.bad_messages(bad(decoded).select("problem", "raw"), record.table)
         tx, customers = records[TRANSACTION.name], records[CUSTOMER.name]
         rows = enrich_stream(tx, customers, self.enrich_mode, self.salts)
-        records[CUSTOMER_TRANSACTION.name] = rows.withColumn("arrival", rows["tx_arrival"])
         writers["spend_per_window"] = self.totals(spend(tx, self.window_time, self.window, self.lateness))
-        writers[CUSTOMER_TRANSACTION.topic] = self.enriched(rows.select(*CUSTOMER_TRANSACTION.columns))
-        for record in TABLES:
+        writers[CUSTOMER_TRANSACTION.topic] = rows.writeStream.foreachBatch(self._publish)
+        for record in INPUTS:
             if record.name in self.tables:
                 writers[record.table] = records[record.name].writeStream.foreachBatch(self.tables[record.name])
         return {
@@ -72,6 +74,17 @@ class Job:
             for name, writer in writers.items()
         }
 
+    def _publish(self, batch: DataFrame, batch_id: int) -> None:
+        """Publish and store enriched records from one run of the stateful join."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.enriched(batch.select(*CUSTOMER_TRANSACTION.columns), batch_id)
+            if CUSTOMER_TRANSACTION.name in self.tables:
+                rows = batch.withColumnRenamed("tx_arrival", "arrival")
+                self.tables[CUSTOMER_TRANSACTION.name](rows, batch_id)
+        finally:
+            batch.unpersist()
+
 
 def kafka_job(
     spark: SparkSession,
@@ -87,7 +100,7 @@ def kafka_job(
     return Job(
         checkpoints=checkpoints,
         topics={r.name: kafka_source(spark, r.topic, servers, per_trigger=per_trigger) for r in INPUTS},
-        enriched=lambda rows: kafka_sink(rows, servers),
+        enriched=lambda batch, batch_id: kafka_sink(batch, servers).save(),
         tables={r.name: jdbc.upsert(r, target, r.table.lower()) for r in TABLES},
         **options,
     )

@@ -31,33 +31,36 @@ def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "
     if mode not in ("failfast", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     other = [c for c in df.columns if c != value]
-    # The generator keeps the later filters from being pushed into a second parse of the text.
     parsed = F.from_json("raw", T.MapType(T.StringType(), T.StringType()), STRICT_JSON)
-    messages = (
-        df.select(*other, F.col(value).cast("string").alias("raw"))
-        .select(*other, "raw", F.explode(F.array(parsed)).alias("_map"))
-        .filter("_map IS NOT NULL OR raw IS NULL OR trim(raw) <> 'null'")
-    )
     keys = F.map_keys("_map")
-    known = F.array(*[F.lit(name) for name in record.json_names])
-    strange = F.array_except(keys, known)
     repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    final = F.when(repeated, _last_wins("_map")).otherwise(F.col("_map"))
-    messages = messages.select(*other, "raw", strange.alias("_strange"), final.alias("_map"))
-    values = {f.column: _value(f) for f in record.fields}
-    checks = [
+    strange = F.array_except(keys, F.array(*[F.lit(name) for name in record.json_names]))
+    text = {f: f"_text_{f.column}" for f in record.fields}
+    typed = {f: f"_typed_{f.column}" for f in record.fields}
+    # Each step names what the next ones use more than once, so that it is worked out once. The two
+    # generators (of one row each) keep later filters from being pushed down into a second decoding.
+    messages = df.select(*other, F.col(value).cast("string").alias("raw"))
+    messages = messages.select(*other, "raw", F.explode(F.array(parsed)).alias("_map"))
+    messages = messages.filter("_map IS NOT NULL OR raw IS NULL OR trim(raw) <> 'null'")
+    messages = messages.withColumns({"_map": F.when(repeated, _last_wins("_map")).otherwise(F.col("_map")), "_strange": strange})
+    messages = messages.withColumns({text[f]: F.col("_map").getItem(f.json) for f in record.fields})
+    messages = messages.withColumns({typed[f]: _typed(f, F.col(text[f])) for f in record.fields})
+    problem = F.coalesce(
         F.when(F.col("_map").isNull(), "not a JSON object"),
         F.when(F.size("_strange") > 0, F.concat(F.lit("unknown field "), F.get("_strange", F.lit(0)))),
-    ] + [_check(f) for f in record.fields]
-    problem = F.coalesce(*checks)
+        *[F.when(_wrong(f, F.col(text[f]), F.col(typed[f])), f"bad value for {f.json}") for f in record.fields],
+    )
+    messages = messages.withColumn(PROBLEM, problem)
+    values = {f.column: _present(f, F.col(typed[f])) for f in record.fields}
     if mode == "quarantine":
-        kept = {c: F.when(problem.isNull(), v) for c, v in values.items()}
-        return messages.select(*other, *[v.alias(c) for c, v in kept.items()], problem.alias(PROBLEM), "raw")
-    what = F.concat(F.lit(f"bad {record.name} message, "), problem, F.lit(": "), F.coalesce("raw", F.lit("null")))
-    fail = F.raise_error(what)
-    # A filter, because column pruning could drop a column that raises.
-    checked = messages.filter(F.when(problem.isNotNull(), fail.cast("boolean")).otherwise(F.lit(True)))
-    return checked.select(*other, *[v.alias(c) for c, v in values.items()])
+        kept = [F.when(F.col(PROBLEM).isNull(), v).alias(c) for c, v in values.items()]
+        row = F.struct(*kept, PROBLEM)
+        return messages.select(*other, F.inline(F.array(row)), "raw")
+    what = F.concat(F.lit(f"bad {record.name} message, "), PROBLEM, F.lit(": "), F.coalesce("raw", F.lit("null")))
+    row = F.struct(*[v.alias(c) for c, v in values.items()])
+    # Raised inside the generator, which runs whichever columns are read.
+    checked = F.when(F.col(PROBLEM).isNull(), F.array(row)).otherwise(F.raise_error(what))
+    return messages.select(*other, F.inline(checked))
 
 
 def good(decoded: DataFrame) -> DataFrame:
@@ -80,47 +83,32 @@ def _last_wins(entries: str) -> Column:
     return F.map_from_arrays(keys, F.transform(keys, last_value))
 
 
-def _text(field: Field) -> Column:
-    return F.col("_map").getItem(field.json)
-
-
-def _filled(field: Field) -> Column:
-    """Text of a number or time: blank text and the word null mean absent, as null does."""
-    text = F.trim(_text(field))
-    return F.when((text != "") & (text != "null"), text)
-
-
-def _value(field: Field) -> Column:
+def _typed(field: Field, text: Column) -> Column:
+    """The value a text stands for; null if there is none or the text does not fit."""
     if isinstance(field.type, T.StringType):
-        return _text(field)
+        return text
     if isinstance(field.type, T.TimestampType):
-        text = _filled(field)
-        millis = F.timestamp_millis(F.when(text.rlike(r"^-?\d+$"), text.try_cast("bigint")))
-        iso = F.date_trunc("millisecond", F.when(text.rlike(ISO_TIME), text).try_cast("timestamp"))
+        iso = F.when(text.rlike(ISO_TIME), F.date_trunc("millisecond", text.try_cast("timestamp")))
+        millis = F.when(text.rlike(r"^-?\d+$"), F.timestamp_millis(text.try_cast("bigint")))
         return F.coalesce(iso, millis)
-    number = _filled(field).try_cast("double")
     if isinstance(field.type, T.IntegerType):
-        # Whole digits do not pass through double; try_cast is null outside the range of an int.
-        number = F.coalesce(_filled(field).try_cast("int"), number.try_cast("int"))
-    return F.coalesce(number, F.lit(0).cast(field.type))
+        # A fraction is cut off; outside the range of an int try_cast gives null.
+        return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+    return text.try_cast("double")
+
+
+def _present(field: Field, typed: Column) -> Column:
+    return typed if isinstance(field.type, (T.StringType, T.TimestampType)) else F.coalesce(typed, F.lit(0).cast(field.type))
 
 
-def _check(field: Field) -> Column:
-    """Null if the value fits the field, else what is wrong."""
-    text = _text(field)
+def _wrong(field: Field, text: Column, typed: Column) -> Column:
     if isinstance(field.type, T.StringType):
-        # Only text that starts like an object or list is looked at again, in the raw message.
+        # Only text that starts like an object or list is looked up again in the message.
         kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("raw"), f"$.{field.json}", "variant"))
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        wrong = F.when(text.rlike(r"^[{\[]"), nested).otherwise(F.lit(False))
-    elif isinstance(field.type, T.TimestampType):
-        wrong = _filled(field).isNotNull() & _value(field).isNull()
-    else:
-        number = _filled(field).try_cast("double")
-        if isinstance(field.type, T.IntegerType):
-            number = number.try_cast("int")
-        wrong = _filled(field).isNotNull() & number.isNull()
-    return F.when(wrong, F.lit(f"bad value for {field.json}"))
+        looks_nested = text.startswith("{") | text.startswith("[")
+        return F.when(looks_nested, kind.startswith("OBJECT") | kind.startswith("ARRAY")).otherwise(F.lit(False))
+    # Blank text and the word null stand for an absent number or time, as null does.
+    return typed.isNull() & text.isNotNull() & ~F.trim(text).isin("", "null")
 
 
 def encode(df: DataFrame, record: Record, times: str = "millis", key: str | None = None) -> DataFrame:

@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Column | str) -> DataFrame:
     """Keep, for each key, the row with the greatest ``order``.
 
-    An aggregate, not a ranking window: every map task sends at most one row per key, so a key that
-    holds a large share of the rows costs its reducer no more than one row per map task. ``order``
-    should have no ties; it may be a struct.
+    ``order`` should have no ties; it may be a struct. The filter on the first rank becomes a group
+    limit in front of the exchange: every map task sends at most one row per key, so a key that holds
+    a large share of the rows costs its reducer no more than one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    # A struct is never null, so a row whose order is null still counts (as the smallest).
-    rank = F.struct(F.col(order) if isinstance(order, str) else order)
-    kept = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order))
+    return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")

@@ -13,6 +13,7 @@ from receiptflow.functions.money import money_sum
 from receiptflow.operators import quality, reports
 from receiptflow.operators.enrich import enrich
 from receiptflow.operators.latest import latest_per_key
+from receiptflow.operators.skew import profile
 from receiptflow.operators.spend import spend
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
@@ -162,12 +163,17 @@ def _enriched(mode: str) -> Query:
     return query
 
 
+def _hot_customers(spark: SparkSession, sf_dir: str) -> list[str]:
+    return list(profile(tables.purchases(spark, sf_dir), "customer_id").chunks)
+
+
 def _enriched_stream(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = work_folder(spark, f"enrich-{mode}")
+        hot = _hot_customers(spark, sf_dir)
 
         def start(events: DataFrame):
-            rows = enrich_stream(tables.as_purchases(events), tables.as_signups(events), mode)
+            rows = enrich_stream(tables.as_purchases(events), tables.as_signups(events), mode, hot_keys=hot)
             return rows.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out")
 
         replay(tables.load(spark, sf_dir, "events"), "event_id", start, folder=folder)
@@ -196,9 +202,10 @@ def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream of enriched purchases stored as a table and asked in SQL."""
     folder = work_folder(spark, "enriched-table")
     write = table_sink.upsert(CUSTOMER_TRANSACTION, f"{folder}/out")
+    hot = _hot_customers(spark, sf_dir)
 
     def start(events: DataFrame):
-        rows = enrich_stream(tables.as_purchases(events), tables.as_signups(events))
+        rows = enrich_stream(tables.as_purchases(events), tables.as_signups(events), hot_keys=hot)
         return rows.withColumn("arrival", F.col("tx_arrival")).writeStream.foreachBatch(write)
 
     replay(tables.load(spark, sf_dir, "events"), "event_id", start, folder=folder)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from receiptflow.operators.enrich import CUST, enriched, interleave
+from receiptflow.operators.enrich import CUST, TX, enriched, interleave
 
 PAIR = T.StructType([T.StructField("tx", T.StringType()), T.StructField("cust", T.StringType())])
 BODY = T.StructType([T.StructField("body", T.StringType())])
+SLOT = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("body", T.StringType())])
 
 
 def enrich_stream(
@@ -33,7 +34,9 @@ def enrich_stream(
 
     With ``asof`` transactions do not affect each other, so those of one customer are spread over
     ``salts`` state groups and the customer's records are copied to each of them. If ``hot_keys`` is
-    given, only those customers are spread. Both are fixed for the life of a checkpoint.
+    given (``list(profile(past_transactions, "customer_id").chunks)`` finds them in stored data), only
+    those customers are spread, which saves the copies for all others. Both are fixed for the life of
+    a checkpoint.
     ``pair_buffer`` depends on every row before it and keeps one group per customer; for customers
     too hot for one task use ``streaming.batches``, which cuts them into chunks.
 
@@ -128,18 +131,19 @@ class AsOf(_InOrder):
 
     def step(self, is_cust: np.ndarray, body: np.ndarray):
         fresh = body[is_cust]
-        stored = self.customer.get()[0] if self.customer.exists() else None
+        stored = self.customer.get()
         if stored is None and len(fresh) == 0:
             self.pending.appendList([(text,) for text in body])
             return [], []
         waiting = []
-        if stored is None and self.pending.exists():
+        if stored is None:
             waiting = [row[0] for row in self.pending.get()]
-            self.pending.clear()
+            if waiting:
+                self.pending.clear()
         if len(fresh):
             self.customer.update((fresh[-1],))
         # Rows with no record before them take the stored one, else the first of this batch.
-        opening = fresh[0] if stored is None else stored
+        opening = fresh[0] if stored is None else stored[0]
         last = _last_before(is_cust)
         cust = np.where(last >= 0, body[last], opening)[~is_cust]
         return waiting + list(body[~is_cust]), [opening] * len(waiting) + list(cust)
@@ -147,28 +151,28 @@ class AsOf(_InOrder):
 
 class PairBuffer(_InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.customer = handle.getValueState("customer", BODY, self.ttl_ms)
-        self.transaction = handle.getValueState("transaction", BODY, self.ttl_ms)
+        # Never both: a transaction waits only while no customer record is stored.
+        self.slot = handle.getValueState("slot", SLOT, self.ttl_ms)
 
     def step(self, is_cust: np.ndarray, body: np.ndarray):
-        held = self.transaction.get()[0] if self.transaction.exists() else None
-        known = self.customer.get()[0] if self.customer.exists() else None
+        slot = self.slot.get()
         # A state is what one earlier row would have left behind, so it goes in front as that row.
-        if known is not None or held is not None:
-            is_cust = np.concatenate([[known is not None], is_cust])
-            body = np.concatenate([np.array([known if known is not None else held], dtype=object), body])
+        if slot is not None:
+            is_cust = np.concatenate([[slot[0] == CUST], is_cust])
+            body = np.concatenate([np.array([slot[1]], dtype=object), body])
         last = _last_before(is_cust)
         follows_tx = np.concatenate([[False], ~is_cust[:-1]])
         keeps = np.logical_or.accumulate(is_cust & ~follows_tx)
-        before = np.concatenate([[None], body[:-1]]).astype(object)
+        before = np.concatenate([np.array([None], dtype=object), body[:-1]])
         leaves = is_cust != keeps
         tx = np.where(is_cust, before, body)[leaves]
         cust = np.where(is_cust, body, body[last])[leaves]
         if keeps[-1]:
-            self.customer.update((body[last[-1]],))
-            self.transaction.clear()
-        elif is_cust[-1]:
-            self.transaction.clear()
+            left = (CUST, body[last[-1]])
         else:
-            self.transaction.update((body[-1],))
+            left = None if is_cust[-1] else (TX, body[-1])
+        if left is None:
+            self.slot.clear()
+        elif slot is None or left != tuple(slot):
+            self.slot.update(left)
         return list(tx), list(cust)

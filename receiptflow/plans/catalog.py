@@ -13,13 +13,13 @@ from receiptflow.functions.money import money_sum
 from receiptflow.operators import quality, reports
 from receiptflow.operators.enrich import enrich
 from receiptflow.operators.latest import latest_per_key
-from receiptflow.operators.skew import profile
+from receiptflow.operators.skew import Profile, profile
 from receiptflow.operators.spend import spend
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sources import tables
-from receiptflow.streaming.batches import enrich_batches
+from receiptflow.streaming.batches import enrich_batches, without_fraud
 from receiptflow.streaming.enrich import enrich_stream
 from receiptflow.streaming.replay import replay
 
@@ -129,6 +129,18 @@ def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_millis(_stored_transactions(spark, sf_dir))
 
 
+def _replay_lines(spark: SparkSession, sf_dir: str, start, folder: str) -> None:
+    lines = tables.load(spark, sf_dir, "lineitem")
+    replay(lines, "l_orderkey", lambda s: start(tables.as_transactions(s, spark, sf_dir)), folder=folder)
+
+
+def upsert_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "upsert-transactions")
+    write = table_sink.upsert(TRANSACTION, f"{folder}/out")
+    _replay_lines(spark, sf_dir, lambda tx: tx.writeStream.foreachBatch(write), folder)
+    return in_millis(table_sink.read_table(spark, f"{folder}/out", TRANSACTION))
+
+
 def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(tables.signups(spark, sf_dir), "customer_id", "arrival").drop("arrival")
 
@@ -149,7 +161,9 @@ def upsert_customers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(_stored_transactions(spark, sf_dir), tables.customers(spark, sf_dir), "current")
+    # Looking at the raw rows is cheaper than at the stored ones, which come out of a shuffle.
+    hot = profile(tables.transactions(spark, sf_dir), "customer_id")
+    return enrich(_stored_transactions(spark, sf_dir), tables.customers(spark, sf_dir), "current", hot)
 
 
 def enrich_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,10 +238,31 @@ def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = quality.drop_fraud(_stored_transactions(spark, sf_dir), tables.fraud_marks(spark, sf_dir))
+    # Stored transactions hold one row per receipt, so there is no hot receipt to look for.
+    clean = quality.drop_fraud(_stored_transactions(spark, sf_dir), tables.fraud_marks(spark, sf_dir), Profile())
     return in_millis(clean)
 
 
+def drop_fraud_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "drop-fraud")
+    write = without_fraud(lambda: tables.fraud_marks(spark, sf_dir), table_sink.append_batch(f"{folder}/out"))
+    _replay_lines(spark, sf_dir, lambda tx: tx.writeStream.foreachBatch(write), folder)
+    return in_millis(table_sink.read_table(spark, f"{folder}/out", TRANSACTION))
+
+
+def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which copy comes first is open, so only what all copies share is returned. The dates are in no
+    order, so the watermark must stay behind all of them."""
+    folder = work_folder(spark, "dedupe")
+
+    def start(tx: DataFrame):
+        first = quality.dedupe(tx, delay="36500 days").select("receipt_id", "customer_id")
+        return first.writeStream.format("parquet").option("path", f"{folder}/out")
+
+    _replay_lines(spark, sf_dir, start, folder)
+    return spark.read.parquet(f"{folder}/out")
+
+
 def monthly_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.monthly_spend(_stored_transactions(spark, sf_dir))
 
@@ -246,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "decode_quarantine": decode_quarantine,
     "encode_enriched": encode_enriched,
     "upsert_transactions": upsert_transactions,
+    "upsert_transactions_stream": upsert_transactions_stream,
     "upsert_customers": upsert_customers,
     "upsert_customers_stream": upsert_customers_stream,
     "upsert_fraud": upsert_fraud,
@@ -258,7 +294,9 @@ QUERIES: dict[str, Query] = {
     "enrich_pair_buffer_batches": _enriched_batches("pair_buffer"),
     "enriched_table": enriched_table,
     "dedupe_transactions": dedupe_transactions,
+    "dedupe_stream": dedupe_stream,
     "drop_fraud": drop_fraud,
+    "drop_fraud_stream": drop_fraud_stream,
     "monthly_spend": monthly_spend,
     "peak_hours": peak_hours,
 }

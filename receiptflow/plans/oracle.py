@@ -104,6 +104,11 @@ FROM pairs JOIN events t ON t.event_id = pairs.tx JOIN events c ON c.event_id =
 
 _LATEST_TX = f"WITH {_TX} SELECT {_TX_COLUMNS} FROM tx WHERE arrival_rank = 1"
 
+_WITHOUT_FRAUD = f"""
+WITH {_TX}, {_MARKS}
+SELECT {_TX_COLUMNS} FROM tx
+WHERE arrival_rank = 1 AND NOT EXISTS (SELECT 1 FROM marks WHERE marks.receipt_id = tx.receipt_id)"""
+
 ORACLE: dict[str, str] = {
     "spend_10s": _SPEND,
     "spend_10s_stream": _SPEND,
@@ -130,6 +135,7 @@ SELECT concat('receiptId,customerId,productId,productName,productPrice,productQu
        receipt_id, product_price, product_quantity, receipt_date_ms, name AS customer_name
 FROM tx JOIN cust USING (customer_id) WHERE arrival_rank = 1""",
     "upsert_transactions": _LATEST_TX,
+    "upsert_transactions_stream": _LATEST_TX,
     "upsert_customers": _SIGNUPS,
     "upsert_customers_stream": _SIGNUPS,
     "upsert_fraud": f"WITH {_MARKS} SELECT receipt_id, max(detected_ts_ms) AS detected_ts_ms FROM marks GROUP BY 1",
@@ -150,10 +156,9 @@ SELECT concat('u', c.user_id, '@example.org') AS customer_email, count(*) AS n,
 FROM pairs JOIN events t ON t.event_id = pairs.tx JOIN events c ON c.event_id = pairs.cust
 GROUP BY 1""",
     "dedupe_transactions": _LATEST_TX,
-    "drop_fraud": f"""
-WITH {_TX}, {_MARKS}
-SELECT {_TX_COLUMNS} FROM tx
-WHERE arrival_rank = 1 AND NOT EXISTS (SELECT 1 FROM marks WHERE marks.receipt_id = tx.receipt_id)""",
+    "dedupe_stream": f"WITH {_TX} SELECT receipt_id, customer_id FROM tx WHERE arrival_rank = 1",
+    "drop_fraud": _WITHOUT_FRAUD,
+    "drop_fraud_stream": _WITHOUT_FRAUD,
     "monthly_spend": f"""
 WITH {_TX}
 SELECT customer_id, CAST(year(receipt_date) AS INT) AS y, CAST(month(receipt_date) AS INT) AS m,

@@ -25,7 +25,10 @@ def instants(df: DataFrame) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as transactions. Receipts repeat; ``arrival`` orders their copies."""
-    lines = load(spark, sf_dir, "lineitem")
+    return as_transactions(load(spark, sf_dir, "lineitem"), spark, sf_dir)
+
+
+def as_transactions(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     grade = F.substring("o_orderpriority", 1, 1)

@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from receiptflow.operators.enrich import CUST, TX, asof_rows, enriched, interleave, pair_buffer_states, pairs
-from receiptflow.operators.skew import join_unique, profile
+from receiptflow.operators.latest import latest_per_key
+from receiptflow.operators.quality import drop_fraud
+from receiptflow.operators.skew import Profile, join_unique, profile
 
 Emit = Callable[[DataFrame, int], None]
 
@@ -29,7 +31,7 @@ def enrich_batches(
     """A writer that enriches each micro-batch and hands the rows to ``emit(rows, batch_id)``.
 
     ``emit`` must be safe to repeat for a batch, as a batch that fails half-way runs again. The state
-    left by batch n is kept in ``state_path/n``; folders older than the last two may be deleted.
+    left by batch n is kept in ``state_path/n`` until batch n + 2 has left its own.
     """
     steps = {"asof": _asof_step, "pair_buffer": _pair_buffer_step}
     step = steps[mode]
@@ -42,6 +44,8 @@ def enrich_batches(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             step(batch, before, lambda rows: emit(rows, batch_id), f"{state_path}/{batch_id}")
+            # Batch n may run again and needs the state of n - 1; nothing needs an older one.
+            _drop(spark, f"{state_path}/{batch_id - 2}")
         finally:
             batch.unpersist()
 
@@ -54,6 +58,25 @@ def _read_state(spark: SparkSession, path: str, schema: T.StructType, first: boo
     return spark.read.schema(schema).parquet(path)
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def without_fraud(marks: Callable[[], DataFrame], emit: Emit) -> Emit:
+    """A ``foreachBatch`` function that passes on transactions without a fraud mark.
+
+    ``marks`` reads the marks known by now. The last copy of each receipt in the batch goes on.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_per_key(batch, "receipt_id", "arrival")
+        # One row per receipt is left, so no receipt can be hot.
+        emit(drop_fraud(rows, marks(), Profile()), batch_id)
+
+    return write
+
+
 def _earliest(kind: T.DataType) -> Column:
     """An order value below any other: state counts as having arrived before the batch."""
     lowest = F.lit(-(2**63)).cast("bigint")

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .appName("receiptflow-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -121,12 +121,16 @@ def asof_rows(log: DataFrame, hot: Profile) -> DataFrame:
     ).filter(F.col("kind") == TX)
     choice = [F.col("before"), F.col("first")]
     if not hot.empty:
-        version = F.when(F.col("kind") == CUST, F.col("arrival"))
         _, earlier, every = _chunk_windows()
-        ends = (
-            _hot_rows(log, hot)
+        # Only the customer records are read for this, by far the smaller input.
+        found = (
+            _hot_rows(log.filter(F.col("kind") == CUST), hot)
             .groupBy("customer_id", "_chunk")
-            .agg(F.max_by("cust", version).alias("last"), F.min_by("cust", version).alias("first"))
+            .agg(F.max_by("cust", "arrival").alias("last"), F.min_by("cust", "arrival").alias("first"))
+        )
+        ends = (
+            hot.chunk_list(log.sparkSession, "customer_id")
+            .join(found, ["customer_id", "_chunk"], "left")
             .select(
                 "customer_id",
                 "_chunk",

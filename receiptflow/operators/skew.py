@@ -37,6 +37,12 @@ class Profile:
         schema = T.StructType([T.StructField("_hot", self.key_type), T.StructField("_salts", T.IntegerType())])
         return F.broadcast(spark.createDataFrame(list(self.chunks.items()), schema))
 
+    def chunk_list(self, spark: SparkSession, key: str) -> DataFrame:
+        """One row per chunk of each hot key."""
+        rows = [(k, i) for k, splits in self.splits.items() for i in range(len(splits) + 1)]
+        schema = T.StructType([T.StructField(key, self.key_type), T.StructField("_chunk", T.IntegerType())])
+        return spark.createDataFrame(rows, schema)
+
     def cuts(self, spark: SparkSession) -> DataFrame:
         """One row per hot key for ``add_chunk``; the splits lie in equal-width bins of the order."""
         rows = []

@@ -6,10 +6,12 @@ order of arrival; between micro-batches, in the order of the batches.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from receiptflow.operators.enrich import CUST, TX, enriched, interleave
 
 PAIR = T.StructType([T.StructField("tx", T.StringType()), T.StructField("cust", T.StringType())])
+# The processors travel to the workers whole, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BODY = T.StructType([T.StructField("body", T.StringType())])
 SLOT = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("body", T.StringType())])
 

@@ -19,7 +19,8 @@ def spend(
 
     ``time="event"`` cuts windows by ``receipt_date`` and gives the same answer on every replay;
     ``time="processing"`` cuts them by the moment a row is processed. Rows later than ``delay``
-    behind the newest receipt are dropped by the watermark when the input is a stream.
+    behind the newest receipt are dropped by the watermark when the input is a stream; rows without
+    ``receipt_date`` belong to no event-time window.
 
     Columns: customer_id, window_start, window_end, total, n.
     """

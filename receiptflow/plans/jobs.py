@@ -16,6 +16,7 @@ from receiptflow.session import prepare
 from receiptflow.sinks import jdbc
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import arrival, kafka_source
+from receiptflow.streaming.batches import enrich_batches
 from receiptflow.streaming.enrich import enrich_stream
 
 INPUTS = (TRANSACTION, CUSTOMER, FRAUD_MARK)
@@ -45,6 +46,7 @@ class Job:
     window_time: str = "event"
     lateness: str = "0 seconds"
     enrich_mode: str = "asof"
+    enrich_form: str = "state_store"  # or "batches", see streaming.batches
     salts: int = 8
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
 
@@ -60,9 +62,14 @@ class Job:
                 records[record.name] = good(decoded)
                 writers[f"bad_{record.table}"] = self.bad_messages(bad(decoded).select("problem", "raw"), record.table)
         tx, customers = records[TRANSACTION.name], records[CUSTOMER.name]
-        rows = enrich_stream(tx, customers, self.enrich_mode, self.salts)
+        if self.enrich_form == "batches":
+            state = f"{self.checkpoints}/enrich_state"
+            enriched = enrich_batches(tx, customers, self._publish, state, self.enrich_mode)
+        else:
+            rows = enrich_stream(tx, customers, self.enrich_mode, self.salts)
+            enriched = rows.writeStream.foreachBatch(self._publish)
         writers["spend_per_window"] = self.totals(spend(tx, self.window_time, self.window, self.lateness))
-        writers[CUSTOMER_TRANSACTION.topic] = rows.writeStream.foreachBatch(self._publish)
+        writers[CUSTOMER_TRANSACTION.topic] = enriched
         for record in INPUTS:
             if record.name in self.tables:
                 writers[record.table] = records[record.name].writeStream.foreachBatch(self.tables[record.name])

@@ -65,11 +65,16 @@ def merge_sql(record: Record, staging: str) -> str:
     )
 
 
+def _instance(spark: SparkSession, name: str):
+    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    return loader.loadClass(name).newInstance()
+
+
 def execute(spark: SparkSession, target: JdbcTarget, statement: str) -> None:
     """Run one statement on the database from the driver."""
     jvm = spark._jvm
-    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    driver = loader.loadClass(target.driver).getDeclaredConstructor([]).newInstance([])
+    # The session's own class loader, as the driver may have come with the job and not with Spark.
+    driver = _instance(spark, target.driver)
     login = jvm.java.util.Properties()
     login.setProperty("user", target.user)
     login.setProperty("password", target.password)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from receiptflow.plans import jobs
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, RECORDS, TRANSACTION
 from receiptflow.sinks import jdbc, tables
 from receiptflow.sinks.stream import kafka_sink, with_retries
@@ -89,6 +90,27 @@ def test_jdbc_options():
     assert options["dbtable"] == "Customer" and options["url"].startswith("jdbc:postgresql:")
 
 
+def test_driver_class_is_instantiated(spark):
+    assert jdbc._instance(spark, "java.util.Properties").size() == 0
+
+
+def test_kafka_job_is_wired(spark, tmp_path, monkeypatch):
+    created, read = [], []
+    monkeypatch.setattr(jdbc, "execute", None)
+    monkeypatch.setattr(jdbc, "ensure_tables", lambda _spark, _target, records: created.extend(r.table for r in records))
+
+    def source(_spark, topic, servers, per_trigger):
+        read.append((topic, servers, per_trigger))
+        return kafka_files(spark, str(tmp_path))
+
+    monkeypatch.setattr(jobs, "kafka_source", source)
+    job = jobs.kafka_job(spark, "b:9092", TARGET, "/checkpoints", per_trigger=7, window="1 minute")
+    assert created == ["Raw_Transactions", "Customer", "Fraud_Transactions", "Customer_Transactions"]
+    topics = ("transactions_topic", "customer_topic", "fraud_transactions_topic")
+    assert read == [(topic, "b:9092", 7) for topic in topics]
+    assert set(job.tables) == {r.name for r in RECORDS} and job.window == "1 minute"
+
+
 def test_retries(spark):
     calls = []
 

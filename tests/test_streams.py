@@ -14,6 +14,7 @@ from receiptflow.plans.jobs import INPUTS, TABLES, Job
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
 from receiptflow.sinks import tables as table_sink
+from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import kafka_files
 from receiptflow.streaming.metrics import PROGRESS, ProgressListener, observed, progress_rows
 from receiptflow.streaming.replay import catch_up, replay
@@ -136,7 +137,8 @@ def person(name, version):
     return {"customerId": name, "name": f"{name} {version}", "email": f"{name}@example.org", "birthdate": "1990-01-01"}
 
 
-def test_whole_job(spark, tmp_path):
+@pytest.mark.parametrize("form", ["state_store", "batches"])
+def test_whole_job(spark, tmp_path, form):
     """Two runs on the same checkpoints; the second goes on where the first stopped."""
     seen = []
     listener = ProgressListener(seen.append)
@@ -154,6 +156,7 @@ def test_whole_job(spark, tmp_path):
             totals=lambda df: df.writeStream.outputMode("update").foreachBatch(table_sink.append_batch(f"{tmp_path}/totals")),
             tables={r.name: table_sink.upsert(r, f"{tmp_path}/tables/{r.table}") for r in TABLES},
             bad_messages=lambda df, table: df.writeStream.format("parquet").option("path", f"{tmp_path}/bad/{table}"),
+            enrich_form=form,
             salts=2,
             trigger={"availableNow": True},
         )
@@ -206,6 +209,15 @@ def test_whole_job(spark, tmp_path):
     assert {row[0] for row in seen} >= {"spend_per_window", "Raw_Transactions"}
 
 
+def test_console_and_kafka_writers(spark, tmp_path):
+    spark.createDataFrame([sale("a", 1.0, 5)], SALE).write.parquet(f"{tmp_path}/in")
+    totals = spend(spark.readStream.schema(SALE).parquet(f"{tmp_path}/in"))
+    catch_up(console_sink(totals).queryName("shown"), f"{tmp_path}/c")
+    with pytest.raises(PySparkException, match="(?i)kafka"):  # there is no connector here
+        enriched = spark.createDataFrame([], CUSTOMER_TRANSACTION.schema)
+        kafka_sink(enriched, "b:9092").save()
+
+
 def test_bad_message_stops_the_job_without_dead_letters(spark, tmp_path):
     topic(spark, CUSTOMER, ["{broken"], 0).write.parquet(f"{tmp_path}/in")
     from receiptflow.sources.kafka import read_topic

@@ -11,8 +11,8 @@ def money_sum(amount: Column | str, exact: bool = True) -> Column:
 
     ``exact`` adds whole cents as BIGINT: the answer does not depend on the order of addition, so a
     retried task or another partitioning gives the same bits, and the partial aggregate keeps one
-    long per group. It suits amounts with at most two decimals, which is what the records carry.
-    ``exact=False`` adds the doubles as they are.
+    long per group. It suits amounts with at most two decimals, which is what the records carry, and
+    raises for amounts that do not fit a long. ``exact=False`` adds the doubles as they are.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
     if not exact:

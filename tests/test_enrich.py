@@ -227,6 +227,18 @@ def test_rows_without_customer_are_left_out(spark):
         assert pairs(enrich(make_tx(log), make_customers(log), mode)) == [("a", 4, 3)]
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_current_takes_the_latest_version(spark, salted):
+    events = random_events(6, 2000, tx_share=0.8) + [("nobody", 9000, "T")]
+    log = spark.createDataFrame(events, EVENT)
+    hot = profile(make_tx(log), "customer_id", chunks=30, min_bytes=0) if salted else Profile()
+    assert hot.empty != salted
+    latest = {k: seq for k, seq, kind in events if kind == "C"}
+    rows = enrich(make_tx(log), make_customers(log), "current", hot)
+    got = sorted((r.receipt_id, r.customer_id, r.customer_name) for r in rows.collect())
+    assert got == sorted((f"r{s}", k, f"v{latest[k]}") for k, s, kind in events if kind == "T" and k in latest)
+
+
 def test_unknown_mode(spark):
     log = spark.createDataFrame([("a", 1, "T")], EVENT)
     with pytest.raises(ValueError):

@@ -102,13 +102,18 @@ def _present(field: Field, typed: Column) -> Column:
 
 
 def _wrong(field: Field, text: Column, typed: Column) -> Column:
+    # What the field holds in the message itself; asked only where the text leaves it open.
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("raw"), f"$.{field.json}", "variant"))
     if isinstance(field.type, T.StringType):
-        # Only text that starts like an object or list is looked up again in the message.
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("raw"), f"$.{field.json}", "variant"))
         looks_nested = text.startswith("{") | text.startswith("[")
         return F.when(looks_nested, kind.startswith("OBJECT") | kind.startswith("ARRAY")).otherwise(F.lit(False))
     # Blank text and the word null stand for an absent number or time, as null does.
-    return typed.isNull() & text.isNotNull() & ~F.trim(text).isin("", "null")
+    unread = typed.isNull() & text.isNotNull() & ~F.trim(text).isin("", "null")
+    if isinstance(field.type, T.IntegerType):
+        # A fraction is cut off if it is a JSON number, but text must hold a whole number.
+        cut_off = typed.isNotNull() & text.try_cast("int").isNull()
+        return F.when(cut_off, F.coalesce(kind == "STRING", F.lit(False))).otherwise(unread)
+    return unread
 
 
 def encode(df: DataFrame, record: Record, times: str = "millis", key: str | None = None) -> DataFrame:

@@ -29,6 +29,9 @@ CASES = [
     ('{"productPrice":"1.5","productQuantity":"4"}', OK, {"product_price": 1.5, "product_quantity": 4}),
     ('{"productPrice":"","productQuantity":"null"}', OK, {"product_price": 0.0, "product_quantity": 0}),
     ('{"productQuantity":2.7}', OK, {"product_quantity": 2}),
+    ('{"productQuantity":"2.7"}', "bad value for productQuantity", None),
+    ('{"productQuantity":1e3}', OK, {"product_quantity": 1000}),
+    ('{"productQuantity":" 4 "}', OK, {"product_quantity": 4}),
     ('{"productQuantity":-2.7}', OK, {"product_quantity": -2}),
     ('{"productQuantity":2147483647}', OK, {"product_quantity": 2147483647}),
     ('{"productQuantity":3000000000}', "bad value for productQuantity", None),

@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from receiptflow.llm.text import Hashes, arrow, flat, joined, pieces, schema_of, starts
+from receiptflow.llm.text import Hashes, arrow, bounded, flat, joined, pieces, schema_of, starts
 from receiptflow.session import work_folder
 
 SHARD = schema_of("shard string, keys array<string>, lengths binary, terms binary, ends binary, positions binary")
 FOUND = schema_of("shard string, doc int, key string, n_words long, spans array<span>, items array<string>, near array<string>")
 #: Bytes of test text that one search task holds; larger benchmarks are searched block by block.
 BLOCK = 8 << 20
+#: Bytes of text, about, that a shard holds.
+SIZE = 4 << 20
 
 _kept = [i for i in range(256) if i >= 128 or chr(i).isascii() and chr(i).isalnum()]
 #: Word bytes, lower-cased; all else becomes a space.
@@ -40,7 +42,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 def index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = Hashes()
-    for rows, texts in pieces(batches):
+    for rows, texts in pieces(batches, size=SIZE):
         words = [hashes.of(words_of(text)) for text in texts]
         lengths = np.array([len(w) for w in words], np.int32)
         tokens = joined(words)
@@ -59,7 +61,7 @@ def build_index(docs: DataFrame, key: str = "doc_id") -> str:
     documents of their own.
     """
     path = work_folder(docs.sparkSession, "positions")
-    docs.select(F.col(key).cast("string").alias("_key"), "text").mapInArrow(index_shards, SHARD).write.parquet(path)
+    bounded(docs).select(F.col(key).cast("string").alias("_key"), "text").mapInArrow(index_shards, SHARD).write.parquet(path)
     return path
 
 

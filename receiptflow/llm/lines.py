@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.text import SPACE, arrow, pieces, plus, row_key, schema_of
+from receiptflow.llm.text import SPACE, arrow, bounded, pieces, plus, row_key, schema_of
 from receiptflow.session import work_folder
 
 COUNTS = schema_of("batch int, line binary, n long")
@@ -110,7 +110,7 @@ def common_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout:
     runs = Runs(spark, min_docs, fanout)
     counts = f"{runs.folder}/batches"
     number = F.pmod(F.monotonically_increasing_id(), F.lit(batches)).cast("int")
-    docs.select(number.alias("batch"), "text").mapInArrow(count_lines, COUNTS).write.partitionBy("batch").parquet(counts)
+    bounded(docs).select(number.alias("batch"), "text").mapInArrow(count_lines, COUNTS).write.partitionBy("batch").parquet(counts)
     rows = spark.read.schema("line binary, n long, batch int").parquet(counts)
     for batch in range(batches):
         runs.add(rows.where(F.col("batch") == batch).select("line", "n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, rules
+from receiptflow.llm import decontam, lines, neardup, rules
 from receiptflow.llm.text import table
 
 
@@ -13,6 +13,13 @@ def digest(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles are similar to 0.75 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = neardup.near_duplicates(docs)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents, dropped everywhere."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +45,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_near_dedup": op4_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from receiptflow.llm.text import SPACE, Hashes, arrow, flat, joined, mix, pieces, plus, starts, windows
+from receiptflow.llm.text import SPACE, Hashes, arrow, bounded, flat, joined, mix, pieces, plus, starts, windows
 from receiptflow.session import work_folder
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
@@ -103,7 +103,7 @@ def measure(schema: T.StructType):
 def document_stats(docs: DataFrame) -> DataFrame:
     """``docs`` and the counts and statistics of each row; columns of these names are replaced."""
     schema = plus(docs.schema, STATS)
-    return docs.mapInArrow(measure(schema), schema)
+    return bounded(docs).mapInArrow(measure(schema), schema)
 
 
 def distances(x: np.ndarray, n: np.ndarray, mean: np.ndarray, cov: np.ndarray, noise: float) -> np.ndarray:

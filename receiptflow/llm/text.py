@@ -13,7 +13,15 @@ from pyspark.sql import types as T
 
 #: What ``bytes.split`` and ``bytes.strip`` take as white space: x20 and x09 to x0D.
 SPACE = b" \t\n\x0b\x0c\r"
-PIECE = 4 << 20
+PIECE = 1 << 20
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, after its session was told to send texts to Python in batches of bounded size."""
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return docs
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = PIECE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -28,6 +36,8 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int =
             total += len(texts[-1])
         if texts:
             yield batch.slice(start), texts
+        del texts
+        pa.default_memory_pool().release_unused()
 
 
 def arrow(columns: dict, schema: T.StructType) -> pa.RecordBatch:
@@ -67,7 +77,7 @@ def plus(schema: T.StructType, ddl: str) -> T.StructType:
 class Hashes(dict):
     """64-bit hashes of words, the same on every worker; remembers words up to a bound."""
 
-    def __init__(self, bound: int = 200_000):
+    def __init__(self, bound: int = 100_000):
         super().__init__()
         self.bound = bound
 

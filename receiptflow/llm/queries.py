@@ -5,14 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, neardup, rules
+from receiptflow.llm import decontam, lines, neardup, quality, rules, toxicity
 from receiptflow.llm.text import table
+from receiptflow.llm.training import held_out
 
 
 def digest(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def predictions(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry scores of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return predictions(quality.score(docs, model), quality.AT_THRESHOLD)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the string-kernel machine."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return predictions(toxicity.score(docs, machine), 0.5)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles are similar to 0.75 or more."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +64,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_ranking": op2_quality_ranking,
+    "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,

@@ -6,14 +6,14 @@ one; so ``idxiot`` is near ``idiot``. Chunks are words in lower case without pun
 read as the letters they stand for, and runs of single letters read as one word.
 
 Chunks are counted in distinct labelled sentences, which take their documents' labels. Those that
-stand out in toxic sentences, also with one character put in, are the positive examples, all others
-negative ones. Landmark chunks span the kernel (Nyström): a chunk's vector is its similarity to each
+stand out in toxic sentences, also with one character put in, are positive examples, the others
+negative ones; one machine learns clear insults, one learns weaker signs. Landmark chunks span the kernel (Nyström): a chunk's vector is its similarity to each
 landmark, times the inverse root of the landmarks' own similarities, and a linear machine with
 squared hinge loss is fitted there. As similarity is linear in the weighted subsequences, the
 machine becomes one weight for each subsequence.
 
-A document's score is a logistic function of its four worst chunks, the number of suspicious ones and
-its length, fitted on the labelled documents: one clear insult or several weaker signs.
+A document's score is a logistic function of both machines' four worst decisions and numbers of
+suspicious chunks, and of the length, fitted on the labelled documents: one clear insult or several weaker signs.
 """
 
 from __future__ import annotations
@@ -42,7 +42,9 @@ POSITIVE, SEEN, NEGATIVE, LANDMARKS = 64, 20_000, 1500, 192
 WORST = 4
 #: Log-likelihood ratio from which a chunk stands out in toxic sentences.
 STANDS_OUT = 12.0
-RIDGE = 0.01
+#: Insults are clear from this share of the greatest ratio.
+CLEAR = 0.3
+RIDGE = 0.03
 #: Longer chunks are cut into windows of this width, half a width apart.
 WIDTH = 32
 
@@ -95,12 +97,11 @@ def with_insertions(chunk: bytes) -> list[bytes]:
 class Machine:
     """One weight for each subsequence."""
 
-    def __init__(self, positive: list[bytes], evidence: list[float], negative: list[bytes]):
+    def __init__(self, positive: list[bytes], negative: list[bytes]):
         self.usable = bool(positive) and bool(negative)
         if not self.usable:
             return
         gapped = [v for p in positive for v in with_insertions(p)]
-        weight = np.array(evidence + [e / len(p) for p, e in zip(positive, evidence, strict=True) for _ in with_insertions(p)])
         good = [weights_of(coded(c)) for c in positive + gapped]
         table = np.zeros((len(positive), SIGMA**3), np.float32)
         for i in range(len(positive)):
@@ -116,7 +117,7 @@ class Machine:
         root = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
         z = similarities(good + bad, table) @ root
         y = np.array([1.0] * len(good) + [-1.0] * len(bad))
-        cost = np.append(weight / weight.sum(), np.full(len(bad), 1 / len(bad))) * len(y) / 2
+        cost = np.where(y > 0, 1 / len(good), 1 / len(bad)) * len(y) / 2
         w, shift = np.zeros(z.shape[1]), 0.0
         ones = np.concatenate([z, np.ones((len(z), 1))], axis=1)
         ridge = RIDGE * np.eye(ones.shape[1])
@@ -130,8 +131,10 @@ class Machine:
         self.weights = ((root @ now[:-1]) @ table).astype(np.float32)
 
     def decide(self, some: list[bytes]) -> list[float]:
-        """The machine's decision for each chunk; ``FLOOR`` for those that can't be above zero."""
+        """The machine's decision for each chunk; ``FLOOR`` for those that can't be above zero, and for all without examples."""
         out = [FLOOR] * len(some)
+        if not self.usable:
+            return out
         sized: dict[int, list[tuple[int, bytes]]] = {}
         for i, chunk in enumerate(some):
             plain = b"\x1b" + spelled(chunk).translate(CODES) + b"\x1c"
@@ -156,6 +159,14 @@ class Machine:
                 out[found[at][0]] = max(out[found[at][0]], value)
         return out
 
+
+class Judge:
+    """Two machines, for clear insults and for weaker signs, and the logistic function of a document's signs."""
+
+    def __init__(self, clear: list[bytes], weak: list[bytes], negative: list[bytes]):
+        self.machines = [Machine(clear, weak + negative), Machine(weak, negative)]
+        self.usable = self.machines[0].usable
+
     def calibrate(self, x: np.ndarray, label: np.ndarray) -> None:
         """Fit the logistic function of the documents' signs."""
         self.middle, self.scale = x.mean(0), x.std(0) + 1e-6
@@ -177,30 +188,31 @@ class Machine:
 class Reader:
     """The signs of documents; remembers the suspicious chunks it has met, and that others are not."""
 
-    def __init__(self, machine: Machine, bound: int = 200_000):
-        self.machine, self.bound = machine, bound
+    def __init__(self, machines: list[Machine], bound: int = 200_000):
+        self.machines, self.bound = machines, bound
         self.seen: set[bytes] = set()
-        self.hot: dict[bytes, float] = {}
+        self.hot: list[dict[bytes, float]] = [{} for _ in machines]
 
     def signs(self, texts: list[bytes]) -> np.ndarray:
         found = [chunks(text) for text in texts]
         if len(self.seen) > self.bound:
-            self.seen, self.hot = set(), {}
+            self.seen, self.hot = set(), [{} for _ in self.machines]
         new = list(set().union(*found) - self.seen)
-        values = self.machine.decide(new)
-        self.hot.update((c, v) for c, v in zip(new, values, strict=True) if v > 0)
         self.seen.update(new)
-        out = np.zeros((len(texts), WORST + 2))
-        for row, own in zip(out, found, strict=True):
-            hot = sorted((self.hot[c] for c in own if c in self.hot), reverse=True)
-            row[: min(WORST, len(hot))] = hot[:WORST]
-            row[WORST:] = np.log1p(len(hot)), np.log1p(len(own))
+        out = np.zeros((len(texts), 1 + (WORST + 1) * len(self.machines)))
+        out[:, 0] = [np.log1p(len(own)) for own in found]
+        for k, (machine, hot) in enumerate(zip(self.machines, self.hot, strict=True)):
+            hot.update((c, min(1.0, v)) for c, v in zip(new, machine.decide(new), strict=True) if v > 0)
+            for row, own in zip(out[:, 1 + k * (WORST + 1) :], found, strict=True):
+                worst = sorted((hot[c] for c in own if c in hot), reverse=True)
+                row[: min(WORST, len(worst))] = worst[:WORST]
+                row[WORST] = np.log1p(len(worst))
         return out
 
 
-def document_signs(machine: Machine):
+def document_signs(machines: list[Machine]):
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(machine)
+        reader = Reader(machines)
         for rows, texts in pieces(batches):
             yield arrow({"label": rows.column("label"), "x": list(reader.signs(texts))}, SIGNS)
 
@@ -223,7 +235,7 @@ def sentence_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield arrow(out, EVIDENCE)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Judge:
     """Learn from the sentences of at most ``sample`` labelled training documents.
 
     Only bounded lists of chunks reach the driver. Without labelled toxic sentences nothing is toxic.
@@ -234,26 +246,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     counts = keep(counts, work_folder(docs.sparkSession, "chunks"))
     total = counts.agg(F.sum("a"), F.sum("b")).first()
     if not total[0] or not total[1]:
-        return Machine([], [], [])
+        return Judge([], [], [])
     base, own = F.lit(total[0] / (total[0] + total[1])), F.col("a") / (F.col("a") + F.col("b"))
     gain = F.col("a") * F.log(own / base) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - own) / (1 - base))).otherwise(0.0)
     toxic = counts.where((F.col("a") >= 2) & (own > 0.8)).withColumn("gain", gain).orderBy(F.desc("gain"), "chunk").limit(POSITIVE).collect()
-    clear = [r for r in toxic if r["gain"] >= STANDS_OUT]
+    out = [r for r in toxic if r["gain"] >= STANDS_OUT]
+    clear = [bytes(r["chunk"]) for r in out if r["gain"] >= CLEAR * out[0]["gain"]]
+    weak = [bytes(r["chunk"]) for r in out[len(clear) :]]
     rest = counts.where((F.col("b") > 0) & (own <= 0.8)).orderBy(F.xxhash64("chunk"), "chunk").limit(SEEN).collect()
-    machine = Machine([bytes(r["chunk"]) for r in clear], [r["gain"] for r in clear], [bytes(r["chunk"]) for r in rest])
-    if machine.usable:
-        signs = labelled(docs, labels, "toxic", sample).mapInArrow(document_signs(machine), SIGNS).collect()
-        machine.calibrate(np.array([r["x"] for r in signs]), np.array([r["label"] for r in signs]))
-    return machine
+    judge = Judge(clear, weak, [bytes(r["chunk"]) for r in rest])
+    if judge.usable:
+        signs = labelled(docs, labels, "toxic", sample).mapInArrow(document_signs(judge.machines), SIGNS).collect()
+        judge.calibrate(np.array([r["x"] for r in signs]), np.array([r["label"] for r in signs]))
+    return judge
 
 
-def score(docs: DataFrame, machine: Machine) -> DataFrame:
+def score(docs: DataFrame, judge: Judge) -> DataFrame:
     """(doc_id, score) of every row of ``docs``; a null or empty text has the least score."""
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(machine)
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(judge.machines)
         for rows, texts in pieces(batches):
-            values = machine.toxic(reader.signs(texts)) if machine.usable else np.zeros(len(texts))
+            values = judge.toxic(reader.signs(texts)) if judge.usable else np.zeros(len(texts))
             yield arrow({"doc_id": rows.column("doc_id"), "score": values}, SCORES)
 
-    return bounded(docs).select("doc_id", "text").mapInArrow(judge, SCORES)
+    return bounded(docs).select("doc_id", "text").mapInArrow(judged, SCORES)

@@ -42,4 +42,27 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
 FROM docs d LEFT JOIN inside USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE = {"op7_line_dedup": OP7, "op9_decontamination": OP9}
+OP10 = f"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), tokens AS (
+    SELECT doc_id, w[p] AS word, CASE WHEN p > 1 THEN w[p - 1] END AS context FROM docs, unnest(range(1, len(w) + 1)) AS u(p)
+), words AS (
+    SELECT word, count(*) AS n FROM tokens GROUP BY word
+), pairs AS (
+    SELECT context, word, count(*) AS n FROM tokens WHERE context IS NOT NULL GROUP BY context, word
+), scored AS (
+    SELECT t.doc_id, coalesce(p.n >= 2, FALSE) AS hit,
+        CASE WHEN p.n >= 2 THEN round(ln(p.n) * 1e6)::BIGINT - round(ln(c.n) * 1e6)::BIGINT
+             ELSE round(ln(0.4::DOUBLE * w.n / (SELECT count(*) FROM tokens)) * 1e6)::BIGINT END AS micro
+    FROM tokens t JOIN words w ON w.word = t.word LEFT JOIN words c ON c.word = t.context
+    LEFT JOIN pairs p ON p.context = t.context AND p.word = t.word
+), sums AS (
+    SELECT doc_id, count(*) AS n, sum(hit::INT) AS hits, sum(micro) AS micro FROM scored GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(hits, 0)::BIGINT AS n_hit, coalesce(micro, 0)::BIGINT AS micro,
+    micro::BIGINT / 1e6::DOUBLE / n AS score
+FROM docs d LEFT JOIN sums USING (doc_id)
+"""
+
+ORACLE = {"op7_line_dedup": OP7, "op9_decontamination": OP9, "op10_lm_scores": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, neardup, quality, rules, toxicity
+from receiptflow.llm import decontam, lines, neardup, ngram, quality, rules, toxicity
 from receiptflow.llm.text import table
 from receiptflow.llm.training import held_out
 
@@ -63,6 +63,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff scores of all documents by the bigram model of all documents."""
+    return ngram.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_toxicity": op3_toxicity,
@@ -70,4 +75,5 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scores": op10_lm_scores,
 }

@@ -7,12 +7,13 @@ words are one shingle, texts without words have none. Its sketch is the ``K`` le
 2. Inverted lists of retained values generate overlaps. Two sets of Jaccard similarity 0.75 share at
    least ``shared(n)`` retained values, but for a chance under 1e-8 a pair; so they meet in the lists
    of their rarest values, and each class is listed only under those. Passages that very many
-   documents hold are the most frequent values and drop out first.
+   documents hold are the most frequent values and drop out first. Classes that meet others in
+   these lists are listed once more by wider sketches, whose bound is tighter.
 3. A candidate pair passes if the sketch of its union, made from both sketches, lets 0.75 seem
    possible, and is a link if the whole sets have it exactly.
-4. Links are looked for in rounds. A round compares the classes of each list with one of them, a
-   different one each time, and merges what is linked; members of one component are never compared
-   again. A last round compares all members of a list that still belong to different components.
+4. Links are looked for in rounds. A round compares each class with the few classes that come first,
+   in a new random order, in most of its lists, and merges what is linked; members of one component
+   are never compared again. A last round compares all that meet and are still apart.
 
 So a group of copies costs one comparison each, no pairs within a group are emitted, and every link
 that changes a component is found, whatever the rounds before have found. Full pairs are only ever
@@ -34,14 +35,16 @@ from receiptflow.llm.text import Hashes, arrow, bounded, pieces, schema_of, wind
 from receiptflow.session import work_folder
 
 WORDS = 5
-K = 64
-#: Retained values shared at 0.75: 48 expected, less six standard deviations.
-LEAST_SHARED = 27
+K, WIDE = 64, 512
+#: Retained values shared at 0.75: three quarters expected, less six standard deviations.
+LEAST_SHARED = {K: 27, WIDE: 325}
 SKETCHES = schema_of("doc_id long, row long, cls binary, n long, sketch array<long>")
-SETS = schema_of("id long, shingles binary")
+SETS = schema_of("id long, n long, sketch array<long>, shingles binary")
 VERIFIED = schema_of("a long, b long")
 #: While lists hold more pairs between components than this times their length, rounds go on.
 PAIRS = 4
+#: Classes that a class is compared with in a round.
+HUBS = 3
 
 
 def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
@@ -63,10 +66,10 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = Hashes()
     for rows, texts in pieces(batches):
-        sets = [shingles(text, hashes).tobytes() for text in texts]
-        meant = [i for i, cls in enumerate(rows.column("cls").to_pylist()) if xxhash.xxh3_128_digest(sets[i]) == cls]
-        ids = rows.column("id").to_pylist()
-        yield arrow({"id": [ids[i] for i in meant], "shingles": [sets[i] for i in meant]}, SETS)
+        sets = [shingles(text, hashes) for text in texts]
+        meant = [i for i, cls in enumerate(rows.column("cls").to_pylist()) if xxhash.xxh3_128_digest(sets[i].tobytes()) == cls]
+        ids, own = rows.column("id").to_pylist(), [sets[i] for i in meant]
+        yield arrow({"id": [ids[i] for i in meant], "n": [len(s) for s in own], "sketch": [s[:WIDE] for s in own], "shingles": [s.tobytes() for s in own]}, SETS)
 
 
 def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,22 +83,22 @@ def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow({"a": rows.column("a").filter(pa.array(good, pa.bool_())), "b": rows.column("b").filter(pa.array(good, pa.bool_()))}, VERIFIED)
 
 
-def shared(n: Column) -> Column:
-    """The least number of retained values that a set of ``n`` shares with a similar one."""
-    return F.when(n <= K * 3 // 4, F.ceil(n * 3 / 4)).otherwise(LEAST_SHARED)
+def shared(n: Column, k: int) -> Column:
+    """The least number of ``k`` retained values that a set of ``n`` shares with a similar one."""
+    return F.when(n <= k * 3 // 4, F.ceil(n * 3 / 4)).otherwise(LEAST_SHARED[k])
 
 
 def close_sizes(a: Column, b: Column) -> Column:
     return (100 * a >= 75 * b) & (100 * b >= 75 * a)
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
+def prefixes(classes: DataFrame, k: int) -> DataFrame:
     """(v, id, n): each class under the rarest of its values that other classes hold as well."""
     values = classes.select("id", "n", F.explode("sketch").alias("v"))
     frequent = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     both = values.join(frequent, "v")
     ranked = both.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("listed"))
-    size = F.size("listed") - shared(F.col("n")) + 1
+    size = F.size("listed") - shared(F.col("n"), k) + 1
     return ranked.where(size > 0).select("id", "n", F.explode(F.slice("listed", F.lit(1), size.cast("int"))).alias("e")).select("e.v", "id", "n")
 
 
@@ -104,19 +107,19 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
     side = lambda x: classes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"))
     least = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
     common = F.size(F.array_intersect(least, F.array_intersect("sa", "sb")))
-    possible = common >= F.floor(F.size(least) * F.lit(LEAST_SHARED / K))
+    possible = common >= F.floor(F.size(least) * F.lit(LEAST_SHARED[K] / K))
     likely = pairs.join(side("a"), "a").join(side("b"), "b").where(possible).select("a", "b")
     full = lambda x, name: sets.select(F.col("id").alias(x), F.col("shingles").alias(name))
     return likely.join(full("a", "left"), "a").join(full("b", "right"), "b").mapInArrow(exact, VERIFIED)
 
 
 def star(listed: DataFrame, round_: int) -> DataFrame:
-    """Of each list one member, and for each class the member that it shares the most lists with."""
-    order = F.xxhash64("id") if round_ == 0 else F.xxhash64("id", "v", F.lit(round_))
-    hub = listed.groupBy("v").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp")).alias("hub"))
+    """For each class the ``HUBS`` classes that come first, in an order of the round, in most of its lists."""
+    hub = listed.groupBy("v").agg(F.min(F.struct(F.xxhash64("id", F.lit(round_)).alias("o"), "id", "n", "comp")).alias("hub"))
     met = listed.join(hub, "v").where((F.col("comp") != F.col("hub.comp")) & close_sizes(F.col("n"), F.col("hub.n")))
     met = met.groupBy("id", F.col("hub.id").alias("b")).agg(F.count("*").alias("lists"))
-    return met.groupBy("id").agg(F.max_by("b", F.struct("lists", "b")).alias("b")).select(F.col("id").alias("a"), "b")
+    most = F.slice(F.sort_array(F.collect_list(F.struct("lists", "b")), asc=False), 1, HUBS)
+    return met.groupBy("id").agg(most.alias("hubs")).select(F.col("id").alias("a"), F.explode("hubs.b").alias("b"))
 
 
 def all_pairs(listed: DataFrame) -> DataFrame:
@@ -128,10 +131,10 @@ def all_pairs(listed: DataFrame) -> DataFrame:
 
 def classes_linked(classes: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     """(id, comp): the component of every class that is linked with another one."""
-    lists = keep(prefixes(classes), f"{folder}/lists")
-    wanted = lists.select("id").distinct().join(classes.select("id", "cls", "row"), "id")
-    texts = docs.join(wanted, "row").select("id", "cls", "text")
+    suspects = prefixes(classes, K).select("id").distinct().join(classes.select("id", "cls", "row"), "id")
+    texts = docs.join(suspects, "row").select("id", "cls", "text")
     sets = keep(texts.mapInArrow(full_sets, SETS).dropDuplicates(["id"]), f"{folder}/sets")
+    lists = keep(prefixes(sets, WIDE), f"{folder}/lists")
     labels = keep(lists.select("id", F.col("id").alias("comp")).distinct(), f"{folder}/labels")
     total, round_, merged = lists.count(), 0, True
     while total:

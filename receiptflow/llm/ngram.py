@@ -31,8 +31,8 @@ LEAST, BACKOFF, MICRO = 2, 0.4, 1e6
 VOCABULARY = 6_000_000
 #: A bigram is apart if over one in so many of all bigrams are its copies; so at most so many are.
 HEAVY = 1000
-#: Bigrams in a bucket, about, and bytes of text exploded at once.
-BUCKET, SIZE = 2_000_000, 8 << 20
+#: Bigrams in a bucket, about, least number of buckets, and bytes of text exploded at once.
+BUCKET, BUCKETS, SIZE = 2_000_000, 64, 8 << 20
 FLUSH = 400_000
 
 COUNTS = schema_of("kind int, gram long, n long")
@@ -193,7 +193,7 @@ def score_packed(docs: DataFrame, words: DataFrame, heavy: list[int], total: int
     grams, n = (table.column(c).to_numpy() for c in ("gram", "n"))
     order = np.argsort(grams.view(np.uint64))
     vocabulary = spark.sparkContext.broadcast((grams.view(np.uint64)[order], n[order].astype(np.int64)))
-    buckets = max(1, -(-total // BUCKET))
+    buckets = max(BUCKETS, -(-total // BUCKET))
     few = np.array(heavy, np.int64).view(np.uint64)
     rows = docs.mapInArrow(explode(vocabulary, few, total, buckets), PACKED)
     parts = rows.groupBy("bucket").applyInArrow(add_up, PARTS)

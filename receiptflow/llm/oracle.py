@@ -65,4 +65,33 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(hits, 0)::BIGINT AS
 FROM docs d LEFT JOIN sums USING (doc_id)
 """
 
-ORACLE = {"op7_line_dedup": OP7, "op9_decontamination": OP9, "op10_lm_scores": OP10}
+OP6 = """
+WITH RECURSIVE sizes AS (
+    SELECT source, count(*)::BIGINT AS n, floor(sqrt(1000000 * count(*)))::BIGINT AS w,
+        row_number() OVER (ORDER BY source) AS i, count(*) OVER () AS m FROM documents GROUP BY source
+), parts AS (
+    SELECT *, 1 + (w * (1000 - m)) // sum(w) OVER () AS low, (w * (1000 - m)) % sum(w) OVER () AS rest FROM sizes
+), weights AS (
+    SELECT source, n, i, (low + CASE WHEN row_number() OVER (ORDER BY rest DESC, source) <= 1000 - sum(low) OVER () THEN 1 ELSE 0 END)::BIGINT AS w
+    FROM parts
+), lists AS (
+    SELECT list(w ORDER BY i) AS w, list(i ORDER BY i) AS ids FROM weights
+), run AS (
+    SELECT 0::BIGINT AS slot, NULL::BIGINT AS pick, NULL::BIGINT AS k, list_transform(w, lambda x: 0::BIGINT) AS done FROM lists
+    UNION ALL
+    SELECT slot + 1, pick, done[pick], list_transform(ids, lambda i: CASE WHEN i = pick THEN done[i] + 1 ELSE done[i] END)
+    FROM (SELECT r.slot, r.done, l.ids, list_min(list_transform(l.ids, lambda i: CASE WHEN (r.done[i] * 1000) // l.w[i] <= r.slot
+            THEN (((r.done[i] + 1) * 1000 + l.w[i] - 1) // l.w[i]) * 100000 + i END)) % 100000 AS pick
+          FROM run r, lists l WHERE r.slot < 1000)
+), places AS (
+    SELECT slot - 1 AS place, pick AS i, k FROM run WHERE pick IS NOT NULL
+), horizon AS (
+    SELECT min((b // w) * 1000 + place) AS h FROM (SELECT i, w, (n + 15) // 16 AS b FROM weights) x JOIN places p ON p.i = x.i AND p.k = b % w
+), docs AS (
+    SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 16 AS block FROM documents
+)
+SELECT d.source, d.doc_id, d.block::BIGINT AS block, ((d.block // w) * 1000 + place)::BIGINT AS slot, (d.block // w) * 1000 + place < h AS in_mix
+FROM docs d JOIN weights x ON x.source = d.source JOIN places p ON p.i = x.i AND p.k = d.block % x.w, horizon
+"""
+
+ORACLE = {"op6_source_mix": OP6, "op7_line_dedup": OP7, "op9_decontamination": OP9, "op10_lm_scores": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, neardup, ngram, quality, rules, toxicity
+from receiptflow.llm import decontam, lines, mixing, neardup, ngram, quality, rules, toxicity
 from receiptflow.llm.text import table
 from receiptflow.llm.training import held_out
 
@@ -39,6 +39,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of all documents in a mix of sources by the roots of their sizes."""
+    return mixing.slots(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents, dropped everywhere."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +77,7 @@ QUERIES = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
+    "op6_source_mix": op6_source_mix,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,

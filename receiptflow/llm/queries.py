@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, mixing, neardup, ngram, quality, rules, toxicity
+from receiptflow.llm import decontam, lines, mixing, neardup, ngram, pii, quality, rules, toxicity
 from receiptflow.llm.text import table
 from receiptflow.llm.training import held_out
 
@@ -18,6 +18,12 @@ def predictions(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, also in disguise."""
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bradley-Terry scores of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +80,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_spans": op1_pii_spans,
     "op2_quality_ranking": op2_quality_ranking,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,

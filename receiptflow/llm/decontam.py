@@ -205,3 +205,11 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = 10, slop: int =
     found = search(docs.sparkSession, build_index(docs), items, size, slop)
     kind = docs.schema["doc_id"].dataType
     return found.withColumn("doc_id", F.col("key").cast(kind)).drop("key")
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
+    """The rows of ``docs`` that hold no window of ``items``, with all their columns."""
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = search(docs.sparkSession, build_index(rows, "_row"), items, size)
+    bad = found.where("n_hit > 0").select(F.col("key").cast("long").alias("_row"))
+    return rows.join(bad, "_row", "left_anti").drop("_row")

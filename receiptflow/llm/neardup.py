@@ -159,8 +159,9 @@ def classes_linked(classes: DataFrame, docs: DataFrame, folder: str) -> DataFram
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
+    """(doc_id, row, n_shingles, component_id, first_row) for each row of ``docs`` (doc_id, text).
 
+    ``row`` is a hash of id and text, ``first_row`` that of the component's member with the least id.
     ``component_id`` is the least doc_id that can be reached by links. A null text, or one without
     words, has no shingles and is its own component. Repeated rows are linked with one another; rows
     without a doc_id take part, and their component is null only if no member has an id.
@@ -169,13 +170,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     rows = keep(docs.mapInArrow(sketch, SKETCHES), f"{folder}/rows")
     own = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("row").alias("row"), F.min("doc_id").alias("least")
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("row").alias("row"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least")
     )
     classes = keep(own.withColumn("id", F.monotonically_increasing_id()), f"{folder}/classes")
     labels = classes_linked(classes, docs, folder)
     named = classes.select("id", "cls", "least").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "comp").select("cls", "component_id")
-    some = rows.where(F.col("cls").isNotNull()).join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    none = rows.where(F.col("cls").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    least = named.groupBy("comp").agg(F.min("least").alias("first"))
+    named = named.join(least, "comp").select("cls", "first")
+    size = F.col("n").alias("n_shingles")
+    some = rows.where(F.col("cls").isNotNull()).join(named, "cls")
+    some = some.select("doc_id", "row", size, F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row"))
+    none = rows.where(F.col("cls").isNull()).select("doc_id", "row", size, F.col("doc_id").alias("component_id"), F.col("row").alias("first_row"))
     return some.unionByName(none)
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One document of each component: that of the least doc_id, repeated rows once; all columns stay."""
+    found = near_duplicates(docs)
+    first = found.where(F.col("row") == F.col("first_row")).select(F.col("row").alias("_row")).distinct()
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    return rows.join(first, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")

@@ -42,7 +42,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingles are similar to 0.75 or more."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = neardup.near_duplicates(docs)
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

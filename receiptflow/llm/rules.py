@@ -16,10 +16,11 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from receiptflow.llm.components import keep
 from receiptflow.llm.text import SPACE, Hashes, arrow, bounded, flat, joined, mix, pieces, plus, starts, windows
 from receiptflow.session import work_folder
 
@@ -139,13 +140,21 @@ def with_distance(stats: DataFrame, estimates: DataFrame, noise: float = NOISE)
     return rows.mapInArrow(measure_distance(schema, noise), schema)
 
 
-def grouped(stats: DataFrame) -> DataFrame:
-    """Adds ``_group``, a text that names language and source, or the small groups of a language."""
+def own_group() -> Column:
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-    own = F.concat_ws("\n", name("lang"), name("source"))
-    sizes = stats.where(~F.col("base_failed")).groupBy(own.alias("_own")).agg(F.count("*").alias("_size"))
-    rows = stats.withColumn("_own", own).join(sizes, "_own", "left")
-    return rows.withColumn("_group", F.when(F.col("_size") >= MIN_GROUP, F.col("_own")).otherwise(name("lang"))).drop("_own", "_size")
+    return F.concat_ws("\n", name("lang"), name("source"))
+
+
+def group_sizes(stats: DataFrame) -> DataFrame:
+    """(_own, _size): how many documents of each language and source pass the base rules."""
+    return stats.where(~F.col("base_failed")).groupBy(own_group().alias("_own")).agg(F.count("*").alias("_size"))
+
+
+def grouped(stats: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Adds ``_group``, a text that names language and source, or the small groups of a language."""
+    rows = stats.withColumn("_own", own_group()).join(sizes, "_own", "left")
+    small = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("-"))
+    return rows.withColumn("_group", F.when(F.col("_size") >= MIN_GROUP, F.col("_own")).otherwise(small)).drop("_own", "_size")
 
 
 def moments(rows: DataFrame) -> DataFrame:
@@ -191,19 +200,43 @@ def estimates(stats: DataFrame, steps: int = STEPS, core: float = CORE) -> DataF
         now = moments(far.join(limit, "_group").where(F.col("distance") <= F.col("_limit")))
 
 
+def fitted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The statistics of ``docs`` without their texts, the sizes of the groups and their estimates, all written."""
+    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "stats")
+    stats = keep(document_stats(docs).drop("text"), f"{folder}/stats")
+    sizes = keep(group_sizes(stats), f"{folder}/sizes")
+    return stats, sizes, estimates(grouped(stats, sizes))
+
+
+def with_kinds(docs: DataFrame) -> DataFrame:
+    for c in ("lang", "source"):
+        docs = docs if c in docs.columns else docs.withColumn(c, F.lit(None).cast("string"))
+    return docs
+
+
+def verdicts(stats: DataFrame, sizes: DataFrame, found: DataFrame, cutoff: float) -> DataFrame:
+    far = with_distance(grouped(stats, sizes), found)
+    return far.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cutoff)).drop("_group", "x")
+
+
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """One row per row of ``docs`` (any columns but ``text`` stay): its counts, ``distance`` and ``kept``.
 
     ``kept`` is false for texts that fail the base rules (under 20 words, or over 30 % of the words in
     repeated windows; a null text has no words) and for outliers of their group. Null languages and
-    sources form groups of their own; missing columns lang and source count as null.
+    sources form groups of their own; missing columns lang and source count as null. Columns with
+    the names of results are replaced.
     """
-    spark = docs.sparkSession
-    for c in ("lang", "source"):
-        docs = docs if c in docs.columns else docs.withColumn(c, F.lit(None).cast("string"))
-    folder = work_folder(spark, "stats")
-    document_stats(docs).drop("text").write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    rows = grouped(rows)
-    far = with_distance(rows, estimates(rows))
-    return far.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cutoff)).drop("_group", "x")
+    stats, sizes, found = fitted(with_kinds(docs))
+    return verdicts(stats, sizes, found, cutoff)
+
+
+def passing(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Statistics are taken twice, for the estimates and here, instead of joining verdicts to texts.
+    """
+    rows = with_kinds(docs)
+    _, sizes, found = fitted(rows.select("text", "lang", "source"))
+    whole = rows.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), "text", "lang", "source")
+    return verdicts(document_stats(whole), sizes, found, cutoff).where("kept").select("_doc.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, mixing, neardup, ngram, pii, quality, rules, toxicity
+from receiptflow.llm import decontam, lines, mixing, neardup, ngram, pii, quality, repeats, rules, toxicity
 from receiptflow.llm.text import table
 from receiptflow.llm.training import held_out
 
@@ -45,6 +45,12 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 100 bytes that have occurred before, cut from all documents."""
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots of all documents in a mix of sources by the roots of their sizes."""
     return mixing.slots(table(spark, sf_dir, "documents").select("doc_id", "source"))
@@ -84,6 +90,7 @@ QUERIES = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
+    "op5_repeated_strings": op5_repeated_strings,
     "op6_source_mix": op6_source_mix,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,

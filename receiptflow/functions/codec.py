@@ -1,13 +1,15 @@
 """JSON decoding and encoding of the records, as column expressions on a whole DataFrame.
 
 Decoding binds strictly by field name. Text that is no JSON object, a field the record does not have,
-or a value its type cannot take makes the message bad; the JSON text ``null`` is no message at all.
+or a value its type cannot take (for a number also NaN, an infinity, or 1e18 and more) makes the message bad; the JSON text ``null`` is no message at all.
 Numbers may come as text, a fraction given for a whole number is cut off, absent numbers are 0 and
 absent texts or times are null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,15 +20,18 @@ PROBLEM = "problem"
 
 # Fixed pattern: the date and date-time texts accepted for a timestamp (no zone means UTC).
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+#: Amounts and prices must be below this.
+MOST = 1e18
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "value") -> DataFrame:
+def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "value", required: Sequence[str] = ()) -> DataFrame:
     """Decode the JSON in ``value`` into the record's columns, next to the other columns of ``df``.
 
     ``failfast`` raises on the first bad message. ``quarantine`` keeps every message and adds a
     ``problem`` column that says what is wrong with it (null for a good one) and the ``raw`` text;
-    ``good`` and ``bad`` split the result.
+    ``good`` and ``bad`` split the result. A message without a value for a ``required`` column is bad:
+    a key that is absent, or a time that later steps cannot do without.
     """
     if mode not in ("failfast", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -49,6 +54,7 @@ def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "
         F.when(F.col("_map").isNull(), "not a JSON object"),
         F.when(F.size("_strange") > 0, F.concat(F.lit("unknown field "), F.get("_strange", F.lit(0)))),
         *[F.when(_wrong(f, F.col(text[f]), F.col(typed[f])), f"bad value for {f.json}") for f in record.fields],
+        *[F.when(F.col(typed[f]).isNull(), f"no value for {f.json}") for f in record.fields if f.column in required],
     )
     messages = messages.withColumn(PROBLEM, problem)
     values = {f.column: _present(f, F.col(typed[f])) for f in record.fields}
@@ -113,6 +119,9 @@ def _wrong(field: Field, text: Column, typed: Column) -> Column:
         # A fraction is cut off if it is a JSON number, but text must hold a whole number.
         cut_off = typed.isNotNull() & text.try_cast("int").isNull()
         return F.when(cut_off, F.coalesce(kind == "STRING", F.lit(False))).otherwise(unread)
+    if isinstance(field.type, T.DoubleType):
+        # Neither NaN nor the infinities nor what no sum of money can hold.
+        return unread | F.coalesce(~(F.abs(typed) < MOST), F.lit(False))
     return unread
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 def money_sum(amount: Column | str, exact: bool = True) -> Column:
     """Sum a DOUBLE amount.
 
-    ``exact`` adds whole cents as BIGINT: the answer does not depend on the order of addition, so a
-    retried task or another partitioning gives the same bits, and the partial aggregate keeps one
-    long per group. It suits amounts with at most two decimals, which is what the records carry, and
-    raises for amounts that do not fit a long. ``exact=False`` adds the doubles as they are.
+    ``exact`` adds decimals of eight places: the answer does not depend on the order of addition, so a
+    retried task or another partitioning gives the same bits. Amounts of up to 20 digits before and 8
+    after the point are added as they are; larger ones and those that are no number raise, which
+    the decoder keeps from coming here. ``exact=False`` adds the doubles as they are.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
     if not exact:
         return F.sum(amount)
-    return F.sum(F.round(amount * 100).cast("bigint")) / F.lit(100.0)
+    return F.sum(amount.cast("decimal(28,8)")).cast("double")

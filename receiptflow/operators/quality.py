@@ -8,12 +8,15 @@ from receiptflow.operators.latest import latest_per_key
 from receiptflow.operators.skew import Profile, join_unique
 
 
-def dedupe(tx: DataFrame, order: Column | str | None = None, delay: str = "1 hour") -> DataFrame:
+def dedupe(tx: DataFrame, order: Column | str | None = None, delay: str | None = None) -> DataFrame:
     """One row per ``receipt_id``: the last one in a batch, the first one seen in a stream.
 
-    A stream remembers a receipt until the watermark on ``receipt_date`` has passed it by ``delay``,
-    which bounds its state.
+    A stream remembers every receipt. With a ``delay`` it forgets those that the watermark on
+    ``receipt_date`` has passed by as much, which bounds its state, but then receipts that are older than
+    the watermark when they come are lost, and copies without a date pass each time.
     """
+    if tx.isStreaming and delay is None:
+        return tx.dropDuplicates(["receipt_id"])
     if tx.isStreaming:
         return tx.withWatermark("receipt_date", delay).dropDuplicatesWithinWatermark(["receipt_id"])
     if order is None:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GIB = 1 << 30
 SAMPLE_PER_CHUNK = 20  # sampled rows that stand for one chunk
 
 
@@ -75,28 +74,21 @@ def _lead(order):
     return order[0] if isinstance(order, tuple) else order
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables a query reads, from file listings and without running anything."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def profile(
     df: DataFrame,
     key: str,
     order: str | None = None,
     chunks: int | None = None,
-    min_bytes: int = GIB,
     seed: int = 11,
 ) -> Profile:
     """Find the hot keys of a batch.
 
     A key is hot when it holds at least two of ``chunks`` equal parts of all rows (default: four
     parts per shuffle partition). ``order`` is a BIGINT column, or a struct of BIGINTs; when given,
-    the profile also holds the points that cut each hot key into even runs of that order. Inputs
-    below ``min_bytes`` are not looked at: any single key of theirs fits a few tasks.
+    the profile also holds the points that cut each hot key into even runs of that order. Only the
+    shares of the keys count, not the size of the input.
     """
-    if df.isStreaming or input_bytes(df) < min_bytes:
+    if df.isStreaming:
         return Profile()
     spark = df.sparkSession
     chunks = chunks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -149,12 +141,11 @@ def join_unique(
 ) -> DataFrame:
     """Join to a side that has one row per key (``inner``, ``left`` or ``left_anti``).
 
-    Spark broadcasts ``right`` if it is below its threshold, else both sides are shuffled. Rows of a
-    hot key on the left are spread over that key's salts, and its single right row is copied to each.
+    Spark broadcasts ``right`` if it is below its threshold, else both sides are shuffled, and adaptive
+    execution splits what a hot key makes large. With a profile, rows of a hot key on the left are
+    spread over that key's salts, and its single right row is copied to each.
     """
-    if hot is None:
-        hot = profile(left, key)
-    if hot.empty:
+    if hot is None or hot.empty:
         return left.join(right, key, how)
     salts = hot.salts(left.sparkSession)
     # The task number spreads even rows that are copies of each other, and a rerun task keeps it.

@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from receiptflow.functions.codec import PROBLEM, decode, encode
 from receiptflow.functions.money import money_sum
 from receiptflow.operators import quality, reports
-from receiptflow.operators.enrich import enrich
+from receiptflow.operators.enrich import enrich, interleave
 from receiptflow.operators.latest import latest_per_key
-from receiptflow.operators.skew import Profile, profile
+from receiptflow.operators.skew import profile
+from receiptflow.plans.jobs import REQUIRED
 from receiptflow.operators.spend import spend
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
@@ -50,6 +51,20 @@ def _spend_replayed(spark: SparkSession, sf_dir: str, time: str) -> DataFrame:
     return table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"])
 
 
+def spend_10s_shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slices arrive out of time order: each holds rows of all windows."""
+    folder = work_folder(spark, "spend-shuffled")
+    write = table_sink.append_batch(f"{folder}/out")
+    events = tables.load(spark, sf_dir, "events").withColumn("_order", F.pmod(-F.col("event_id"), F.lit(4)))
+
+    def start(rows: DataFrame):
+        return spend(tables.as_spend(rows)).writeStream.outputMode("update").foreachBatch(write)
+
+    replay(events, "_order", start, folder=folder)
+    rows = table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"])
+    return in_millis(rows.drop("window_end"))
+
+
 def spend_10s_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_millis(_spend_replayed(spark, sf_dir, "event").drop("window_end"))
 
@@ -101,16 +116,31 @@ def decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decode_unusable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are sound JSON but cannot be used: no key, no date, an amount that is no number."""
+    kind, receipt = F.col("event_id") % 7, F.concat(F.lit('"receiptId":"'), F.col("event_id"), F.lit('"'))
+    rest = F.lit(',"customerId":"c","receiptDate":"2024-01-01T00:00:00"}')
+    message = (
+        F.when(kind == 0, F.lit('{"totalAmount":1,"customerId":"c","receiptDate":"2024-01-01T00:00:00"}'))
+        .when(kind == 1, F.concat(F.lit("{"), receipt, F.lit(',"receiptDate":"2024-01-01T00:00:00"}')))
+        .when(kind == 2, F.concat(F.lit("{"), receipt, F.lit(',"customerId":"c"}')))
+        .when(kind == 3, F.concat(F.lit("{"), receipt, F.lit(',"totalAmount":"NaN"'), rest))
+        .when(kind == 4, F.concat(F.lit("{"), receipt, F.lit(',"totalAmount":"-Infinity"'), rest))
+        .when(kind == 5, F.concat(F.lit("{"), receipt, F.lit(',"totalAmount":1e18'), rest))
+        .otherwise(F.concat(F.lit("{"), receipt, F.lit(',"totalAmount":0.004'), rest))
+    )
+    messages = tables.load(spark, sf_dir, "events").select("event_id", message.alias("value"))
+    decoded = decode(messages, TRANSACTION, "quarantine", required=REQUIRED[TRANSACTION.name])
+    return in_millis(decoded.select("event_id", *TRANSACTION.columns, PROBLEM))
+
+
 def encode_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The output messages, read back field by field."""
     written = encode(_enriched_current(spark, sf_dir), CUSTOMER_TRANSACTION)
     names = F.array_join(F.json_object_keys("value"), ",")
     fields = {
-        "receipt_id": ("receiptId", "string"),
-        "product_price": ("productPrice", "double"),
-        "product_quantity": ("productQuantity", "int"),
-        "receipt_date_ms": ("receiptDate", "bigint"),
-        "customer_name": ("customerName", "string"),
+        f.column + "_ms" * (f.type == T.TimestampType()): (f.json, "bigint" if f.type == T.TimestampType() else f.type.simpleString())
+        for f in CUSTOMER_TRANSACTION.fields
     }
     return written.select(
         names.alias("names"),
@@ -161,9 +191,7 @@ def upsert_customers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Looking at the raw rows is cheaper than at the stored ones, which come out of a shuffle.
-    hot = profile(tables.transactions(spark, sf_dir), "customer_id")
-    return enrich(_stored_transactions(spark, sf_dir), tables.customers(spark, sf_dir), "current", hot)
+    return enrich(_stored_transactions(spark, sf_dir), tables.customers(spark, sf_dir), "current")
 
 
 def enrich_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +205,26 @@ def _enriched(mode: str) -> Query:
     return query
 
 
+def _enriched_hot(mode: str) -> Query:
+    """The plan that a table with hot customers gets, whatever the shares here: every customer with two
+    rows in sixty-four sampled parts is cut into chunks."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tx, customers = tables.purchases(spark, sf_dir), tables.signups(spark, sf_dir)
+        log = interleave(tx, customers)
+        hot = profile(log, "customer_id", "arrival", chunks=20_000)
+        return in_millis(enrich(tx, customers, mode, hot))
+
+    return query
+
+
+def enrich_current_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The salted form of the join with the customers."""
+    tx = _stored_transactions(spark, sf_dir)
+    hot = profile(tx, "customer_id", chunks=2_000)
+    return in_millis(enrich(tx, tables.customers(spark, sf_dir), "current", hot))
+
+
 def _hot_customers(spark: SparkSession, sf_dir: str) -> list[str]:
     return list(profile(tables.purchases(spark, sf_dir), "customer_id").chunks)
 
@@ -207,7 +255,7 @@ def _enriched_batches(mode: str) -> Query:
             )
 
         replay(tables.load(spark, sf_dir, "events"), "event_id", start, folder=folder)
-        return in_millis(spark.read.parquet(f"{folder}/out").drop("batch"))
+        return in_millis(spark.read.parquet(f"{folder}/out").drop("run", "batch"))
 
     return query
 
@@ -233,14 +281,26 @@ def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Cleaning and reports
 
 
+def drop_fraud_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions are stored first and marks come later: reading the table takes marked ones out."""
+    folder = work_folder(spark, "drop-fraud-late")
+    write = table_sink.upsert(TRANSACTION, f"{folder}/out")
+    _replay_lines(spark, sf_dir, lambda tx: tx.writeStream.foreachBatch(write), folder)
+    mark = table_sink.upsert(FRAUD_MARK, f"{folder}/marks")
+    lines = tables.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    replay(lines, "l_orderkey", lambda s: tables.as_marks(s).writeStream.foreachBatch(mark), folder=f"{folder}/late")
+    clean = quality.drop_fraud(
+        table_sink.read_table(spark, f"{folder}/out", TRANSACTION), table_sink.read_table(spark, f"{folder}/marks", FRAUD_MARK)
+    )
+    return in_millis(clean)
+
+
 def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_millis(quality.dedupe(tables.transactions(spark, sf_dir), "arrival").drop("arrival"))
 
 
 def drop_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Stored transactions hold one row per receipt, so there is no hot receipt to look for.
-    clean = quality.drop_fraud(_stored_transactions(spark, sf_dir), tables.fraud_marks(spark, sf_dir), Profile())
-    return in_millis(clean)
+    return in_millis(quality.drop_fraud(_stored_transactions(spark, sf_dir), tables.fraud_marks(spark, sf_dir)))
 
 
 def drop_fraud_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,17 +310,29 @@ def drop_fraud_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_millis(table_sink.read_table(spark, f"{folder}/out", TRANSACTION))
 
 
-def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which copy comes first is open, so only what all copies share is returned. The dates are in no
-    order, so the watermark must stay behind all of them."""
+def _deduped(spark: SparkSession, sf_dir: str, lines: DataFrame, order: str) -> DataFrame:
     folder = work_folder(spark, "dedupe")
 
-    def start(tx: DataFrame):
-        first = quality.dedupe(tx, delay="36500 days").select("receipt_id", "customer_id")
-        return first.writeStream.format("parquet").option("path", f"{folder}/out")
+    def start(rows: DataFrame):
+        tx = tables.as_transactions(rows, spark, sf_dir)
+        return quality.dedupe(tx).drop("arrival").writeStream.format("parquet").option("path", f"{folder}/out")
+
+    replay(lines, order, start, folder=folder)
+    # Which copy comes first is open: the columns that copies share, and that the row is one of them.
+    copies = tables.transactions(spark, sf_dir).select(*TRANSACTION.columns).distinct()
+    out = spark.read.parquet(f"{folder}/out")
+    known = out.join(copies.withColumn("is_copy", F.lit(True)), list(TRANSACTION.columns), "left")
+    return known.select("receipt_id", "customer_id", "payment_method", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
 
-    _replay_lines(spark, sf_dir, start, folder)
-    return spark.read.parquet(f"{folder}/out")
+
+def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _deduped(spark, sf_dir, tables.load(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+def dedupe_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest receipts come first, so most are older than all that have come before."""
+    lines = tables.load(spark, sf_dir, "lineitem")
+    return _deduped(spark, sf_dir, lines.withColumn("_order", -F.unix_date(F.to_date("l_shipdate")).cast("bigint")), "_order")
 
 
 def monthly_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,11 +346,13 @@ def peak_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "spend_10s": spend_10s,
     "spend_10s_stream": spend_10s_stream,
+    "spend_10s_shuffled_stream": spend_10s_shuffled_stream,
     "spend_processing_time": spend_processing_time,
     "decode_transactions": decode_transactions,
     "decode_customers": decode_customers,
     "decode_fraud": decode_fraud,
     "decode_quarantine": decode_quarantine,
+    "decode_unusable": decode_unusable,
     "encode_enriched": encode_enriched,
     "upsert_transactions": upsert_transactions,
     "upsert_transactions_stream": upsert_transactions_stream,
@@ -286,17 +360,22 @@ QUERIES: dict[str, Query] = {
     "upsert_customers_stream": upsert_customers_stream,
     "upsert_fraud": upsert_fraud,
     "enrich_current": enrich_current,
+    "enrich_current_hot": enrich_current_hot,
     "enrich_asof": _enriched("asof"),
+    "enrich_asof_hot": _enriched_hot("asof"),
     "enrich_asof_stream": _enriched_stream("asof"),
     "enrich_asof_batches": _enriched_batches("asof"),
     "enrich_pair_buffer": _enriched("pair_buffer"),
+    "enrich_pair_buffer_hot": _enriched_hot("pair_buffer"),
     "enrich_pair_buffer_stream": _enriched_stream("pair_buffer"),
     "enrich_pair_buffer_batches": _enriched_batches("pair_buffer"),
     "enriched_table": enriched_table,
     "dedupe_transactions": dedupe_transactions,
     "dedupe_stream": dedupe_stream,
+    "dedupe_late_stream": dedupe_late_stream,
     "drop_fraud": drop_fraud,
     "drop_fraud_stream": drop_fraud_stream,
+    "drop_fraud_late_stream": drop_fraud_late_stream,
     "monthly_spend": monthly_spend,
     "peak_hours": peak_hours,
 }

@@ -20,6 +20,12 @@ from receiptflow.streaming.batches import enrich_batches
 from receiptflow.streaming.enrich import enrich_stream
 
 INPUTS = (TRANSACTION, CUSTOMER, FRAUD_MARK)
+#: Columns without which a record cannot be used; such messages are bad.
+REQUIRED = {
+    TRANSACTION.name: ("receipt_id", "customer_id", "receipt_date"),
+    CUSTOMER.name: ("customer_id",),
+    FRAUD_MARK.name: ("receipt_id",),
+}
 TABLES = (TRANSACTION, CUSTOMER, FRAUD_MARK, CUSTOMER_TRANSACTION)
 
 Sink = Callable[[DataFrame], DataStreamWriter]
@@ -43,11 +49,12 @@ class Job:
     tables: dict[str, Batch] = field(default_factory=dict)
     bad_messages: Callable[[DataFrame, str], DataStreamWriter] | None = None
     window: str = "10 seconds"
-    window_time: str = "event"
-    lateness: str = "0 seconds"
+    window_time: str = "processing"
+    lateness: str | None = None  # see operators.spend: a delay lets windows be dropped, and rows with them
     enrich_mode: str = "asof"
     enrich_form: str = "state_store"  # or "batches", see streaming.batches
     salts: int = 8
+    hot_keys: list[str] | None = None  # customers whose transactions are spread over the salts; default all
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
 
     def start(self) -> dict[str, StreamingQuery]:
@@ -55,10 +62,11 @@ class Job:
         records, writers = {}, {}
         for record in INPUTS:
             messages = self.topics[record.name].select("value", arrival().alias("arrival"))
+            required = REQUIRED[record.name]
             if self.bad_messages is None:
-                records[record.name] = decode(messages, record)
+                records[record.name] = decode(messages, record, required=required)
             else:
-                decoded = decode(messages, record, "quarantine")
+                decoded = decode(messages, record, "quarantine", required=required)
                 records[record.name] = good(decoded)
                 writers[f"bad_{record.table}"] = self.bad_messages(bad(decoded).select("problem", "raw"), record.table)
         tx, customers = records[TRANSACTION.name], records[CUSTOMER.name]
@@ -66,7 +74,7 @@ class Job:
             state = f"{self.checkpoints}/enrich_state"
             enriched = enrich_batches(tx, customers, self._publish, state, self.enrich_mode)
         else:
-            rows = enrich_stream(tx, customers, self.enrich_mode, self.salts)
+            rows = enrich_stream(tx, customers, self.enrich_mode, self.salts, self.hot_keys)
             enriched = rows.writeStream.foreachBatch(self._publish)
         writers["spend_per_window"] = self.totals(spend(tx, self.window_time, self.window, self.lateness))
         writers[CUSTOMER_TRANSACTION.topic] = enriched
@@ -99,15 +107,23 @@ def kafka_job(
     target: jdbc.JdbcTarget,
     checkpoints: str,
     per_trigger: int = 10_000_000,
+    min_partitions: int | None = None,
+    kafka: dict[str, str] | None = None,
     **options,
 ) -> Job:
-    """The job between Kafka and a relational database. Creates missing tables first."""
+    """The job between Kafka and a relational database. Creates missing tables first.
+
+    ``kafka`` holds further options of the connector, such as those for security.
+    """
     prepare(spark)
     jdbc.ensure_tables(spark, target, list(TABLES))
     return Job(
         checkpoints=checkpoints,
-        topics={r.name: kafka_source(spark, r.topic, servers, per_trigger=per_trigger) for r in INPUTS},
-        enriched=lambda batch, batch_id: kafka_sink(batch, servers).save(),
+        topics={
+            r.name: kafka_source(spark, r.topic, servers, per_trigger=per_trigger, min_partitions=min_partitions, more=kafka)
+            for r in INPUTS
+        },
+        enriched=lambda batch, batch_id: kafka_sink(batch, servers).options(**(kafka or {})).save(),
         tables={r.name: jdbc.upsert(r, target, r.table.lower()) for r in TABLES},
         **options,
     )

@@ -109,9 +109,14 @@ WITH {_TX}, {_MARKS}
 SELECT {_TX_COLUMNS} FROM tx
 WHERE arrival_rank = 1 AND NOT EXISTS (SELECT 1 FROM marks WHERE marks.receipt_id = tx.receipt_id)"""
 
+_DEDUPED = f"""
+WITH {_TX}
+SELECT receipt_id, customer_id, payment_method, true AS is_copy FROM tx WHERE arrival_rank = 1"""
+
 ORACLE: dict[str, str] = {
     "spend_10s": _SPEND,
     "spend_10s_stream": _SPEND,
+    "spend_10s_shuffled_stream": _SPEND,
     "spend_processing_time": """
 SELECT concat('', user_id) AS customer_id,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n
@@ -128,11 +133,19 @@ SELECT event_id,
             WHEN event_id % 10 = 1 THEN 'unknown field extra'
             WHEN event_id % 10 = 8 THEN 'bad value for productQuantity' END AS problem
 FROM events WHERE event_id % 10 <> 2""",
+    "decode_unusable": """
+SELECT event_id, CASE WHEN ok THEN concat('', event_id) END AS receipt_id, CASE WHEN ok THEN 'c' END AS customer_id,
+       CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS VARCHAR) AS product_name, CASE WHEN ok THEN 0.0::DOUBLE END AS product_price,
+       CASE WHEN ok THEN 0 END AS product_quantity, CASE WHEN ok THEN 0.004::DOUBLE END AS total_amount,
+       CASE WHEN ok THEN 1704067200000 END AS receipt_date_ms, CAST(NULL AS VARCHAR) AS payment_method,
+       CASE event_id % 7 WHEN 0 THEN 'no value for receiptId' WHEN 1 THEN 'no value for customerId' WHEN 2 THEN 'no value for receiptDate'
+            WHEN 6 THEN NULL ELSE 'bad value for totalAmount' END AS problem
+FROM (SELECT *, event_id % 7 = 6 AS ok FROM events)""",
     "encode_enriched": f"""
 WITH {_TX}, {_CUST}
 SELECT concat('receiptId,customerId,productId,productName,productPrice,productQuantity,totalAmount,',
               'receiptDate,paymentMethod,customerName,customerEmail,customerBirthdate') AS names,
-       receipt_id, product_price, product_quantity, receipt_date_ms, name AS customer_name
+       {_TX_COLUMNS}, name AS customer_name, email AS customer_email, birthdate AS customer_birthdate
 FROM tx JOIN cust USING (customer_id) WHERE arrival_rank = 1""",
     "upsert_transactions": _LATEST_TX,
     "upsert_transactions_stream": _LATEST_TX,
@@ -142,11 +155,17 @@ FROM tx JOIN cust USING (customer_id) WHERE arrival_rank = 1""",
     "enrich_current": f"""
 WITH {_TX}, {_CUST}
 SELECT {_TX_COLUMNS}, name AS customer_name, email AS customer_email, birthdate AS customer_birthdate
+FROM tx JOIN cust USING (customer_id) WHERE arrival_rank = 1""",
+    "enrich_current_hot": f"""
+WITH {_TX}, {_CUST}
+SELECT {_TX_COLUMNS}, name AS customer_name, email AS customer_email, birthdate AS customer_birthdate
 FROM tx JOIN cust USING (customer_id) WHERE arrival_rank = 1""",
     "enrich_asof": _ASOF,
+    "enrich_asof_hot": _ASOF,
     "enrich_asof_stream": _ASOF,
     "enrich_asof_batches": _ASOF,
     "enrich_pair_buffer": _PAIR_BUFFER,
+    "enrich_pair_buffer_hot": _PAIR_BUFFER,
     "enrich_pair_buffer_stream": _PAIR_BUFFER,
     "enrich_pair_buffer_batches": _PAIR_BUFFER,
     "enriched_table": f"""
@@ -156,9 +175,11 @@ SELECT concat('u', c.user_id, '@example.org') AS customer_email, count(*) AS n,
 FROM pairs JOIN events t ON t.event_id = pairs.tx JOIN events c ON c.event_id = pairs.cust
 GROUP BY 1""",
     "dedupe_transactions": _LATEST_TX,
-    "dedupe_stream": f"WITH {_TX} SELECT receipt_id, customer_id FROM tx WHERE arrival_rank = 1",
+    "dedupe_stream": _DEDUPED,
+    "dedupe_late_stream": _DEDUPED,
     "drop_fraud": _WITHOUT_FRAUD,
     "drop_fraud_stream": _WITHOUT_FRAUD,
+    "drop_fraud_late_stream": _WITHOUT_FRAUD,
     "monthly_spend": f"""
 WITH {_TX}
 SELECT customer_id, CAST(year(receipt_date) AS INT) AS y, CAST(month(receipt_date) AS INT) AS m,

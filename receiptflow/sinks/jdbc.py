@@ -6,8 +6,9 @@ steps may be repeated, so a retried micro-batch leaves the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ SQL_TYPES = {
 class JdbcTarget:
     url: str
     user: str
-    password: str
+    password: str = field(repr=False)
     driver: str = "org.postgresql.Driver"
     batch_rows: int = 1000
     retries: int = 5
@@ -44,9 +45,15 @@ class JdbcTarget:
             "dbtable": table,
             "batchsize": str(self.batch_rows),
             "numPartitions": str(self.connections),
+            "fetchsize": str(self.batch_rows),
             "isolationLevel": "READ_COMMITTED",
         }
 
+    def parts(self, key: str) -> list[str]:
+        """Conditions that cut a table into as many parts as there are connections, by a hash of its key."""
+        of = f"abs(hashtext({key}::varchar)::bigint) % {self.connections}"
+        return [f"{of} = {i}" if i else f"({of} = 0 OR {key} IS NULL)" for i in range(self.connections)]
+
 
 def create_sql(record: Record) -> str:
     columns = [
@@ -96,17 +103,20 @@ def ensure_tables(spark: SparkSession, target: JdbcTarget, records: list[Record]
 
 
 def stage(df: DataFrame, target: JdbcTarget, table: str) -> None:
+    # Dealt out anew, so that few connections do not make few tasks of the step before.
+    df = df.repartition(target.connections)
     df.write.format("jdbc").options(**target.options(table)).mode("overwrite").save()
 
 
 def upsert(record: Record, target: JdbcTarget, name: str, run: Callable = execute, put: Callable = stage):
     """A ``foreachBatch`` function that upserts rows with an ``arrival`` into the record's table.
 
-    ``name`` tells apart the staging tables of queries that run at the same time. One merge must not
+    ``name`` and a random part tell apart the staging tables of queries and jobs that run at the same
+    time; each is overwritten by every micro-batch. One merge must not
     meet a key twice, so only the last arrival of each key is staged; rows without key are left out,
     as the primary key cannot take them.
     """
-    staging = f"receiptflow_stage_{name}"
+    staging = f"receiptflow_stage_{name}_{uuid.uuid4().hex[:12]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*record.columns, "arrival").filter(f"{record.key} IS NOT NULL")
@@ -118,6 +128,8 @@ def upsert(record: Record, target: JdbcTarget, name: str, run: Callable = execut
 
 def read_table(spark: SparkSession, target: JdbcTarget, record: Record, view: str | None = None) -> DataFrame:
     """A stored table, ready for SQL under ``view`` (default: the table's name)."""
-    table = spark.read.format("jdbc").options(**target.options(record.table)).load()
+    options = target.options(record.table)
+    login = {k: options[k] for k in ("user", "password", "driver", "fetchsize")}
+    table = spark.read.jdbc(target.url, record.table, predicates=target.parts(record.key), properties=login)
     table.createOrReplaceTempView(view or record.table)
     return table

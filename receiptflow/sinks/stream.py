@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -27,12 +28,17 @@ def console_sink(df: DataFrame, mode: str = "update") -> DataStreamWriter:
 
 
 def with_retries(write: Callable[[DataFrame, int], None], retries: int = 5, pause: float = 1.0):
-    """Repeat a micro-batch write that fails; ``write`` must be safe to repeat."""
+    """Repeat a micro-batch write that fails; ``write`` must be safe to repeat.
+
+    Errors in the query itself do not heal and are raised at once.
+    """
 
     def attempt(batch: DataFrame, batch_id: int) -> None:
         for tried in range(retries + 1):
             try:
                 return write(batch, batch_id)
+            except (AnalysisException, ParseException):
+                raise
             except Exception:
                 if tried == retries:
                     raise

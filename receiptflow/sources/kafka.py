@@ -18,11 +18,13 @@ def kafka_options(
     group_prefix: str = GROUP_PREFIX,
     per_trigger: int | None = None,
     min_partitions: int | None = None,
+    more: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """``starting`` counts for a new checkpoint only: a restarted query goes on from its own offsets.
 
     ``per_trigger`` bounds the messages of one micro-batch; ``min_partitions`` cuts large topic
-    partitions so that a replay is read by more tasks than the topic has partitions.
+    partitions so that a replay is read by more tasks than the topic has partitions; ``more`` are
+    further options of the connector, such as those for security.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -35,7 +37,7 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(per_trigger)
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
-    return options
+    return options | (more or {})
 
 
 def kafka_source(spark: SparkSession, topic: str, servers: str, stream: bool = True, **options) -> DataFrame:

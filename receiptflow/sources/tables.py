@@ -70,10 +70,14 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line items of every tenth order, marked a day after shipping; marks repeat."""
-    lines = load(spark, sf_dir, "lineitem").filter("l_orderkey % 10 = 0")
-    return lines.select(
+    return as_marks(load(spark, sf_dir, "lineitem")).drop("arrival")
+
+
+def as_marks(lines: DataFrame) -> DataFrame:
+    return lines.filter("l_orderkey % 10 = 0").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("receipt_id"),
         (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("detected_ts"),
+        F.col("l_shipdate").alias("arrival"),
     )
 
 

@@ -28,7 +28,7 @@ def replay(
     table: DataFrame,
     order: str,
     start: Callable[[DataFrame], DataStreamWriter],
-    slices: int = 2,
+    slices: int = 4,
     folder: str | None = None,
 ) -> None:
     """Let ``table`` arrive in slices, and run the query that ``start`` builds until it has caught up

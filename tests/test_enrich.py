@@ -99,7 +99,7 @@ def test_batch_forms_equal_model(spark, mode, tx_share):
     log = spark.createDataFrame(events, EVENT)
     plain = enrich(make_tx(log), make_customers(log), mode, Profile())
     assert pairs(plain) == expected
-    hot = profile(interleave(make_tx(log), make_customers(log)), "customer_id", "arrival", chunks=60, min_bytes=0)
+    hot = profile(interleave(make_tx(log), make_customers(log)), "customer_id", "arrival", chunks=60)
     assert hot.chunks["hot"] > 10
     assert pairs(enrich(make_tx(log), make_customers(log), mode, hot)) == expected
 
@@ -130,7 +130,7 @@ def test_order_by_struct(spark):
         return df.withColumn("arrival", order)
 
     tx, customers = placed(make_tx(log)), placed(make_customers(log))
-    hot = profile(interleave(tx, customers), "customer_id", "arrival", chunks=40, min_bytes=0)
+    hot = profile(interleave(tx, customers), "customer_id", "arrival", chunks=40)
     assert hot.chunks["hot"] > 8
     for mode, model in MODELS.items():
         rows = enrich(tx, customers, mode, hot).select("customer_id", "tx_arrival.o", "customer_arrival.o")
@@ -140,7 +140,7 @@ def test_order_by_struct(spark):
 def test_chunks_follow_the_order_and_are_even(spark):
     events = [("hot", i * i, "T") for i in range(4000)] + [(f"k{i}", i, "T") for i in range(4000)]
     log = spark.createDataFrame(events, EVENT)
-    hot = profile(log, "k", "seq", chunks=40, min_bytes=0)
+    hot = profile(log, "k", "seq", chunks=40)
     assert list(hot.chunks) == ["hot"]
     chunked = add_chunk(log, "k", "seq", hot).filter("k = 'hot'").groupBy("_chunk")
     sizes = chunked.agg(F.count("*").alias("n"), F.min("seq").alias("a"), F.max("seq").alias("b")).orderBy("_chunk").collect()
@@ -149,8 +149,9 @@ def test_chunks_follow_the_order_and_are_even(spark):
     assert add_chunk(log, "k", "seq", hot).filter("k <> 'hot' AND _chunk <> 0").count() == 0
 
 
-def test_small_inputs_are_not_profiled(spark):
-    assert profile(spark.range(10).withColumn("k", F.lit("a")), "k").empty
+def test_shares_count_not_sizes(spark):
+    assert profile(spark.range(10).withColumn("k", F.lit("a")), "k").chunks == {"a": 10}
+    assert profile(spark.range(4000).withColumn("k", F.col("id") % 2000), "k", chunks=100).empty
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
@@ -158,7 +159,7 @@ def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 50) END AS k", "id")
     left = left.repartition(6).unionByName(spark.createDataFrame([(None, -1)], "k string, id bigint"))
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("none", 3)], "k string, v int")
-    hot = profile(left, "k", chunks=30, min_bytes=0)
+    hot = profile(left, "k", chunks=30)
     assert hot.chunks["hot"] >= 5
     salted, plain = join_unique(left, right, "k", how, hot), join_unique(left, right, "k", how, Profile())
     assert sorted(map(str, salted.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
@@ -231,7 +232,7 @@ def test_rows_without_customer_are_left_out(spark):
 def test_current_takes_the_latest_version(spark, salted):
     events = random_events(6, 2000, tx_share=0.8) + [("nobody", 9000, "T")]
     log = spark.createDataFrame(events, EVENT)
-    hot = profile(make_tx(log), "customer_id", chunks=30, min_bytes=0) if salted else Profile()
+    hot = profile(make_tx(log), "customer_id", chunks=30) if salted else Profile()
     assert hot.empty != salted
     latest = {k: seq for k, seq, kind in events if kind == "C"}
     rows = enrich(make_tx(log), make_customers(log), "current", hot)

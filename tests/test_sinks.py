@@ -38,6 +38,37 @@ def test_upsert_does_not_depend_on_batches(spark, tmp_path, batches):
     assert spark.sql("SELECT count(*) FROM customers_now").first()[0] == len(expected)
 
 
+def test_new_run_wins_over_stale_batches(spark, tmp_path):
+    first = tables.upsert(CUSTOMER, str(tmp_path))
+    for i in range(3):
+        first(spark.createDataFrame([("a", f"old {i}", None, None, i)], SCHEMA), i)
+    tables.upsert(CUSTOMER, str(tmp_path), run=1)(spark.createDataFrame([("a", "new", None, None, 9)], SCHEMA), 0)
+    assert [r["name"] for r in tables.read_table(spark, str(tmp_path), CUSTOMER).collect()] == ["new"]
+
+
+def test_compaction_keeps_the_table(spark, tmp_path):
+    write = tables.upsert(CUSTOMER, str(tmp_path))
+    write(spark.createDataFrame([("a", "x", None, None, 1), ("b", "y", None, None, 2)], SCHEMA), 0)
+    write(spark.createDataFrame([("a", "z", None, None, 3)], SCHEMA), 1)
+    run = tables.compact(spark, str(tmp_path), CUSTOMER)
+    assert len(tables.batches(spark, str(tmp_path))) == 1
+    rows = lambda: {r[0]: r[1] for r in tables.read_table(spark, str(tmp_path), CUSTOMER).collect()}
+    assert rows() == {"a": "z", "b": "y"}
+    tables.upsert(CUSTOMER, str(tmp_path), run)(spark.createDataFrame([("b", "w", None, None, 4)], SCHEMA), 0)
+    assert rows() == {"a": "z", "b": "w"}
+
+
+def test_unfinished_batches_and_empty_tables(spark, tmp_path):
+    assert tables.read_table(spark, str(tmp_path), CUSTOMER).collect() == []
+    spark.createDataFrame([("a", "x", None, None, 1)], SCHEMA).write.parquet(f"{tmp_path}/run=0/batch=0")
+    (tmp_path / "run=0" / "batch=0" / "_SUCCESS").unlink()
+    assert tables.read_table(spark, str(tmp_path), CUSTOMER).collect() == []
+
+
+def test_password_is_not_shown():
+    assert "secret" not in repr(jdbc.JdbcTarget("jdbc:postgresql://db/x", "user", "secret"))
+
+
 def test_later_batch_wins(spark, tmp_path):
     write = tables.upsert(CUSTOMER, str(tmp_path))
     write(spark.createDataFrame([("a", "new", None, None, 9), (None, "no key", None, None, 10)], SCHEMA), 0)
@@ -99,15 +130,17 @@ def test_kafka_job_is_wired(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jdbc, "execute", None)
     monkeypatch.setattr(jdbc, "ensure_tables", lambda _spark, _target, records: created.extend(r.table for r in records))
 
-    def source(_spark, topic, servers, per_trigger):
-        read.append((topic, servers, per_trigger))
+    def source(_spark, topic, servers, per_trigger, min_partitions, more):
+        read.append((topic, servers, per_trigger, min_partitions, more))
         return kafka_files(spark, str(tmp_path))
 
     monkeypatch.setattr(jobs, "kafka_source", source)
-    job = jobs.kafka_job(spark, "b:9092", TARGET, "/checkpoints", per_trigger=7, window="1 minute")
+    job = jobs.kafka_job(
+        spark, "b:9092", TARGET, "/checkpoints", per_trigger=7, min_partitions=9, kafka={"kafka.security.protocol": "SSL"}, window="1 minute"
+    )
     assert created == ["Raw_Transactions", "Customer", "Fraud_Transactions", "Customer_Transactions"]
     topics = ("transactions_topic", "customer_topic", "fraud_transactions_topic")
-    assert read == [(topic, "b:9092", 7) for topic in topics]
+    assert read == [(topic, "b:9092", 7, 9, {"kafka.security.protocol": "SSL"}) for topic in topics]
     assert set(job.tables) == {r.name for r in RECORDS} and job.window == "1 minute"
 
 

@@ -58,7 +58,7 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     for rows in slices:
         spark.createDataFrame(rows, SALE).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         source = spark.readStream.schema(SALE).parquet(f"{tmp_path}/in")
-        writer = spend(source).writeStream.queryName("late").outputMode("update").foreachBatch(table_sink.append_batch(out))
+        writer = spend(source, delay="0 seconds").writeStream.queryName("late").outputMode("update").foreachBatch(table_sink.append_batch(out))
         query = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
         query.awaitTermination()
         figures = progress_rows(spark, query)
@@ -68,6 +68,11 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert totals(table_sink.read_changes(spark, out, ["customer_id", "window_start"])) == [("a", 0, 1.0, 1), ("a", 0, 10.0, 2)]
 
 
+def test_sum_takes_amounts_as_they_are(spark):
+    rows = spark.createDataFrame([sale("a", 0.004, 0)] * 1000, SALE)
+    assert totals(spend(rows, size="1 minute"))[0][2] == 4.0
+
+
 def test_dedupe(spark, tmp_path):
     rows = [sale("a", float(i), i % 7, f"r{i % 10}") + (i,) for i in range(50)]
     batch = spark.createDataFrame(rows, SALE + ", seq bigint")
@@ -88,7 +93,7 @@ def test_dedupe(spark, tmp_path):
 def test_drop_fraud(spark):
     tx = spark.createDataFrame([sale("a", 1.0, i, f"r{i % 4}") for i in range(400)] + [("a", 1.0, None, None)], SALE)
     marks = spark.createDataFrame([("r1",), ("r1",), ("unknown",), (None,)], "receipt_id string")
-    for hot in (None, profile(tx, "receipt_id", chunks=20, min_bytes=0)):
+    for hot in (None, profile(tx, "receipt_id", chunks=20)):
         assert hot is None or hot.chunks
         kept = quality.drop_fraud(tx, marks, hot).groupBy("receipt_id").count().collect()
         assert {r[0]: r[1] for r in kept} == {"r0": 100, "r2": 100, "r3": 100, None: 1}

@@ -13,11 +13,11 @@ words are one shingle, texts without words have none. Its sketch is the ``K`` le
    possible, and is a link if the whole sets have it exactly.
 4. Links are looked for in rounds. A round compares each class with the few classes that come first,
    in a new random order, in most of its lists, and merges what is linked; members of one component
-   are never compared again. A last round compares all that meet and are still apart.
+   are never compared again. In the end, classes that share lists with other components form
+   families, where those outside the largest component are compared with all others by counting.
 
 So a group of copies costs one comparison each, no pairs within a group are emitted, and every link
-that changes a component is found, whatever the rounds before have found. Full pairs are only ever
-formed between different components that share a rare value.
+that changes a component is found, whatever the rounds before have found.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from receiptflow.llm.components import components, keep
-from receiptflow.llm.text import Hashes, arrow, bounded, pieces, schema_of, windows
+from receiptflow.llm.text import Hashes, arrow, bounded, flat, pieces, schema_of, windows
 from receiptflow.session import work_folder
 
 WORDS = 5
@@ -41,10 +41,9 @@ LEAST_SHARED = {K: 27, WIDE: 325}
 SKETCHES = schema_of("doc_id long, row long, cls binary, n long, sketch array<long>")
 SETS = schema_of("id long, n long, sketch array<long>, shingles binary")
 VERIFIED = schema_of("a long, b long")
-#: While lists hold more pairs between components than this times their length, rounds go on.
-PAIRS = 4
-#: Classes that a class is compared with in a round.
-HUBS = 3
+ACROSS = schema_of("a long, b long, sure boolean")
+#: Rounds, classes that a class is compared with in each, and members in a block of a family.
+ROUNDS, HUBS, FAMILY = 2, 3, 4000
 
 
 def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
@@ -122,11 +121,70 @@ def star(listed: DataFrame, round_: int) -> DataFrame:
     return met.groupBy("id").agg(most.alias("hubs")).select(F.col("id").alias("a"), F.explode("hubs.b").alias("b"))
 
 
-def all_pairs(listed: DataFrame) -> DataFrame:
-    """The pairs of members of a list that belong to different components."""
-    one = listed.select("v", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    two = listed.select("v", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    return one.join(two, "v").where(F.col("ca") < F.col("cb")).where(close_sizes(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+def families(listed: DataFrame) -> DataFrame:
+    """(node, component): the classes that share lists with classes of other components, and what ties them."""
+    ends = listed.groupBy("v").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("id").alias("b"))
+    edges = listed.join(ends.where("low < high").select("v", "b"), "v").select(F.col("id").alias("a"), "b").distinct()
+    return components(edges)
+
+
+def across(group: pa.Table) -> pa.Table:
+    """Links between components of a family: each query counts its values in the block's inverted lists.
+
+    Of links that tie components already tied here, only one is returned. Sets too large for their
+    wide sketch give candidates.
+    """
+    rows = group.to_pydict()
+    n, comp = np.array(rows["n"], np.int64), np.array(rows["comp"], np.int64)
+    home = np.flatnonzero(rows["home"])
+    values = [np.array(rows["sketch"][i], np.int64) for i in home]
+    owner = np.repeat(np.arange(len(home)), [len(v) for v in values])
+    flat_values = np.concatenate(values) if len(home) else np.empty(0, np.int64)
+    order = np.argsort(flat_values, kind="stable")
+    flat_values, owner = flat_values[order], owner[order]
+    tied: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while tied.get(c, c) != c:
+            c = tied[c]
+        return c
+
+    out = {"a": [], "b": [], "sure": []}
+    for q in np.flatnonzero(rows["asks"]):
+        mine = np.array(rows["sketch"][q], np.int64)
+        low, high = np.searchsorted(flat_values, mine), np.searchsorted(flat_values, mine, "right")
+        common = np.bincount(owner[flat(low, high - low)], minlength=len(home))
+        whole = (n[home] <= WIDE) & (n[q] <= WIDE)
+        linked = np.where(whole, 100 * common >= 75 * (n[home] + n[q] - common), common >= LEAST_SHARED[WIDE])
+        for i in np.flatnonzero(linked & (comp[home] != comp[q])):
+            x, y = root(int(comp[q])), root(int(comp[home[i]]))
+            if x != y or not whole[i]:
+                out["a"].append(rows["id"][q])
+                out["b"].append(rows["id"][home[i]])
+                out["sure"].append(bool(whole[i]))
+                if whole[i]:
+                    tied[max(x, y)] = min(x, y)
+    return pa.Table.from_batches([arrow(out, ACROSS)])
+
+
+def last_links(listed: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """All links between classes that share a list and are still in different components.
+
+    In each family the members outside its largest component are compared with every member, in
+    blocks of ``FAMILY`` members, by counting; pairs are not formed.
+    """
+    members = families(listed).withColumnRenamed("node", "id").withColumnRenamed("component", "fam").join(labels, "id")
+    members = keep(members, f"{folder}/members")
+    sizes = members.groupBy("fam", "comp").agg(F.count("*").alias("m"))
+    sizes = sizes.groupBy("fam").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.ceil(F.sum("m") / FAMILY).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = members.join(sizes, "fam").withColumn("asks", F.col("comp") != F.col("main")).withColumn("own", own)
+    blocks = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+    rows = rows.withColumn("block", F.explode(blocks)).withColumn("home", F.col("block") == F.col("own"))
+    rows = rows.join(sets.select("id", "n", "sketch"), "id").select("fam", "block", "id", "comp", "n", "sketch", "home", "asks")
+    found = keep(rows.groupBy("fam", "block").applyInArrow(across, ACROSS), f"{folder}/across")
+    unsure = verified(found.where("not sure").select("a", "b").distinct(), classes, sets)
+    return found.where("sure").select("a", "b").unionByName(unsure)
 
 
 def classes_linked(classes: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
@@ -136,25 +194,18 @@ def classes_linked(classes: DataFrame, docs: DataFrame, folder: str) -> DataFram
     sets = keep(texts.mapInArrow(full_sets, SETS).dropDuplicates(["id"]), f"{folder}/sets")
     lists = keep(prefixes(sets, WIDE), f"{folder}/lists")
     labels = keep(lists.select("id", F.col("id").alias("comp")).distinct(), f"{folder}/labels")
-    total, round_, merged = lists.count(), 0, True
-    while total:
+    for round_ in range(ROUNDS + 1):
         listed = lists.join(labels, "id")
-        apart = listed.groupBy("v", "comp").agg(F.count("*").alias("m")).groupBy("v").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("m"))
-        pairs = (apart.agg(F.sum("m")).first()[0] or 0) // 2
-        if not pairs:
-            break
-        last = round_ > 0 and (pairs <= PAIRS * total or not merged)
-        found = verified(all_pairs(listed) if last else star(listed, round_), classes, sets)
+        if round_ < ROUNDS:
+            found = verified(star(listed, round_), classes, sets)
+        else:
+            found = last_links(listed, classes, sets, labels, folder)
         name = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"c{x}"))
         edges = found.join(name("a"), "a").join(name("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b")
         edges = keep(edges.distinct(), f"{folder}/edges{round_}")
-        merged = not edges.isEmpty()
-        if merged:
+        if not edges.isEmpty():
             new = components(edges).withColumnRenamed("node", "comp")
             labels = keep(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), f"{folder}/labels{round_}")
-        if last:
-            break
-        round_ += 1
     return labels
 
 

@@ -22,6 +22,7 @@ from receiptflow.llm.training import SAMPLE, labelled
 FEATURES = schema_of("label int, x array<double>")
 SCORES = schema_of("doc_id long, score double")
 DIGITS = b"0123456789"
+STATISTICS = 14
 #: Preference pairs learned from, penalty, and the score of a document at the threshold.
 PAIRS, RIDGE, AT_THRESHOLD = 40_000, 1e-3, 0.3
 
@@ -31,7 +32,7 @@ def features(text: bytes) -> list[float]:
     words = text.split()
     n = len(words)
     if not n:
-        return [0.0] * 14
+        return [0.0] * STATISTICS
     chars = len(text.translate(None, SPACE + CONTINUED))
     part = lambda some: share(len(text) - len(text.translate(None, some)), len(text))
     counts = Counter(words)
@@ -83,7 +84,7 @@ class Ranking:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
     """Learn from at most ``sample`` labelled training documents; only their statistics reach the driver."""
     rows = labelled(bounded(docs), labels, "quality", sample).mapInArrow(featured, FEATURES).collect()
-    return Ranking(np.array([r["x"] for r in rows]).reshape(len(rows), -1), np.array([r["label"] for r in rows]))
+    return Ranking(np.array([r["x"] for r in rows]).reshape(len(rows), STATISTICS), np.array([r["label"] for r in rows]))
 
 
 def score(docs: DataFrame, model: Ranking) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 from math import log
 
 import pytest
+from llm_fixtures import clashing, edges, no_docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

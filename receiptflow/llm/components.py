@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from receiptflow.session import work_folder
 
 
-def keep(rows: DataFrame, path: str) -> DataFrame:
+def keep(rows: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
     """Write ``rows`` to the shared folder and read them back: a plan without their past."""
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

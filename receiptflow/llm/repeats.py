@@ -289,11 +289,11 @@ def without_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     bitmap = np.zeros(bits // 64, np.int64)
     bitmap[filled.column("w").to_numpy()] = filled.column("b").to_numpy()
     shared = spark.sparkContext.broadcast(bitmap.view(np.uint64))
-    found = keep(texts.mapInArrow(segments(shared, bits), SEGMENTS), f"{folder}/segments")
+    found = keep(texts.mapInArrow(segments(shared, bits), SEGMENTS), f"{folder}/segments", "zstd")
     place = F.struct("doc_id", "row", (F.col("begin") + F.col("shift")).alias("at"))
     same = found.groupBy("gram", "seg").agg(F.min(place).alias("first"), F.first("body").alias("body"), F.first("count").alias("count"), F.first("shift").alias("shift"))
     distinct = keep(same.select("gram", "seg", "body", "count", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"),
-                                (F.col("first.at") - F.col("shift")).cast("long").alias("first_pos")), f"{folder}/distinct")
+                                (F.col("first.at") - F.col("shift")).cast("long").alias("first_pos")), f"{folder}/distinct", "zstd")
     marks = keep(masks(distinct, crowded), f"{folder}/masks")
     firsts = distinct.select("gram", "seg", "first_doc", "first_row", "first_pos").join(marks, ["gram", "seg"], "left")
     rows = found.select("gram", "seg", "doc_id", "row", "begin", "count").join(firsts, ["gram", "seg"])

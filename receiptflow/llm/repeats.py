@@ -252,19 +252,27 @@ def masks(distinct: DataFrame, crowded: int) -> DataFrame:
 def cutter(schema):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in pieces(batches):
-            kept, removed, spans = [], [], []
-            for text, cuts in zip(texts, rows.column("_cuts").to_pylist(), strict=True):
-                edge = np.zeros(len(text) + 1, np.int32)
-                for c in cuts or ():
-                    at = c["begin"] + np.flatnonzero((np.int64(c["mask"]) >> np.arange(REACH)) & 1)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + LENGTH, -1)
-                gone = np.cumsum(edge[:-1]) > 0 if cuts else np.zeros(0, bool)
-                kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes() if cuts else text)
-                removed.append(len(text) - len(kept[-1]))
-                spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
+            sizes = np.array([len(t) for t in texts], np.int64)
+            begin = starts(sizes)
+            column = rows.column("_cuts")
+            doc = np.repeat(np.arange(len(texts)), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            cuts = column.flatten()
+            first = cuts.field("begin").to_numpy(zero_copy_only=False).astype(np.int64) + begin[doc]
+            which, bit = np.nonzero((cuts.field("mask").to_numpy(zero_copy_only=False).astype(np.int64)[:, None] >> np.arange(REACH)) & 1)
+            at = first[which] + bit
+            edge = np.bincount(at, minlength=begin[-1] + 1) - np.bincount(at + LENGTH, minlength=begin[-1] + 1)
+            gone = np.cumsum(edge)[:-1] > 0
+            opens = gone & np.append(True, ~gone[:-1])[: len(gone)]
+            # A document that begins with a cut opens one, whatever the one before ends with.
+            heads = begin[:-1][sizes > 0]
+            opens[heads] = gone[heads]
+            left = np.frombuffer(b"".join(texts), np.uint8)[~gone].tobytes()
+            lost, opened = starts(gone), starts(opens)
+            ends = (begin - lost[begin]).tolist()
+            kept = [left[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            removed, spans = np.diff(lost[begin]), np.diff(opened[begin])
             named = {f.name: rows.column(f.name) for f in schema.fields if f.name in rows.schema.names}
-            yield arrow(named | {"kept": kept, "n_bytes": [len(t) for t in texts], "n_removed": removed, "n_spans": spans}, schema)
+            yield arrow(named | {"kept": kept, "n_bytes": sizes, "n_removed": removed, "n_spans": spans}, schema)
 
     return cut
 

@@ -149,13 +149,14 @@ def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
         if not len(slots) or known > left[mine].max():
             return order
         after = np.where(left[mine] > known, rank[np.minimum(mine + known, n - 1)] + 1, 0)
-        again = np.lexsort((mine, after, rank[mine]))
+        # Stable: equal ones stay in the order of their places.
+        both = rank[mine] * (n + 2) + after
+        again = np.argsort(both, kind="stable")
         order[slots] = mine[again]
-        key = rank * 1
+        both = both[again]
         # Order within the ties becomes part of the key: where neighbours differ a new rank begins.
-        sub = after[again]
-        rise = np.append(0, ((sub[1:] != sub[:-1]) | (rank[mine][again][1:] != rank[mine][again][:-1])).astype(np.int64))
-        fresh = np.where(np.append(1, rise[1:]) > 0, slots, 0)
+        fresh = np.where(np.append(True, both[1:] != both[:-1]), slots, 0)
+        key = rank
         key[mine[again]] = np.maximum.accumulate(fresh)
         known *= 2
 

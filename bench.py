@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from receiptflow.plans.catalog import QUERIES
+from receiptflow.plans.job_queries import forget
 from receiptflow.session import prepare
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -24,10 +25,11 @@ ONLY = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
 
 
 def is_stream(name: str) -> bool:
-    return name.endswith(("_stream", "_batches")) or name in ("spend_processing_time", "enriched_table")
+    return name.endswith(("_stream", "_batches")) or name.startswith("job_") or name in ("spend_processing_time", "enriched_table")
 
 
 def seconds(spark: SparkSession, name: str) -> float:
+    forget()
     start = time.perf_counter()
     QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start

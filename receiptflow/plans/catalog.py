@@ -14,6 +14,7 @@ from receiptflow.operators import quality, reports
 from receiptflow.operators.enrich import enrich, interleave
 from receiptflow.operators.latest import latest_per_key
 from receiptflow.operators.skew import profile
+from receiptflow.plans.job_queries import QUERIES as JOB_QUERIES
 from receiptflow.plans.jobs import REQUIRED
 from receiptflow.operators.spend import spend
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
@@ -378,4 +379,5 @@ QUERIES: dict[str, Query] = {
     "drop_fraud_late_stream": drop_fraud_late_stream,
     "monthly_spend": monthly_spend,
     "peak_hours": peak_hours,
+    **JOB_QUERIES,
 }

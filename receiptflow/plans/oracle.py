@@ -185,6 +185,17 @@ WITH {_TX}
 SELECT customer_id, CAST(year(receipt_date) AS INT) AS y, CAST(month(receipt_date) AS INT) AS m,
        CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS spend, count(*) AS n
 FROM tx WHERE arrival_rank = 1 GROUP BY 1, 2, 3""",
+    "job_enriched": f"SELECT * EXCLUDE (tx_arrival, customer_arrival) FROM ({_ASOF})",
+    "job_totals": """
+SELECT concat('', user_id) AS customer_id, epoch_us(ts) // 10000000 * 10000 AS window_start_ms,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n
+FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""",
+    "job_tables": f"""
+WITH {_MARKS}, {_ASOF_PAIRS}
+SELECT 'Raw_Transactions' AS name, count(*) AS n, count(*) AS keys FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'Customer', count(DISTINCT user_id), count(DISTINCT user_id) FROM events WHERE event_type = 'signup'
+UNION ALL SELECT 'Fraud_Transactions', count(DISTINCT receipt_id), count(DISTINCT receipt_id) FROM marks
+UNION ALL SELECT 'Customer_Transactions', count(*), count(*) FROM pairs""",
     "peak_hours": """
 SELECT CAST(hour(ts) AS INT) AS h, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC) AS INT) AS rk
 FROM events GROUP BY 1""",

@@ -42,7 +42,7 @@ def progress_row(progress) -> tuple:
     )
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The latest micro-batches of a query; Spark keeps a fixed number of them."""
     return spark.createDataFrame([progress_row(p) for p in query.recentProgress], PROGRESS)
 

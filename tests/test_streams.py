@@ -16,7 +16,7 @@ from receiptflow.session import work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import kafka_files
-from receiptflow.streaming.metrics import PROGRESS, ProgressListener, observed, progress_rows
+from receiptflow.streaming.metrics import PROGRESS, ProgressListener, observed, recent_progress
 from receiptflow.streaming.replay import catch_up, replay
 
 SALE = "customer_id string, total_amount double, receipt_date timestamp, receipt_id string"
@@ -61,7 +61,7 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         writer = spend(source, delay="0 seconds").writeStream.queryName("late").outputMode("update").foreachBatch(table_sink.append_batch(out))
         query = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
         query.awaitTermination()
-        figures = progress_rows(spark, query)
+        figures = recent_progress(spark, query)
         assert figures.schema == PROGRESS
         dropped.append(figures.agg(F.sum("late_rows_dropped")).first()[0])
     assert dropped == [0, 0, 1]
@@ -132,7 +132,7 @@ def topic(spark, record, values, start):
 
 def receipt(i, customer):
     return {
-        "customerId": customer, "productId": "pr-1", "productName": "LG TV 2k", "productPrice": 600.25,
+        "customerId": customer, "productId": "pr-1", "productName": "blue kettle", "productPrice": 600.25,
         "productQuantity": 2, "totalAmount": 1200.5, "receiptId": f"r{i}", "receiptDate": f"2024-01-01T00:00:{i:02d}.000000",
         "paymentMethod": "Zelle",
     }

@@ -67,7 +67,9 @@ def enrich_stream(
         outputMode="Append",
         timeMode="None" if ttl is None else "ProcessingTime",
     )
-    return pairs.select(_unpack("tx", log), _unpack("cust", log)).select(*enriched(F.col("tx"), F.col("cust")))
+    # One generator for each side (of one row) keeps the optimizer from parsing anew for every field.
+    read = pairs.select(_read("tx", log), "cust").select("tx", _read("cust", log))
+    return read.select(_unpack("tx", log), _unpack("cust", log)).select(*enriched(F.col("tx"), F.col("cust")))
 
 
 def _arrival_parts(log: DataFrame) -> dict[str, Column]:
@@ -95,14 +97,22 @@ def _pack(body: str, log: DataFrame) -> Column:
     return F.when(F.col(body).isNotNull(), F.to_json(F.struct(*fields)))
 
 
-def _unpack(body: str, log: DataFrame) -> Column:
+def _times(body: str, log: DataFrame) -> set[str]:
+    return {f.name for f in log.schema[body].dataType.fields if isinstance(f.dataType, T.TimestampType)}
+
+
+def _read(body: str, log: DataFrame) -> Column:
+    times = _times(body, log)
     fields = log.schema[body].dataType.fields
-    times = {f.name for f in fields if isinstance(f.dataType, T.TimestampType)}
     shape = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in fields])
-    read = F.from_json(body, shape)
+    return F.explode(F.array(F.from_json(body, shape))).alias(body)
+
+
+def _unpack(body: str, log: DataFrame) -> Column:
+    times = _times(body, log)
     back = [
-        F.timestamp_micros(read.getField(f.name)).alias(f.name) if f.name in times else read.getField(f.name).alias(f.name)
-        for f in fields
+        (F.timestamp_micros(F.col(body).getField(f.name)) if f.name in times else F.col(body).getField(f.name)).alias(f.name)
+        for f in log.schema[body].dataType.fields
     ]
     return F.struct(*back).alias(body)
 

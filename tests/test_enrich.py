@@ -244,3 +244,11 @@ def test_unknown_mode(spark):
     log = spark.createDataFrame([("a", 1, "T")], EVENT)
     with pytest.raises(ValueError):
         enrich(make_tx(log), make_customers(log), "nearest")
+
+
+def test_state_store_output_is_parsed_once_a_side(spark):
+    from receiptflow.streaming.enrich import enrich_stream
+
+    log = spark.createDataFrame([("T", "a", 1), ("C", "a", 2)], "kind string, k string, seq bigint")
+    rows = enrich_stream(make_tx(log), make_customers(log))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2

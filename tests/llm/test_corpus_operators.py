@@ -229,5 +229,6 @@ def test_pipeline_on_edges(spark, edges, no_docs, clashing):
     sf_dir = f"{TESTDATA}/sf0.001"
     for docs in (edges, no_docs, clashing):
         for _, stage in corpus_pipeline.STAGES:
-            assert set(docs.columns) <= set(stage(spark, docs, sf_dir).columns)
-            assert stage(spark, docs, sf_dir).count() <= docs.count()
+            rows = stage(spark, docs, sf_dir)
+            assert set(docs.columns) <= set(rows.columns)
+            assert rows.count() <= docs.count()

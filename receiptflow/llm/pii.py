@@ -24,7 +24,6 @@ from receiptflow.llm.text import arrow, bounded, pieces, schema_of
 KINDS = ("email", "ip", "card", "phone")
 FOUND = schema_of("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, n_added long")
 
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits that gives no match gives none from its middle either, so only its first digit is tried.

@@ -207,7 +207,9 @@ def repeats(group: pa.Table) -> pa.Table:
     left = sizes[segment] - 1 - offset
     order = suffix_order(symbols, left)
     edge = boundaries(symbols, order, len(bodies), LENGTH)
-    when = np.lexsort([np.array(group.column(c).to_pylist(), dtype) for c, dtype in (("first_pos", np.int64), ("first_row", np.int64))] + [np.array([(-(1 << 63) if v is None else v) for v in group.column("first_doc").to_pylist()], np.int64)])
+    least = -(1 << 63)
+    first = {c: np.array([least if v is None else v for v in group.column(c).to_pylist()], np.int64) for c in ("first_pos", "first_row", "first_doc")}
+    when = np.lexsort(list(first.values()))
     rank = np.empty(len(bodies), np.int64)
     rank[when] = np.arange(len(bodies))
     mine = rank[segment[order]]

@@ -40,6 +40,20 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORDS).split()
 
 
+def steps(positions: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The positions of each term as steps from one to the next, the first from 0; they compress better."""
+    out = np.diff(positions, prepend=np.int32(0))
+    out[ends[:-1]] = positions[ends[:-1]]
+    return out
+
+
+def places(stepped: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What ``steps`` came from."""
+    total = np.cumsum(stepped, dtype=np.int64)
+    first = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
+    return (total - np.repeat(total[first] - stepped[first], np.diff(np.append(first, len(stepped))))).astype(np.int32)
+
+
 def index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = Hashes()
     for rows, texts in pieces(batches, size=SIZE):
@@ -49,7 +63,7 @@ def index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(tokens, kind="stable").astype(np.int32)
         terms, first = np.unique(tokens[order], return_index=True)
         ends = np.append(first[1:], len(tokens)).astype(np.int32) if len(terms) else np.empty(0, np.int32)
-        blobs = [b.tobytes() for b in (lengths, terms, ends, order)]
+        blobs = [b.tobytes() for b in (lengths, terms, ends, steps(order, ends))]
         row = [uuid.uuid4().hex, rows.column("_key").to_pylist(), *blobs]
         yield arrow({name: [value] for name, value in zip(SHARD.names, row, strict=True)}, SHARD)
 
@@ -61,7 +75,7 @@ def build_index(docs: DataFrame, key: str = "doc_id") -> str:
     documents of their own.
     """
     path = work_folder(docs.sparkSession, "positions")
-    bounded(docs).select(F.col(key).cast("string").alias("_key"), "text").mapInArrow(index_shards, SHARD).write.parquet(path)
+    bounded(docs).select(F.col(key).cast("string").alias("_key"), "text").mapInArrow(index_shards, SHARD).write.parquet(path, compression="zstd")
     return path
 
 
@@ -136,7 +150,7 @@ def search_shards(tests: tuple, slop: int):
             for row in batch.to_pylist():
                 sizes = np.frombuffer(row["lengths"], np.int32)
                 terms, ends = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["ends"], np.int32)
-                positions = np.frombuffer(row["positions"], np.int32)
+                positions = places(np.frombuffer(row["positions"], np.int32), ends)
                 begin = starts(sizes)
                 doc_of = np.repeat(np.arange(len(sizes)), sizes)
                 (window, start), (near, near_start) = matches(terms, ends, positions, doc_of, hashes, lengths, slop)

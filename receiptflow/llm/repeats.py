@@ -306,9 +306,9 @@ def without_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     distinct = keep(same.select("gram", "seg", "body", "count", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"),
                                 (F.col("first.at") - F.col("shift")).cast("long").alias("first_pos")), f"{folder}/distinct", "zstd")
     marks = keep(masks(distinct, crowded), f"{folder}/masks")
-    firsts = distinct.select("gram", "seg", "first_doc", "first_row", "first_pos").join(marks, ["gram", "seg"], "left")
-    rows = found.select("gram", "seg", "doc_id", "row", "begin", "count").join(firsts, ["gram", "seg"])
-    is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("row") == F.col("first_row")) & (F.col("begin") == F.col("first_pos"))
+    firsts = distinct.select("gram", "seg", "first_row", F.col("first_pos").cast("int").alias("first_pos")).join(marks, ["gram", "seg"], "left")
+    rows = found.select("gram", "seg", "row", "begin", "count").join(firsts, ["gram", "seg"])
+    is_first = (F.col("row") == F.col("first_row")) & (F.col("begin") == F.col("first_pos"))
     all_of = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("count")) - 1
     cuts = rows.select("row", "begin", F.when(is_first, F.coalesce("mask", F.lit(0).cast("long"))).otherwise(all_of).alias("mask")).where("mask <> 0")
     cuts = cuts.groupBy("row").agg(F.collect_set(F.struct("begin", "mask")).alias("_cuts")).withColumnRenamed("row", "_row")

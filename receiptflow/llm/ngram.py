@@ -201,7 +201,8 @@ def score_packed(docs: DataFrame, words: DataFrame, heavy: list[int], total: int
         return result(parts)
     parts = keep(parts, f"{folder}/parts")
     counts = parts.where("gram is not null").groupBy("gram").agg(F.sum("tf").alias("c"))
-    # At most HEAVY rows.
+    # At most HEAVY rows; what was counted less than LEAST times has no part in a sum, as anywhere else.
+    counts = counts.where(F.col("c") >= LEAST)
     apart = parts.where("gram is not null").join(F.broadcast(counts), "gram")
     apart = apart.withColumn("micro", F.col("micro") + F.col("tf") * F.round(F.log("c") * MICRO).cast("long"))
     return result(parts.where("gram is null").unionByName(apart.select(*PARTS.names)))

@@ -205,6 +205,14 @@ def test_language_model(spark, monkeypatch, vocabulary, heavy):
     assert [rows[i] for i in range(len(texts))] == scores(texts)
 
 
+@pytest.mark.parametrize("vocabulary", [ngram.VOCABULARY, 3])
+def test_language_model_of_few_words(spark, vocabulary):
+    texts = ["a b c d", "a b x y", "e f", "g", "a b a b a b q r s"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.micro) for r in ngram.score(docs, vocabulary).collect()}
+    assert [rows[i] for i in range(len(texts))] == scores(texts)
+
+
 def test_language_model_on_edges(edges, no_docs, clashing):
     assert ngram.score(no_docs).count() == 0
     assert ngram.score(edges).where("score IS NULL").count() == 3

@@ -6,24 +6,40 @@ floor(j period / w) and due by ceil((j + 1) period / w); each slot goes to the r
 deadline is earliest. The weights add up to the period, so no block is late, and after any number of
 slots each source is less than one block away from its share.
 
-Such a schedule repeats every period. Only one period is worked out, ``period`` rows in all, and every
-block finds its slot by its number; documents are numbered within their source over range
-partitions, so the largest source is spread over as many tasks as its size asks for.
+Without a given period the targets hold as they are (``phases``): up to the slot where the first source runs
+out, blocks are dealt by largest remainders of the targets, then those of the sources that are left, and so
+on. Phases longer than ``SLOTS`` repeat a period of so many. The phases are numbers of blocks by source, which
+each task works out for itself; the schedule is a table on Spark, a row for each block, and any number of
+sources fits. With a period given, as the SQL of ``op6_source_mix`` has it, one period is worked out and every
+block finds its slot by its number; there each source has a slot of its own first, which draws shares together.
+
+Documents are numbered within their source over range partitions, so the largest source is spread
+over as many tasks as its size asks for.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from itertools import batched
 from math import isqrt
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from receiptflow.llm.components import keep
+from receiptflow.llm.text import arrow, schema_of
 from receiptflow.session import work_folder
 
 BLOCK, PERIOD = 16, 1000
+#: Slots of a period that a long phase repeats, at least, and tasks that lay out phases.
+SLOTS, TASKS = 1 << 18, 16
+
+LAID = schema_of("source string, block long, weight long, slot long, period long, periods long, in_mix boolean")
 
 
 def shares(wanted: dict[str | None, int], period: int = PERIOD) -> dict[str | None, int]:
@@ -38,20 +54,106 @@ def shares(wanted: dict[str | None, int], period: int = PERIOD) -> dict[str | No
     return out
 
 
-def schedule(weights: dict[str | None, int], period: int = PERIOD) -> list[str | None]:
-    """The source of each slot of a period."""
-    order = sorted(weights, key=lambda s: (s is not None, s or ""))
-    waiting = [(0, i, 0) for i in range(len(order))]
+def turns(weights: list[int], period: int) -> Iterator[tuple[int, int]]:
+    """Which weight each slot of a period goes to, and which of its blocks."""
+    waiting = [(0, i, 0) for i in range(len(weights))]
     ready: list[tuple[int, int, int]] = []
-    out = []
     for slot in range(period):
         while waiting and waiting[0][0] <= slot:
             _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // weights[order[i]]), i, j))
+            heapq.heappush(ready, (-(-(j + 1) * period // weights[i]), i, j))
         _, i, j = heapq.heappop(ready)
-        out.append(order[i])
-        heapq.heappush(waiting, ((j + 1) * period // weights[order[i]], i, j + 1))
-    return out
+        yield i, j
+        heapq.heappush(waiting, ((j + 1) * period // weights[i], i, j + 1))
+
+
+def schedule(weights: dict[str | None, int], period: int = PERIOD) -> list[str | None]:
+    """The source of each slot of a period."""
+    order = sorted(weights, key=lambda s: (s is not None, s or ""))
+    return [order[i] for i, _ in turns([weights[s] for s in order], period)]
+
+
+class Phase(NamedTuple):
+    """Equal periods: the first slot, their length and number, and sources with first blocks and blocks a period."""
+
+    start: int
+    period: int
+    periods: int
+    sources: np.ndarray
+    first: np.ndarray
+    weights: np.ndarray
+    in_mix: bool
+
+
+def phases(blocks: list[int], wanted: list[int], longest: int = SLOTS) -> Iterator[Phase]:
+    """Deals all blocks of all sources by the targets ``wanted`` of those that are left.
+
+    A phase ends where the first of its sources runs out. Blocks are rounded to the targets by largest remainders,
+    so within a period each source is less than two blocks away from its target. A phase of more than ``longest``
+    slots repeats a period of so many, or of as many as the least target asks for, then ends with a shorter one.
+    Sources without a target come in equal parts after all others.
+    """
+    left, total, start = np.array(blocks, np.int64), sum(blocks), 0
+    top = max(1, -(-max(wanted, default=1) * (total + 1) >> 62))
+    wanted = np.array([-(-w // top) for w in wanted], np.int64)
+    done, alone = np.zeros(len(left), np.int64), np.count_nonzero(left) == 1
+    while left.any():
+        live = np.flatnonzero((left > 0) & (wanted > 0))
+        target = wanted[live]
+        in_mix = len(live) > 1 or alone
+        if not len(live):
+            live = np.flatnonzero(left)
+            target = np.ones(len(live), np.int64)
+        weight, rest = sum(target.tolist()), left[live]
+        end = int(np.argmin(rest / target))
+        length = -(-int(rest[end]) * weight // int(target[end]))
+        period = min(length, max(longest, -(-weight // int(target.min()))))
+        part, over = np.divmod(period * target, weight)
+        part = np.minimum(part, rest)
+        more = np.lexsort((live, -over))
+        more = more[part[more] < rest[more]][: period - int(part.sum())]
+        part[more] += 1
+        if period == length:
+            part[end] = rest[end]
+        some = np.flatnonzero(part)
+        live, part = live[some], part[some]
+        period, periods = int(part.sum()), 1 if period == length else max(1, int((left[live] // part).min()))
+        yield Phase(start, period, periods, live, done[live], part, in_mix)
+        left[live] -= part * periods
+        done[live] += part * periods
+        start += period * periods
+
+
+def lay_out(names: list[str | None], blocks: list[int], wanted: list[int], longest: int, tasks: int):
+    """Rows of ``LAID``, one for each block of a period, of the phases that fall to a task."""
+
+    def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task in (t for batch in batches for t in batch.column(0).to_pylist()):
+            for number, p in enumerate(phases(blocks, wanted, longest)):
+                if number % tasks != task:
+                    continue
+                for run in batched(enumerate(turns(p.weights.tolist(), p.period)), 1 << 16):
+                    place, i, j = np.array([(slot, *turn) for slot, turn in run], np.int64).T
+                    same = lambda value: [value] * len(place)  # noqa: B023, E731
+                    yield arrow({
+                        "source": [names[x] for x in p.sources[i]], "block": p.first[i] + j, "weight": p.weights[i], "slot": p.start + place,
+                        "period": same(p.period), "periods": same(p.periods), "in_mix": same(p.in_mix),
+                    }, LAID)
+
+    return laid
+
+
+def placed_by_phases(ids: DataFrame, sizes: dict[str | None, int], wanted: dict[str | None, int], block: int, longest: int) -> DataFrame:
+    """The result of ``slots`` by the phases of the targets."""
+    names = sorted(sizes, key=lambda s: (s is not None, s or ""))
+    deal = lay_out(names, [-(-sizes[s] // block) for s in names], [wanted[s] for s in names], longest, TASKS)
+    laid = ids.sparkSession.range(0, TASKS, 1, TASKS).mapInArrow(deal, LAID)
+    laid = laid.withColumn("again", F.explode(F.sequence(F.lit(0).cast("long"), F.col("periods") - 1)))
+    at = lambda x, step: (F.col(x) + F.col("again") * F.col(step)).alias(x)
+    laid = laid.select("source", at("block", "weight"), at("slot", "period"), "in_mix").alias("p")
+    rows = numbered(ids).withColumn("block", F.floor(F.col("number") / block)).alias("n")
+    rows = rows.join(laid, F.col("n.source").eqNullSafe(F.col("p.source")) & (F.col("n.block") == F.col("p.block")))
+    return rows.select("n.source", "n.doc_id", "n.block", "p.slot", "p.in_mix")
 
 
 def numbered(ids: DataFrame) -> DataFrame:
@@ -71,21 +173,27 @@ def numbered(ids: DataFrame) -> DataFrame:
     return rows.select("d.source", "d.doc_id", (F.col("before") + F.col("place")).alias("number"))
 
 
-def slots(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def slots(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, period: int | None = None, longest: int = SLOTS) -> DataFrame:
     """(source, doc_id, block, slot, in_mix) for each distinct source and id of ``docs``.
 
     ``targets`` are whole numbers for the sources, by default the integer roots of a million times their sizes.
-    Every source gets at least one slot a period, sources not named as well, and there can be at most
-    ``period`` of them. Slots of a source that has run out stay empty; ``in_mix`` marks the documents
-    before the first empty slot, where the shares hold. A null source is a source, a null id an id.
+    When a source has run out the others go on by their targets; ``in_mix`` marks the documents up to where
+    fewer than two sources with a target are left. Sources that ``targets`` does not name come last.
+
+    With a ``period``, every source gets at least one slot a period, sources not named as well; slots of a source
+    that has run out stay empty, and ``in_mix`` marks the documents before the first empty slot. More
+    sources than the period has slots are placed as without one. A null source is a source, a null id an id.
     """
     spark = docs.sparkSession
     ids = docs.select(F.col("source").alias("source"), "doc_id")
-    # One row for each source, at most ``period``; more are refused.
-    sizes = {r[0]: r[1] for r in ids.groupBy("source").agg(F.count_distinct(F.struct("doc_id"))).limit(period + 1).collect()}
+    # One row for each source.
+    sizes = {r[0]: r[1] for r in ids.groupBy("source").agg(F.count_distinct(F.struct("doc_id"))).collect()}
     if not sizes:
         return docs.select("source", "doc_id").withColumns({"block": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "in_mix": F.lit(True)})
-    weights = shares({s: (targets or {}).get(s, 0) if targets else isqrt(1_000_000 * n) for s, n in sizes.items()}, period)
+    wanted = {s: (targets or {}).get(s, 0) if targets else isqrt(1_000_000 * n) for s, n in sizes.items()}
+    if period is None or len(sizes) > period:
+        return placed_by_phases(ids, sizes, wanted, block, longest)
+    weights = shares(wanted, period)
     plan, seen, places = schedule(weights, period), {}, []
     for slot, source in enumerate(plan):
         places.append((source, seen.get(source, 0), weights[source], slot))
@@ -103,7 +211,7 @@ def slots(docs: DataFrame, targets: dict[str | None, int] | None = None, block:
     return rows.select("n.source", "n.doc_id", "n.block", slot.alias("slot")).withColumn("in_mix", F.col("slot") < horizon)
 
 
-def mixed(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str | None, int] | None = None, block: int = BLOCK, period: int | None = None) -> DataFrame:
     """``docs`` in the order of the mix, with ``slot`` and ``in_mix``; all rows stay.
 
     Columns of these two names are replaced. Repeated rows share their place.

@@ -52,8 +52,8 @@ def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slots of all documents in a mix of sources by the roots of their sizes."""
-    return mixing.slots(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    """Slots of all documents in a mix of sources by the roots of their sizes, in the fixed period of its SQL."""
+    return mixing.slots(table(spark, sf_dir, "documents").select("doc_id", "source"), period=mixing.PERIOD)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

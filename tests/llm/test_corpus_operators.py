@@ -197,6 +197,36 @@ def test_mix(spark):
         assert all(abs(counts[s] - n * w / 10) < 1 for s, w in weights.items())
 
 
+@pytest.mark.parametrize("longest", [mixing.SLOTS, 50])
+def test_mix_keeps_targets(spark, longest):
+    # One source of half of the target among 1500 others of equal ones, one of which has a single document.
+    sizes = {"big": 3000} | {f"s{i}": 1 if i == 7 else 2 for i in range(1500)}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    rows = mixing.slots(docs, {s: 1500 if s == "big" else 1 for s in sizes}, block=1, longest=longest).orderBy("slot").collect()
+    assert [r.slot for r in rows] == list(range(sum(sizes.values())))
+    assert {r.source for r in rows[:10]} >= {"big"} and all(r.in_mix for r in rows[:5900])
+    count = 0
+    for n, r in enumerate(rows[:5900], 1):
+        count += r.source == "big"
+        assert abs(count - n / 2) <= 4
+
+
+@pytest.mark.parametrize("longest", [mixing.SLOTS, 40])
+def test_phases_deal_all_blocks_by_target(longest):
+    blocks, wanted = [700, 1, 40, 333, 5], [50, 25, 20, 5, 0]
+    dealt, slot = [0] * 5, 0
+    for p in mixing.phases(blocks, wanted, longest):
+        assert p.start == slot and p.weights.sum() == p.period
+        total = sum(wanted[i] for i in p.sources)
+        if total:
+            assert all(abs(w - p.period * wanted[i] / total) < 1 for i, w in zip(p.sources, p.weights.tolist()))
+        assert p.first.tolist() == [dealt[i] for i in p.sources]
+        for i, w in zip(p.sources, p.weights.tolist()):
+            dealt[i] += w * p.periods
+        slot += p.period * p.periods
+    assert dealt == blocks
+
+
 def test_mix_on_edges(edges, no_docs, clashing):
     assert mixing.mixed(no_docs).count() == 0
     assert mixing.mixed(edges).count() == 9

@@ -99,11 +99,29 @@ AT = re.compile(
     re.IGNORECASE,
 )
 DOT = re.compile(_dot, re.IGNORECASE)
+_named = r"\s+(?:punto|point)\s+"
+_domain = rf"[a-z0-9-]++(?:(?:\.|{_dot}|{_named})[a-z0-9-]++)+"
+#: What ``AT`` leaves: a plain at whose domain has real dots, or punto and point, which are words of their own as well.
+SPOKEN = re.compile(rf"(?<=[a-z0-9_%+-])\s+(at|arroba|arobase)\s+(?={_domain})", re.IGNORECASE)
+PLAIN_DOMAIN = re.compile(_domain, re.IGNORECASE)
+AFTER = re.compile(rf"@{_domain}", re.IGNORECASE)
+SEPARATOR = re.compile(rf"\.|{_dot}|{_named}", re.IGNORECASE)
+NAMED = re.compile(_named, re.IGNORECASE)
+#: The local part that ends a text, with its named dots; ``LOCAL`` characters are looked at.
+BEFORE = re.compile(rf"[a-z0-9_%+-]+(?:(?:\.|{_named})[a-z0-9_%+-]+)+$", re.IGNORECASE)
+LOCAL = 100
+#: Endings of domains, besides those of two letters.
+ENDINGS = frozenset("com org net edu gov mil int info biz name pro coop museum aero jobs mobi travel cat tel xxx post asia eus gal app dev xyz online site shop store cloud tech club blog wiki page email live news world life agency space website top vip work team group company digital media studio design email berlin hamburg koeln wien paris madrid london nyc test example invalid localhost".split())
+#: Endings of two letters that are words of the four languages and may follow point.
+SHORT_WORDS = frozenset("am an as at be by do go he hi if in is it me my no of on or so to up us we ab da du er es im ja ob so um wo zu au ce de du en et il je la le ma me ne ni on ou sa se si ta te tu un va vu al lo mi os su ti ya yo".split())
+#: Words before a plain at that name a site and no person.
+SITES = frozenset("a about also am an and are arrive arrived available based be been blog bought buy buying by can check checked checking click com come details directly do download everything find first for found free from go hear her here him hosted i in information is it item items its join just learn link links listed listen live located look looked looking looks meet more my not now of on online only or order ordered our out over page pages play please posted products published purchase read register registered reserved see seen sell she shop shopping shown sign site sites sold something start started starting stay stop store stream subscribe that the their them there these they things this those tickets to today together up us use view visit was watch watching we web website were what work worked working works you your yourself".split())
 #: Runs of three or more digits, at least one of them in words, with their signs.
 SPELLED = re.compile(rf"\b(?:plus\s+)?(?:{_word}|[0-9]+)(?:[\s,.-]+(?:(?:dot|point|punkt|dash|hyphen)\s+)?(?:{_word}|[0-9]+))+\b", re.IGNORECASE)
 WORD = re.compile(rf"(?P<digit>{_word})|(?P<plain>[0-9]+)|(?P<plus>plus)|(?P<dot>dot|point|punkt)|(?P<dash>dash|hyphen)|(?P<sign>\.)|(?P<gap>[\s,-]+)", re.IGNORECASE)
 BRACKETED = re.compile(rf"{_open}\s*(?:at|@|arroba|arobase|dot|punkt|punto|point|\.)\s*{_close}", re.IGNORECASE)
 TRIGGERS = frozenset(w.encode() for w in (*DIGIT_WORDS, "dot", "punkt"))
+PLAIN = frozenset((b"at", b"punto", b"point", b"arroba", b"arobase"))
 APART = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 RUN = re.compile(rf"\b(?:{_word})[\s,.-]+(?:(?:dot|point|punkt|dash|hyphen)\s+)?(?:{_word}|[0-9])", re.IGNORECASE)
 
@@ -159,8 +177,61 @@ def homoglyphs(tape: Tape) -> None:
         tape.rewrite([(i, i + 1, value) for i, char in enumerate(tape.text) if (value := plain(char)) is not None])
 
 
+def ends_domain(label: str, strict: bool) -> bool:
+    """Whether a domain can end so; ``strict`` where the label may as well be a word of the text."""
+    name = label.lower()
+    return name in ENDINGS or len(name) == 2 and name.isalpha() and not (strict and name in SHORT_WORDS)
+
+
+def spoken_ats(text: str) -> list[tuple[int, int, str]]:
+    edits = []
+    for m in SPOKEN.finditer(text):
+        domain = PLAIN_DOMAIN.match(text, m.end())
+        labels = SEPARATOR.split(domain[0])
+        named, real = NAMED.search(domain[0]), "." in SEPARATOR.findall(domain[0])
+        last = labels[-1]
+        if named:
+            good = any(ends_domain(x, m[1].lower() == "at") for x in labels[1:])
+        elif m[1].lower() != "at":
+            good = ends_domain(last, False)
+        else:
+            before = re.search(r"[a-z0-9._%+-]+$", text[max(0, m.start() - LOCAL) : m.start()], re.IGNORECASE)
+            # Sentences run together (it.It), sites and addresses of pages are none.
+            good = real and ends_domain(last, False) and (last.islower() or domain[0].isupper()) and labels[0].lower() != "www"
+            good = good and before[0].lower() not in SITES and text[domain.end() : domain.end() + 1] not in ("/", ":", "@")
+        if good:
+            edits.append((m.start(), m.end(), "@"))
+    return edits
+
+
+def named_dots(tape: Tape) -> list[tuple[int, int, str]]:
+    """The plain punto and point in addresses whose at is known: up to the last ending, and in the local part."""
+    edits, floor = [], 0
+    for m in AFTER.finditer(tape.text):
+        parts = [*SEPARATOR.finditer(tape.text, m.start(), m.end())]
+        named = [NAMED.fullmatch(x[0]) is not None for x in parts]
+        new = tape.new[m.start()]
+        if new:
+            start = max(floor, m.start() - LOCAL)
+            local = BEFORE.search(tape.text[start : m.start()])
+            if local:
+                edits += [(x.start(), x.end(), ".") for x in NAMED.finditer(tape.text, start + local.start(), m.start())]
+        if not any(named) or not new and not named[0]:
+            continue
+        stops = [x.start() for x in parts[1:]] + [m.end()]
+        ends = [ends_domain(tape.text[x.end() : stop], not new) for x, stop in zip(parts, stops, strict=True)]
+        upto = max((i for i, good in enumerate(ends) if good), default=-1)
+        floor = stops[upto] if upto >= 0 else m.start() + 1
+        edits += [(x.start(), x.end(), ".") for x, n in zip(parts[: upto + 1], named, strict=False) if n]
+    return edits
+
+
 def disguises(tape: Tape) -> None:
-    tape.rewrite([(m.start(), m.end(), "@") for m in AT.finditer(tape.text)])
+    ats = {m.start(): (m.start(), m.end(), "@") for m in AT.finditer(tape.text)}
+    ats |= {e[0]: e for e in spoken_ats(tape.text) if e[0] not in ats}
+    tape.rewrite([ats[start] for start in sorted(ats)])
+    if "@" in tape.text:
+        tape.rewrite(named_dots(tape))
     tape.rewrite([(m.start(), m.end(), ".") for m in DOT.finditer(tape.text)])
 
 
@@ -181,7 +252,11 @@ def disguised(text: str) -> bool:
     """Whether a transducer could rewrite anything."""
     if not text.isascii() and any(plain(c) is not None for c in set(text)):
         return True
-    if not TRIGGERS.isdisjoint(text.lower().encode().translate(APART).split()):
+    words = text.lower().encode().translate(APART).split()
+    if not TRIGGERS.isdisjoint(words):
+        return True
+    # These are words of any text, so their places are looked at.
+    if not PLAIN.isdisjoint(words) and (spoken_ats(text) or any(NAMED.search(m[0]) for m in AFTER.finditer(text))):
         return True
     return any(c in text for c in "[({<") and bool(BRACKETED.search(text))
 

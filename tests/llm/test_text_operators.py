@@ -55,6 +55,42 @@ def test_disguises(text, kind, part):
     assert [(k, text[a:b]) for k, a, b in pii.added(text, [])] == [(kind, part)]
 
 
+@pytest.mark.parametrize(
+    "text, part",
+    [
+        ("write to jane at example.com soon", "jane at example.com"),
+        ("Mail jane.doe at mail.example.co.uk.", "jane.doe at mail.example.co.uk"),
+        ("schreib hans at beispiel punkt de heute", "hans at beispiel punkt de"),
+        ("hans at beispiel.de", "hans at beispiel.de"),
+        ("escribe a juan arroba ejemplo punto com hoy", "juan arroba ejemplo punto com"),
+        ("juan punto ruiz arroba ejemplo punto com punto final", "juan punto ruiz arroba ejemplo punto com"),
+        ("juan arroba ejemplo.es", "juan arroba ejemplo.es"),
+        ("a jeanne arobase exemple point fr merci", "jeanne arobase exemple point fr"),
+        ("jeanne [arobase] exemple point fr", "jeanne [arobase] exemple point fr"),
+        ("juan@ejemplo punto com", "juan@ejemplo punto com"),
+    ],
+)
+def test_disguised_addresses_of_four_languages(text, part):
+    assert pii.detect(text) == []
+    assert [(k, text[a:b]) for k, a, b in pii.added(text, [])] == [("email", part)]
+
+
+def test_two_disguised_addresses_in_a_row():
+    text = "juan arroba uno punto com punto ana arroba dos punto es"
+    assert [text[a:b] for _, a, b in pii.added(text, [])] == ["juan arroba uno punto com", "ana arroba dos punto es"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Find us at example.com or look at www.example.org.", "We are at this point in time, at one point it was.", "I met him at noon.Then we left at six.It rained.",
+        "See jane at example.com/about", "un punto de vista at home", "Bob at file.txt", "mail bob@example.com point made", "le point de vue",
+    ],
+)
+def test_words_of_disguises_in_plain_text(text):
+    assert pii.added(text, pii.detect(text)) == []
+
+
 def test_plain_text_has_no_disguises():
     text = "We met at noon. One of two dots (see [1]) at home, naïve café. Call 12345 at seven."
     assert pii.added(text, pii.detect(text)) == []

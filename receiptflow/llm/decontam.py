@@ -5,7 +5,8 @@ position) of the words of some megabytes of whole documents, so neither a freque
 corpus makes any list or task large, and building it needs no shuffle. A shard is one row of a
 Parquet table, which answers any number of benchmarks.
 
-A search reads the shards against blocks of test windows. In each shard a window begins with the
+Test items are hashed on Spark and written as blocks, one Parquet row each. A search reads the shards
+against one block at a time; the driver holds only the hashed words of that one, and tasks cut it into windows. In each shard a window begins with the
 list of its rarest term; the lists of its other terms, from rare to frequent, are intersected with
 what is left after their offsets are taken off. What survives all terms is an exact phrase match;
 what stays within ``slop`` positions of each offset is a proximity match.
@@ -21,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from receiptflow.llm.components import keep
 from receiptflow.llm.text import Hashes, arrow, bounded, flat, joined, pieces, schema_of, starts
 from receiptflow.session import work_folder
 
 SHARD = schema_of("shard string, keys array<string>, lengths binary, terms binary, ends binary, positions binary")
+TESTS = schema_of("block string, names array<string>, lengths binary, words binary")
 FOUND = schema_of("shard string, doc int, key string, n_words long, spans array<span>, items array<string>, near array<string>")
-#: Bytes of test text that one search task holds; larger benchmarks are searched block by block.
+#: Bytes of test text, about, in a block; larger benchmarks are searched block by block.
 BLOCK = 8 << 20
 #: Bytes of text, about, that a shard holds.
 SIZE = 4 << 20
@@ -79,22 +82,46 @@ def build_index(docs: DataFrame, key: str = "doc_id") -> str:
     return path
 
 
-def test_windows(items: list[tuple[str, str | None]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """Term hashes of all windows end to end, their lengths, the item of each, and the items' names.
+def test_blocks(size: int, block: int):
+    """Packs the word hashes of items into rows of about ``block`` bytes of text.
 
-    An item of fewer than ``size`` words is one window; one without words has none.
+    Longer items are cut into runs that share ``size`` - 1 words, so that each window is in one. Items
+    without words are left out.
     """
-    hashes, parts, lengths, owner, names = Hashes(), [], [], [], []
-    for name, text in items:
-        words = hashes.of(words_of((text or "").encode()))
-        if not len(words):
-            continue
-        names.append(name)
-        for start in range(max(1, len(words) - size + 1)):
-            parts.append(words[start : start + size])
-            lengths.append(len(parts[-1]))
-            owner.append(len(names) - 1)
-    return joined(parts), np.array(lengths, np.int64), np.array(owner, np.int64), names
+    longest = max(2 * size, block // 4)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, names, runs, held = Hashes(), [], [], 0
+
+        def row() -> pa.RecordBatch:
+            lengths = np.array([len(r) for r in runs], np.int64)
+            return arrow({"block": [uuid.uuid4().hex], "names": [names], "lengths": [lengths.tobytes()], "words": [joined(runs).tobytes()]}, TESTS)
+
+        for rows, texts in pieces(batches):
+            for name, text in zip(rows.column("item_id").to_pylist(), texts, strict=True):
+                words = hashes.of(words_of(text))
+                for start in range(0, max(1, len(words) - size + 1) if len(words) else 0, longest - size + 1):
+                    names.append(name)
+                    runs.append(words[start : start + longest])
+                    held += min(len(text), 8 * len(runs[-1]))
+                    if held >= block:
+                        yield row()
+                        names, runs, held = [], [], 0
+        if runs:
+            yield row()
+
+    return packed
+
+
+def test_windows(lengths: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term hashes of all windows of some items end to end, the windows' lengths, and the item of each.
+
+    An item of fewer than ``size`` words is one window.
+    """
+    counts = np.maximum(1, lengths - size + 1)
+    owner = np.repeat(np.arange(len(lengths)), counts)
+    widths = np.minimum(size, lengths)[owner]
+    return words[flat(flat(starts(lengths)[:-1], counts), widths)], widths, owner
 
 
 def matches(terms, ends, positions, doc_of, tests, lengths, slop):
@@ -143,9 +170,17 @@ def matches(terms, ends, positions, doc_of, tests, lengths, slop):
     return (live[window[exact]], start[exact]), (live[window[~exact]], start[~exact])
 
 
-def search_shards(tests: tuple, slop: int):
+def by_name(names: set[str | None]) -> list[str | None]:
+    """Names in order, null last, as ``array_sort`` has them."""
+    return sorted(names, key=lambda name: (name is None, name or ""))
+
+
+def search_shards(tests: tuple[list, bytes, bytes], size: int, slop: int, everything: bool):
+    """Finds a block in each shard; documents without hits as well if ``everything``."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, lengths, owner, names = tests
+        names, *binaries = tests
+        hashes, lengths, owner = test_windows(*(np.frombuffer(x, t) for x, t in zip(binaries, (np.int64, np.uint64), strict=True)), size)
         for batch in batches:
             for row in batch.to_pylist():
                 sizes = np.frombuffer(row["lengths"], np.int32)
@@ -163,12 +198,12 @@ def search_shards(tests: tuple, slop: int):
                     items.setdefault(doc, set()).add(names[owner[w]])
                 for w, s in zip(near.tolist(), near_start.tolist(), strict=True):
                     close.setdefault(int(doc_of[s]), set()).add(names[owner[w]])
-                docs = range(len(sizes))
+                docs = range(len(sizes)) if everything else sorted({*spans, *close})
                 yield arrow({
-                    "shard": [row["shard"]] * len(sizes), "doc": list(docs), "key": row["keys"], "n_words": sizes.astype(np.int64),
+                    "shard": [row["shard"]] * len(docs), "doc": list(docs), "key": [row["keys"][d] for d in docs], "n_words": sizes[list(docs)].astype(np.int64),
                     "spans": [[{"start": a, "words": n} for a, n in sorted(spans.get(d, ()))] for d in docs],
-                    "items": [sorted(items.get(d, ())) for d in docs],
-                    "near": [sorted(close.get(d, set()) - items.get(d, set())) for d in docs],
+                    "items": [by_name(items.get(d, set())) for d in docs],
+                    "near": [by_name(close.get(d, set()) - items.get(d, set())) for d in docs],
                 }, FOUND)
 
     return search
@@ -192,20 +227,27 @@ def search(spark, index: str, items: DataFrame, size: int = 10, slop: int = 2, b
     One row per document: ``key`` (its id as a string), ``n_words``, ``n_hit`` (words inside exact
     matches), ``spans`` (start and length of each match, in words), ``items`` (ids, as sorted strings,
     of items with exact matches) and ``near`` (ids of items with proximity matches alone). Items
-    travel to the tasks in blocks of at most ``block`` bytes of text, every one of which is searched.
-    Items without words, or with a null text, match nothing; repeated items count once.
+    are searched in blocks of about ``block`` bytes of text, one after another; what a block finds is written
+    before the next one is read. An item without an id is a null, after all others. Items without words, or with a null text, match nothing; repeated items count once.
     """
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block) or 1
-    shards = spark.read.schema(SHARD).parquet(index)
-    found = None
-    for number in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number) if blocks > 1 else rows
-        tests = test_windows([(r[0], r[1]) for r in part.toLocalIterator()], size)
-        hits = shards.mapInArrow(search_shards(tests, slop), FOUND)
-        found = hits if found is None else found.unionByName(hits)
-    if blocks > 1:
+    shards, folder = spark.read.schema(SHARD).parquet(index), work_folder(spark, "tests")
+    tests = keep(bounded(rows).repartition(blocks).mapInArrow(test_blocks(size, block), TESTS), f"{folder}/blocks")
+    # One short id for each block.
+    ids = [r[0] for r in tests.select("block").collect()]
+
+    def hits(number: int) -> DataFrame:
+        one = tests.where(F.col("block") == ids[number]).first() if ids else ("", [], b"", b"")
+        return shards.mapInArrow(search_shards((one[1], bytes(one[2]), bytes(one[3])), size, slop, number == 0), FOUND)
+
+    if len(ids) < 2:
+        found = hits(0)
+    else:
+        for number in range(len(ids)):
+            keep(hits(number), f"{folder}/found/part={number}")
+        found = spark.read.schema(FOUND).parquet(f"{folder}/found").select(*FOUND.names)
         union = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("spans", "items", "near")]
         found = found.groupBy("shard", "doc", "key", "n_words").agg(*union).withColumn("near", F.array_except("near", "items"))
     return found.select("key", "n_words", covered(F.col("spans")).alias("n_hit"), "spans", "items", "near")

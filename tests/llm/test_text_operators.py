@@ -208,6 +208,26 @@ def test_proximity(spark):
     assert [(found[i]["items"], found[i].near) for i in (1, 2, 3, 4)] == [(["7"], []), ([], ["7"]), ([], []), ([], [])]
 
 
+def test_benchmark_passes_the_driver_block_by_block(spark, monkeypatch):
+    held = []
+    inner = decontam.search_shards
+    monkeypatch.setattr(decontam, "search_shards", lambda tests, *a: held.append(len(tests[2])) or inner(tests, *a))
+    words = [f"w{i}" for i in range(400)]
+    table = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[::-1]))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 12])) for i in range(0, 380, 19)] + [(999, None)], "doc_id long, text string")
+    found = decontam.search(spark, decontam.build_index(docs), table, block=400).collect()
+    assert {(r.n_hit, *r["items"]) for r in found if r.key != "999"} == {(12, "1")} and len(found) == 21
+    assert len(held) > 4 and max(held) <= 8 * 200
+
+
+@pytest.mark.parametrize("block", [decontam.BLOCK, 10])
+def test_items_without_an_id(spark, block):
+    table = spark.createDataFrame([(None, "one two"), (3, "two three"), (None, "three x one")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one two"), (3, "none")], "doc_id long, text string")
+    found = decontam.search(spark, decontam.build_index(docs), table, block=block).collect()
+    assert {r.key: (r.n_hit, r["items"]) for r in found} == {"1": (3, ["3", None]), "2": (2, [None]), "3": (0, [])}
+
+
 def test_decontamination_on_edges(spark, edges, no_docs, clashing):
     table = spark.createDataFrame([(1, None), (2, ""), (3, "one two three"), (3, "one two three")], "item_id long, text string")
     assert decontam.contaminated(no_docs, table).count() == 0

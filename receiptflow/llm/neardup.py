@@ -131,13 +131,15 @@ def families(listed: DataFrame) -> DataFrame:
 def across(group: pa.Table) -> pa.Table:
     """Links between components of a family: each query counts its values in the block's inverted lists.
 
-    Of links that tie components already tied here, only one is returned. Sets too large for their
-    wide sketch give candidates.
+    Of links that tie components already tied here, only one is returned, and no candidates. Sets too large for
+    their wide sketch give candidates.
     """
-    rows = group.to_pydict()
-    n, comp = np.array(rows["n"], np.int64), np.array(rows["comp"], np.int64)
-    home = np.flatnonzero(rows["home"])
-    values = [np.array(rows["sketch"][i], np.int64) for i in home]
+    n, comp, ids = (group.column(c).to_numpy() for c in ("n", "comp", "id"))
+    lists = group.column("sketch").combine_chunks()
+    ends, every = lists.offsets.to_numpy(), lists.values.to_numpy()
+    sketch_of = lambda i: every[ends[i] : ends[i + 1]]
+    home, asks = (np.flatnonzero(group.column(c).to_numpy()) for c in ("home", "asks"))
+    values = [sketch_of(i) for i in home]
     owner = np.repeat(np.arange(len(home)), [len(v) for v in values])
     flat_values = np.concatenate(values) if len(home) else np.empty(0, np.int64)
     order = np.argsort(flat_values, kind="stable")
@@ -150,17 +152,17 @@ def across(group: pa.Table) -> pa.Table:
         return c
 
     out = {"a": [], "b": [], "sure": []}
-    for q in np.flatnonzero(rows["asks"]):
-        mine = np.array(rows["sketch"][q], np.int64)
+    for q in asks:
+        mine = sketch_of(q)
         low, high = np.searchsorted(flat_values, mine), np.searchsorted(flat_values, mine, "right")
         common = np.bincount(owner[flat(low, high - low)], minlength=len(home))
         whole = (n[home] <= WIDE) & (n[q] <= WIDE)
         linked = np.where(whole, 100 * common >= 75 * (n[home] + n[q] - common), common >= LEAST_SHARED[WIDE])
         for i in np.flatnonzero(linked & (comp[home] != comp[q])):
             x, y = root(int(comp[q])), root(int(comp[home[i]]))
-            if x != y or not whole[i]:
-                out["a"].append(rows["id"][q])
-                out["b"].append(rows["id"][home[i]])
+            if x != y:
+                out["a"].append(int(ids[q]))
+                out["b"].append(int(ids[home[i]]))
                 out["sure"].append(bool(whole[i]))
                 if whole[i]:
                     tied[max(x, y)] = min(x, y)
@@ -170,19 +172,27 @@ def across(group: pa.Table) -> pa.Table:
 def last_links(listed: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """All links between classes that share a list and are still in different components.
 
-    In each family the members outside its largest component are compared with every member, in
-    blocks of ``FAMILY`` members, by counting; pairs are not formed.
+    In each family the members outside its largest component, the asking ones, are compared with every member by
+    counting. Both are dealt into blocks of about ``FAMILY``; a group is a block of each.
     """
     members = families(listed).withColumnRenamed("node", "id").withColumnRenamed("component", "fam").join(labels, "id")
     members = keep(members, f"{folder}/members")
     sizes = members.groupBy("fam", "comp").agg(F.count("*").alias("m"))
-    sizes = sizes.groupBy("fam").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.ceil(F.sum("m") / FAMILY).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = members.join(sizes, "fam").withColumn("asks", F.col("comp") != F.col("main")).withColumn("own", own)
-    blocks = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    rows = rows.withColumn("block", F.explode(blocks)).withColumn("home", F.col("block") == F.col("own"))
-    rows = rows.join(sets.select("id", "n", "sketch"), "id").select("fam", "block", "id", "comp", "n", "sketch", "home", "asks")
-    found = keep(rows.groupBy("fam", "block").applyInArrow(across, ACROSS), f"{folder}/across")
+    count = lambda m: F.ceil(m / FAMILY).cast("int")
+    sizes = sizes.groupBy("fam").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"), F.max("m").alias("most"))
+    sizes = sizes.select("fam", "main", count(F.col("m")).alias("homes"), count(F.col("m") - F.col("most")).alias("askers"))
+    rows = members.join(sizes, "fam").withColumn("asks", F.col("comp") != F.col("main"))
+    own = F.pmod(F.xxhash64("id"), F.col("homes")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("turn", F.when(F.col("asks"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("askers")).cast("int")))
+    pair = lambda a, h: F.struct(a.cast("int").alias("a"), h.cast("int").alias("h"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    at_home = F.transform(upto("askers"), lambda a: pair(a, F.col("own")))
+    asking = F.transform(upto("homes"), lambda h: pair(F.col("turn"), h))
+    rows = rows.where("askers > 0").withColumn("block", F.explode(F.when(F.col("asks"), F.array_union(at_home, asking)).otherwise(at_home)))
+    rows = rows.withColumn("home", F.col("block.h") == F.col("own")).withColumn("asks", F.coalesce(F.col("block.a") == F.col("turn"), F.lit(False)))
+    rows = rows.select("fam", "id", "comp", "home", "asks", F.col("block.a").alias("askers"), F.col("block.h").alias("homes"))
+    rows = rows.join(sets.select("id", "n", "sketch"), "id").select("fam", "askers", "homes", "id", "comp", "n", "sketch", "home", "asks")
+    found = keep(rows.groupBy("fam", "askers", "homes").applyInArrow(across, ACROSS), f"{folder}/across")
     unsure = verified(found.where("not sure").select("a", "b").distinct(), classes, sets)
     return found.where("sure").select("a", "b").unionByName(unsure)
 

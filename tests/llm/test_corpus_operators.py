@@ -110,6 +110,28 @@ def test_near_duplicates(spark, monkeypatch, k, wide, family):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == linked(texts)
 
 
+def test_blocks_of_a_family_are_bounded(spark, monkeypatch, tmp_path):
+    # 600 classes of one family in components of their own: groups hold a block of askers and one of members.
+    seen = spark.sparkContext.accumulator(0)
+    largest = spark.sparkContext.accumulator(0)
+    inner = neardup.across
+
+    def counted(group):
+        seen.add(1)
+        largest.add(group.num_rows > 2 * 2 * 50)
+        return inner(group)
+
+    monkeypatch.setattr(neardup, "across", counted)
+    monkeypatch.setattr(neardup, "FAMILY", 50)
+    rows = [(i, 20, sorted([i * 100 + k for k in range(1, 20)] + [-1])) for i in range(600)]
+    sets = spark.createDataFrame([(i, n, v, b"") for i, n, v in rows], neardup.SETS)
+    listed = spark.createDataFrame([(-1, i, n, i) for i, n, _ in rows], "v long, id long, n long, comp long")
+    labels = listed.select("id", "comp")
+    classes = sets.select("id", "n", "sketch")
+    assert neardup.last_links(listed, classes, sets, labels, str(tmp_path)).count() == 0
+    assert seen.value >= 12 * 12 and largest.value == 0
+
+
 def test_near_duplicates_on_edges(edges, no_docs, clashing):
     assert neardup.near_duplicates(no_docs).count() == 0
     rows = [(r.doc_id, r.component_id) for r in neardup.near_duplicates(edges).collect()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from receiptflow.llm import decontam, lines, mixing, neardup, ngram, pii, quality, repeats, rules, toxicity
+from receiptflow.llm import bpe, decontam, lines, mixing, neardup, ngram, pii, quality, repeats, rules, toxicity, trie, whitening
 from receiptflow.llm.text import table
 from receiptflow.llm.training import held_out
 
@@ -85,6 +85,34 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with the first turns of the first one of its twenty."""
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), base=conv - conv % 20, head=head)
+
+
+def op12_bpe_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """All documents as ids of a public vocabulary, and back."""
+    import public_tokenizers
+
+    path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(coded, path).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on their four leading components."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    rows = whitening.transform(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]) if len(model.explained) else F.lit(None).cast("array<double>")
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, "at").alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_pii_spans": op1_pii_spans,
     "op2_quality_ranking": op2_quality_ranking,
@@ -96,4 +124,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scores": op10_lm_scores,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bpe_tokens": op12_bpe_tokens,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

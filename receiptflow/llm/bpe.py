@@ -44,7 +44,7 @@ def byte_letters() -> list[str]:
 
 
 class Automaton:
-    """Arcs are numbers: base symbols first, then one for each merge. ``born`` is when an arc came to be."""
+    """Arcs are numbers: base symbols first, then one for each merge. ``born`` is when an arc came to be, if it did."""
 
     def __init__(self, symbols: int):
         self.left, self.right, self.born = [-1] * symbols, [-1] * symbols, [-1] * symbols
@@ -55,10 +55,10 @@ class Automaton:
         left, right, born, lost = self.left, self.right, self.born, self.lost
         if state == START:
             return born[arc] < before
-        if born[arc] >= before or born[state] >= before:
+        if born[state] >= before:
             return False
         while True:
-            if lost.get((state, arc), NEVER) < before:
+            if born[arc] >= before or lost.get((state, arc), NEVER) < before:
                 return False
             if born[arc] < 0 and born[state] < 0:
                 return True
@@ -71,11 +71,12 @@ class Automaton:
     def gadget(self, u: int, v: int) -> int:
         """Put in the next merge and return its arc; a merge whose parts never meet adds an arc that no path takes."""
         time = len(self.left)
-        if self.has_arc(u, v, time):
+        meet = self.has_arc(u, v, time)
+        if meet:
             self.lost[u, v] = time
         self.left.append(u)
         self.right.append(v)
-        self.born.append(time)
+        self.born.append(time if meet else NEVER)
         return time
 
 

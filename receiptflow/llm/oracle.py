@@ -94,4 +94,47 @@ SELECT d.source, d.doc_id, d.block::BIGINT AS block, ((d.block // w) * 1000 + pl
 FROM docs d JOIN weights x ON x.source = d.source JOIN places p ON p.i = x.i AND p.k = d.block % x.w, horizon
 """
 
-ORACLE = {"op6_source_mix": OP6, "op7_line_dedup": OP7, "op9_decontamination": OP9, "op10_lm_scores": OP10}
+OP11 = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(coalesce(role, ''), 64), left(coalesce(text, ''), 64),
+            md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, n,
+        xor(list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii((conv_id::VARCHAR)[i])::BIGINT),
+            lambda crc, byte: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)), 4294967295::BIGINT),
+            4294967295) % 4 AS h
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)
+), plan AS (
+    SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), rebuilt AS (
+    SELECT p.conv_id, t.pos AS depth, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.base AND t.pos <= p.taken
+    UNION ALL
+    SELECT p.conv_id, p.taken + t.pos - p.h, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.pos > p.h
+), paths AS (
+    SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+        md5(string_agg(concat(length(role), ':', role, length(text), ':', text), '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS key
+    FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM plan
+), owned AS (
+    SELECT *, min(conv_id) OVER (PARTITION BY depth, key) AS owner, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM paths
+), nodes AS (
+    SELECT owner, depth, count(*) AS n_convs, max(words) AS words,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM owned GROUP BY owner, depth
+), up AS (
+    SELECT n.*, p.owner AS parent FROM nodes n LEFT JOIN owned p ON p.conv_id = n.owner AND p.depth = n.depth - 1
+), tree AS (
+    SELECT u.*, coalesce(c.n, 0) AS n_children FROM up u
+    LEFT JOIN (SELECT parent, depth - 1 AS depth, count(*) AS n FROM up WHERE depth > 0 GROUP BY ALL) c ON c.parent = u.owner AND c.depth = u.depth
+), totals AS (
+    SELECT a.owner, a.depth, sum((t.n_children = 0)::BIGINT) AS n_leaves, sum((t.n_convs - 1) * t.words) AS saved
+    FROM tree t JOIN owned a ON a.conv_id = t.owner AND a.depth <= t.depth GROUP BY ALL
+)
+SELECT t.owner AS conv_id, t.depth::BIGINT AS depth, t.parent AS parent_conv_id, t.n_convs::BIGINT AS n_convs, t.n_children::BIGINT AS n_children,
+    s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, t.ends_sha256
+FROM tree t JOIN totals s ON s.owner = t.owner AND s.depth = t.depth
+"""
+
+ORACLE = {"op6_source_mix": OP6, "op7_line_dedup": OP7, "op9_decontamination": OP9, "op10_lm_scores": OP10, "op11_prefix_trie": OP11}

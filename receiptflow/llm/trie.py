@@ -154,7 +154,7 @@ def members(conversations: DataFrame, base: Column | None = None, head: Column |
     base, head = base if base is not None else F.col("conv_id"), head if head is not None else F.lit(0)
     own = heads.withColumns({"base": base, "skip": head.cast("int")})
     other = heads.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"), F.col("t").alias("base_t"))
-    taken = F.coalesce(F.least("skip", "base_n"), F.lit(0)).cast("int")
+    taken = F.least("skip", F.coalesce("base_n", F.lit(0))).cast("int")
     nothing = F.lit(ROOT)
     up_to = lambda t, n: F.coalesce(F.get(F.col(t), F.col(n) - 1)["hash"], nothing)
     plan = own.join(other, "base", "left").withColumn("taken", taken)

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,33 +16,43 @@ RESULT = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leav
 
 
 def plain(rows, base=lambda c: c, head=lambda c: 0):
-    """The same nodes by lists of turns."""
+    """The same nodes by a tree of dictionaries."""
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
         if conv is not None:
             turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
     turns = {c: [t[2:] for t in sorted(ts)] for c, ts in turns.items()}
     whole = {c: turns.get(base(c), [])[: head(c)] + ts[head(c) :] for c, ts in turns.items()}
-    members = defaultdict(list)
-    for c, ts in whole.items():
-        for d in range(len(ts) + 1):
-            members[tuple(ts[:d])].append(c)
-    leaves, saved = defaultdict(int), defaultdict(int)
-    children = defaultdict(int)
-    for path in members:
-        if path:
-            children[path[:-1]] += 1
-    for path, convs in members.items():
-        words = len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
-        for d in range(len(path) + 1):
-            leaves[path[:d]] += not children[path]
-            saved[path[:d]] += (len(convs) - 1) * words
-    out = set()
-    for path, convs in members.items():
-        ends = ",".join(str(c) for c in sorted(convs) if len(whole[c]) == len(path))
-        parent = min(members[path[:-1]]) if path else None
-        out.add((min(convs), len(path), parent, len(convs), children[path], leaves[path], saved[path], hashlib.sha256(ends.encode()).hexdigest()))
-    return out
+    # A node is the pair of its parent's number and its last turn, so that long paths cost no more than their turns.
+    nodes, up, turn, depth, members, ends = {}, [None], [None], [0], [[]], [[]]
+    for c, ts in sorted(whole.items()):
+        node = 0
+        members[0].append(c)
+        for t in ts:
+            if (node, t) not in nodes:
+                nodes[node, t] = len(up)
+                up.append(node)
+                turn.append(t)
+                depth.append(depth[node] + 1)
+                members.append([])
+                ends.append([])
+            node = nodes[node, t]
+            members[node].append(c)
+        ends[node].append(c)
+    if not whole:
+        return set()
+    children = Counter(up[1:])
+    words = [len(re.findall(r"[^\x20\x09-\x0D]+", t[1])) if t else 0 for t in turn]
+    leaves = [int(not children[i]) for i in range(len(up))]
+    saved = [(len(members[i]) - 1) * words[i] for i in range(len(up))]
+    for i in range(len(up) - 1, 0, -1):  # a parent has a smaller number
+        leaves[up[i]] += leaves[i]
+        saved[up[i]] += saved[i]
+    digest = lambda cs: hashlib.sha256(",".join(map(str, cs)).encode()).hexdigest()
+    return {
+        (members[i][0], depth[i], members[up[i]][0] if i else None, len(members[i]), children[i], leaves[i], saved[i], digest(ends[i]))
+        for i in range(len(up))
+    }
 
 
 def found(df):

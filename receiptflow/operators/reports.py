@@ -20,5 +20,10 @@ def monthly_spend(tx: DataFrame, exact: bool = True) -> DataFrame:
 def peak_periods(events: DataFrame, at: Column | str = "receipt_date") -> DataFrame:
     """Hours of the day ranked by number of rows, busiest first. Columns: h, n, rk."""
     per_hour = events.groupBy(F.hour(at).alias("h")).agg(F.count("*").alias("n"))
+    return ranked(per_hour)
+
+
+def ranked(per_hour: DataFrame) -> DataFrame:
+    """Hours with their counts, ranked."""
     # The unpartitioned window sees at most 25 rows: the hours and a null.
     return per_hour.select("h", "n", F.rank().over(Window.orderBy(F.desc("n"))).alias("rk"))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from receiptflow.functions.money import money_sum
 
+#: The columns of ``spend``.
+TOTALS = "customer_id string, window_start timestamp, window_end timestamp, total double, n bigint"
+
 
 def spend(
     tx: DataFrame,

@@ -16,14 +16,16 @@ from receiptflow.operators.latest import latest_per_key
 from receiptflow.operators.skew import profile
 from receiptflow.plans.job_queries import QUERIES as JOB_QUERIES
 from receiptflow.plans.jobs import REQUIRED
-from receiptflow.operators.spend import spend
+from receiptflow.operators.spend import TOTALS, spend
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sources import tables
 from receiptflow.streaming.batches import enrich_batches, without_fraud
 from receiptflow.streaming.enrich import enrich_stream
-from receiptflow.streaming.replay import replay
+from receiptflow.streaming import reports as kept_reports
+from receiptflow.streaming.replay import arrive, read_all, replay, run_until
+from receiptflow.streaming.spend import spend_fired
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +51,7 @@ def _spend_replayed(spark: SparkSession, sf_dir: str, time: str) -> DataFrame:
         return totals.writeStream.outputMode("update").foreachBatch(table_sink.append_batch(f"{folder}/out"))
 
     replay(tables.load(spark, sf_dir, "events"), "event_id", start, folder=folder)
-    return table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"])
+    return table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"], TOTALS)
 
 
 def spend_10s_shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +64,7 @@ def spend_10s_shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spend(tables.as_spend(rows)).writeStream.outputMode("update").foreachBatch(write)
 
     replay(events, "_order", start, folder=folder)
-    rows = table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"])
+    rows = table_sink.read_changes(spark, f"{folder}/out", ["customer_id", "window_start"], TOTALS)
     return in_millis(rows.drop("window_end"))
 
 
@@ -76,6 +78,35 @@ def spend_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.groupBy("customer_id").agg(money_sum("total").alias("total"), F.sum("n").alias("n"))
 
 
+def spend_fired_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the clock, each given out once, across restarts of the query.
+
+    Which window a row falls into depends on the clock. What doesn't: the sum over a customer's windows, that none
+    is given out again (``repeated``) or before its end (``early``), and that all lie on the grid (``askew``).
+    """
+    folder = work_folder(spark, "spend-fired")
+    events, out = tables.load(spark, sf_dir, "events"), f"{folder}/out"
+    expected, schema = events.count(), f"{TOTALS}, fired_at timestamp"
+
+    def start():
+        source = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        return spend_fired(tables.as_spend(tables.instants(source))).writeStream.outputMode("append").foreachBatch(table_sink.append_batch(out))
+
+    def done(_) -> bool:
+        return (table_sink.read_batches(spark, out, schema).agg(F.sum("n")).first()[0] or 0) >= expected
+
+    for _ in arrive(events, "event_id", f"{folder}/in", 4):
+        run_until(start(), f"{folder}/checkpoint", read_all)
+    run_until(start(), f"{folder}/checkpoint", done)
+    end = F.unix_millis("window_end")
+    return table_sink.read_batches(spark, out, schema).groupBy("customer_id").agg(
+        money_sum("total").alias("total"), F.sum("n").alias("n"),
+        (F.count("*") - F.count_distinct("window_end")).alias("repeated"),
+        F.count_if(F.col("fired_at") < F.col("window_end")).alias("early"),
+        F.count_if((end % 10_000 != 0) | (end - F.unix_millis("window_start") != 10_000)).alias("askew"),
+    )
+
+
 # JSON
 
 
@@ -344,11 +375,31 @@ def peak_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.peak_periods(tables.load(spark, sf_dir, "events"), "ts")
 
 
+def _kept_report(spark: SparkSession, sf_dir: str, report: kept_reports.Report, rows: Callable[[DataFrame], DataFrame]) -> str:
+    """The folder of a report over events that arrive out of time order."""
+    folder = work_folder(spark, "report")
+    write = kept_reports.maintain(report, f"{folder}/out")
+    events = tables.load(spark, sf_dir, "events").withColumn("_order", F.pmod(-F.col("event_id"), F.lit(4)))
+    replay(events, "_order", lambda s: rows(s).writeStream.foreachBatch(write), folder=folder)
+    return f"{folder}/out"
+
+
+def monthly_spend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases by month, folded batch by batch."""
+    path = _kept_report(spark, sf_dir, kept_reports.MONTHLY_SPEND, tables.as_purchases)
+    return kept_reports.read_report(spark, kept_reports.MONTHLY_SPEND, path)
+
+
+def peak_hours_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_reports.read_peak_hours(spark, _kept_report(spark, sf_dir, kept_reports.peak_hours("ts"), lambda events: events))
+
+
 QUERIES: dict[str, Query] = {
     "spend_10s": spend_10s,
     "spend_10s_stream": spend_10s_stream,
     "spend_10s_shuffled_stream": spend_10s_shuffled_stream,
     "spend_processing_time": spend_processing_time,
+    "spend_fired_stream": spend_fired_stream,
     "decode_transactions": decode_transactions,
     "decode_customers": decode_customers,
     "decode_fraud": decode_fraud,
@@ -379,5 +430,7 @@ QUERIES: dict[str, Query] = {
     "drop_fraud_late_stream": drop_fraud_late_stream,
     "monthly_spend": monthly_spend,
     "peak_hours": peak_hours,
+    "monthly_spend_stream": monthly_spend_stream,
+    "peak_hours_stream": peak_hours_stream,
     **JOB_QUERIES,
 }

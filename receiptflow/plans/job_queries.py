@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from receiptflow.functions.codec import encode
+from receiptflow.operators.spend import TOTALS
 from receiptflow.plans.jobs import INPUTS, TABLES, Job
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION, Record
 from receiptflow.session import work_folder
@@ -84,7 +85,7 @@ def job_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table_sink.read_changes(spark, f"{_run(spark, sf_dir)}/totals", ["customer_id", "window_start"])
+    rows = table_sink.read_changes(spark, f"{_run(spark, sf_dir)}/totals", ["customer_id", "window_start"], TOTALS)
     return rows.select("customer_id", F.unix_millis("window_start").alias("window_start_ms"), "total", "n")
 
 

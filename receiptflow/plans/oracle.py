@@ -113,6 +113,10 @@ _DEDUPED = f"""
 WITH {_TX}
 SELECT receipt_id, customer_id, payment_method, true AS is_copy FROM tx WHERE arrival_rank = 1"""
 
+_PEAK_HOURS = """
+SELECT CAST(hour(ts) AS INT) AS h, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC) AS INT) AS rk
+FROM events GROUP BY 1"""
+
 ORACLE: dict[str, str] = {
     "spend_10s": _SPEND,
     "spend_10s_stream": _SPEND,
@@ -120,6 +124,10 @@ ORACLE: dict[str, str] = {
     "spend_processing_time": """
 SELECT concat('', user_id) AS customer_id,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n
+FROM events GROUP BY 1""",
+    "spend_fired_stream": """
+SELECT concat('', user_id) AS customer_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n,
+       CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS early, CAST(0 AS BIGINT) AS askew
 FROM events GROUP BY 1""",
     "decode_transactions": f"WITH {_TX} SELECT {_TX_COLUMNS} FROM tx",
     "decode_customers": f"WITH {_CUST} SELECT customer_id, name, email, birthdate FROM cust",
@@ -196,7 +204,10 @@ SELECT 'Raw_Transactions' AS name, count(*) AS n, count(*) AS keys FROM events W
 UNION ALL SELECT 'Customer', count(DISTINCT user_id), count(DISTINCT user_id) FROM events WHERE event_type = 'signup'
 UNION ALL SELECT 'Fraud_Transactions', count(DISTINCT receipt_id), count(DISTINCT receipt_id) FROM marks
 UNION ALL SELECT 'Customer_Transactions', count(*), count(*) FROM pairs""",
-    "peak_hours": """
-SELECT CAST(hour(ts) AS INT) AS h, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC) AS INT) AS rk
-FROM events GROUP BY 1""",
+    "monthly_spend_stream": """
+SELECT concat('', user_id) AS customer_id, CAST(year(ts) AS INT) AS y, CAST(month(ts) AS INT) AS m,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend, count(*) AS n
+FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3""",
+    "peak_hours": _PEAK_HOURS,
+    "peak_hours_stream": _PEAK_HOURS,
 }

@@ -61,10 +61,9 @@ def upsert(record: Record, path: str, run: int = 0) -> Callable[[DataFrame, int]
     return write
 
 
-def read_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest state of rows that batches stored in update mode, each key once per batch."""
-    folders = batches(spark, path)
-    rows = spark.read.option("basePath", path).parquet(*folders)
+def read_changes(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | str) -> DataFrame:
+    """The newest state of rows of ``schema`` that batches stored in update mode, each key once per batch."""
+    rows = read_batches(spark, path, schema)
     return latest_per_key(rows.withColumn("_order", F.struct("run", "batch")), keys, "_order").drop("run", "batch", "_order")
 
 

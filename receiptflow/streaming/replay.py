@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from receiptflow.session import work_folder
 
@@ -41,6 +42,29 @@ def replay(
         catch_up(start(source), f"{folder}/checkpoint")
 
 
+def run_until(writer: DataStreamWriter, checkpoint: str, done: Callable[[StreamingQuery], bool], within: float = 300) -> None:
+    """Run a stream until ``done`` holds; an error in it is raised here.
+
+    For streams with timers of processing time: these always have another micro-batch to run, and so never catch up.
+    """
+    query = writer.option("checkpointLocation", checkpoint).trigger(processingTime="500 milliseconds").start()
+    deadline = time.monotonic() + within
+    try:
+        while not done(query):
+            if query.awaitTermination(1):
+                raise RuntimeError("the stream has stopped")
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"not done within {within} seconds")
+    finally:
+        query.stop()
+
+
+def read_all(query: StreamingQuery) -> bool:
+    """Whether a query has read rows since its start, and then found no more."""
+    seen = [p.numInputRows for p in query.recentProgress]
+    return any(seen) and not seen[-1]
+
+
 def catch_up(writer: DataStreamWriter, checkpoint: str) -> None:
     """Run a stream over all input there is, then stop."""
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

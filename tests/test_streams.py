@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from receiptflow.operators import quality, reports
 from receiptflow.operators.skew import profile
-from receiptflow.operators.spend import spend
+from receiptflow.operators.spend import TOTALS, spend
 from receiptflow.plans.jobs import INPUTS, TABLES, Job
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
 from receiptflow.session import work_folder
@@ -65,7 +65,7 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         assert figures.schema == PROGRESS
         dropped.append(figures.agg(F.sum("late_rows_dropped")).first()[0])
     assert dropped == [0, 0, 1]
-    assert totals(table_sink.read_changes(spark, out, ["customer_id", "window_start"])) == [("a", 0, 1.0, 1), ("a", 0, 10.0, 2)]
+    assert totals(table_sink.read_changes(spark, out, ["customer_id", "window_start"], TOTALS)) == [("a", 0, 1.0, 1), ("a", 0, 10.0, 2)]
 
 
 def test_sum_takes_amounts_as_they_are(spark):

@@ -25,7 +25,7 @@ from receiptflow.llm.components import keep
 from receiptflow.llm.text import arrow, plus, schema_of
 from receiptflow.session import work_folder
 
-COMPONENTS, GUARD, DEGREE, ROUNDS = 4, 12, 10, 200
+COMPONENTS, GUARD, DEGREE, ROUNDS = 4, 28, 10, 200
 CERTIFIED, TOLERATED = 4e-15, 1e-11
 SCALE = 256
 
@@ -69,7 +69,7 @@ def matrix(batch: pa.RecordBatch, column: str = "x") -> np.ndarray:
 
 def by_dimension(rows: DataFrame, work, columns: int, kind: str) -> dict[int, list]:
     """Adds up, over all tasks, what ``work`` makes of a matrix of vectors: (dimension x columns) numbers."""
-    schema = schema_of(f"dimension int, value array<{kind}>")
+    schema = schema_of(f"place int, value {kind}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -78,13 +78,13 @@ def by_dimension(rows: DataFrame, work, columns: int, kind: str) -> dict[int, li
                 part = work(matrix(batch))
                 total = part if total is None else total + part
         if total is not None:
-            yield arrow({"dimension": list(range(len(total))), "value": total.tolist()}, schema)
+            yield arrow({"place": np.arange(total.size, dtype=np.int32), "value": total.ravel()}, schema)
 
     parts = rows.select("x").mapInArrow(run, schema)
     wide = "decimal(38,0)" if kind == "long" else "double"
-    sums = [F.sum(F.col("value")[i].cast(wide)).alias(f"s{i}") for i in range(columns)]
-    # One row for each dimension reaches the driver.
-    return {r[0]: list(r[1:]) for r in parts.groupBy("dimension").agg(*sums).collect()}
+    # One number for each dimension and column reaches the driver.
+    sums = dict(parts.groupBy("place").agg(F.sum(F.col("value").cast(wide))).collect())
+    return {i: [sums[i * columns + j] for j in range(columns)] for i in range(len(sums) // columns)}
 
 
 class Covariance:

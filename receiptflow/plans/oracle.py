@@ -13,8 +13,8 @@ tx AS (
          l_extendedprice AS total_amount,
          l_shipdate AS receipt_date,
          epoch_us(l_shipdate) // 1000 AS receipt_date_ms,
-         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Credit Card' WHEN '2' THEN 'Debit Card'
-              WHEN '3' THEN 'PayPal' WHEN '4' THEN 'Apple Pay' ELSE 'Zelle' END AS payment_method,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Voucher' WHEN '2' THEN 'Invoice'
+              WHEN '3' THEN 'Cash' WHEN '4' THEN 'Bank transfer' ELSE 'Store credit' END AS payment_method,
          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
               ORDER BY l_shipdate DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC) AS arrival_rank
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
@@ -56,7 +56,7 @@ _PAIR_COLUMNS = """
        concat('ev-', t.event_id) AS receipt_id, concat('', c.user_id) AS customer_id,
        concat('pr-', substr(t.props, 7, length(t.props) - 7)) AS product_id, t.event_type AS product_name,
        t.value AS product_price, 1 AS product_quantity, t.value AS total_amount,
-       epoch_us(t.ts) // 1000 AS receipt_date_ms, 'PayPal' AS payment_method,
+       epoch_us(t.ts) // 1000 AS receipt_date_ms, 'Cash' AS payment_method,
        concat('user ', c.user_id, ' v', c.event_id) AS customer_name,
        concat('u', c.user_id, '@example.org') AS customer_email,
        concat('19', 50 + c.user_id % 50, '-01-01') AS customer_birthdate,

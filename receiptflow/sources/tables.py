@@ -33,11 +33,11 @@ def as_transactions(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     grade = F.substring("o_orderpriority", 1, 1)
     payment = (
-        F.when(grade == "1", "Credit Card")
-        .when(grade == "2", "Debit Card")
-        .when(grade == "3", "PayPal")
-        .when(grade == "4", "Apple Pay")
-        .otherwise("Zelle")
+        F.when(grade == "1", "Voucher")
+        .when(grade == "2", "Invoice")
+        .when(grade == "3", "Cash")
+        .when(grade == "4", "Bank transfer")
+        .otherwise("Store credit")
     )
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -117,7 +117,7 @@ def as_purchases(events: DataFrame) -> DataFrame:
         F.lit(1).alias("product_quantity"),
         F.col("value").alias("total_amount"),
         F.date_trunc("millisecond", "ts").alias("receipt_date"),
-        F.lit("PayPal").alias("payment_method"),
+        F.lit("Cash").alias("payment_method"),
         F.col("event_id").alias("arrival"),
     )
 

@@ -1,25 +1,30 @@
 """Toxicity by a support vector machine on a gap-weighted string kernel.
 
-Two chunks of text are similar by the subsequences of three characters that they share, each weighted
-by ``DECAY`` to the power of the stretch it takes up (at most ``SPAN`` characters), normalised to length
-one; so ``idxiot`` is near ``idiot``. Chunks are words in lower case without punctuation, with digits
-read as the letters they stand for, and runs of single letters read as one word.
-
-Chunks are counted in distinct labelled sentences, which take their documents' labels. Those that
-stand out in toxic sentences, also with one character put in, are positive examples, the others
-negative ones; one machine learns clear insults, one learns weaker signs. Landmark chunks span the kernel (Nyström): a chunk's vector is its similarity to each
-landmark, times the inverse root of the landmarks' own similarities, and a linear machine with
-squared hinge loss is fitted there. As similarity is linear in the weighted subsequences, the
-machine becomes one weight for each subsequence.
-
-A document's score is a logistic function of both machines' four worst decisions and numbers of
-suspicious chunks, and of the length, fitted on the labelled documents: one clear insult or several weaker signs.
+Two windows of text are similar by the subsequences of four to six characters that they share, white
+space among them, in which at most one character is leapt over, at the weight ``DECAY``; so a window with
+``idxiot`` or ``id iot`` is near one with ``idiot``. A window has ``BEGINS`` places where subsequences
+begin and the characters they reach; as all windows have as many, their own similarity counts as the
+same for all, which normalises the kernel. Subsequences are told apart by a hash of ``BITS`` bits. Text
+is lower-cased, without punctuation, digits within words read as the letters they stand for, runs of
+single letters as one word.
+
+The machine is trained on the distinct sentences of labelled documents, which take their documents' labels.
+A toxic document has at least one toxic window, a clean one none. Each round takes a document's worst windows,
+of up to ``WINDOWS`` sentences, as examples (of a toxic one those that count as toxic, and its worst), fits a
+linear machine with squared hinge loss on the windows' similarities to landmark windows (Nyström), and
+looks for the worst windows anew. The first round goes by how unlike the toxic and clean sentences' shares
+of each subsequence are. Landmarks are drawn from the examples, and their number grows with the sample.
+As similarity is linear in the weighted subsequences, a machine is one weight for each subsequence.
+
+A document's score is a logistic function that rises with the decisions of its worst ``WINDOWS`` windows, and
+takes nothing else; it is fitted on labelled documents that the machine was not trained on.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,246 +33,297 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from receiptflow.llm.components import keep
-from receiptflow.llm.text import arrow, bounded, pieces, schema_of
+from receiptflow.llm.text import arrow, bounded, flat, pieces, schema_of, starts
 from receiptflow.llm.training import SAMPLE, labelled
 from receiptflow.session import work_folder
 
-DECAY, SPAN = 0.7, 6
-EVIDENCE = schema_of("chunk binary, toxic int, sentence long")
+DECAY, LENGTHS, SPAN, BEGINS = 0.7, (4, 5, 6), 7, 5
+#: Windows of a document, apart from each other, that its score is made from.
+WINDOWS = 4
+WIDTH = BEGINS + SPAN - 1
+SENTENCES = schema_of("doc_id long, label int, number long, sentence binary")
+SHARES = schema_of("key int, toxic long, clean long")
+WORST = schema_of("doc_id long, label int, decision double, number long, window binary")
 SIGNS = schema_of("label int, x array<double>")
 SCORES = schema_of("doc_id long, score double")
-#: At most so many positive chunks, negative chunks seen, negative examples and landmarks.
-POSITIVE, SEEN, NEGATIVE, LANDMARKS = 64, 20_000, 1500, 192
-#: Chunks of a document that its score is made from.
-WORST = 4
-#: Log-likelihood ratio from which a chunk stands out in toxic sentences.
-STANDS_OUT = 12.0
-#: Insults are clear from this share of the greatest ratio.
-CLEAR = 0.3
-RIDGE = 0.03
-#: Longer chunks are cut into windows of this width, half a width apart.
-WIDTH = 32
-
-SIDES = 27, 28
-SIGMA = 30
-#: Letters are 1 to 26, 27 and 28 the two ends, 29 all else; 0 is no character.
-CODES = bytes(ord(chr(i).lower()) - 96 if chr(i).isascii() and chr(i).isalpha() else 29 for i in range(256))
-PUNCTUATION = bytes(i for i in range(128) if not chr(i).isalnum() and not chr(i).isspace())
+#: Landmarks by the root of the number of labelled documents, rounds of examples, penalty.
+LANDMARKS, ROUNDS, RIDGE = 16, 3, 0.004
+#: Every so-manieth labelled document is for the logistic function alone, not for the machine.
+ASIDE = 4
+#: Standard errors from which a subsequence's shares count as unlike in the first round.
+UNLIKE = 3.0
+
+#: Letters are 1 to 26, 27 is white space, 28 all else in ASCII, 29 to 31 bytes of other letters; 0 is no character.
+BITS, BLANK = 20, 27
+CODES = bytes(
+    ord(chr(i).lower()) - 96 if i < 128 and chr(i).isalpha() else BLANK if i in b" \t\n\x0b\x0c\r" else 28 if i < 128 else 29 + i % 3 for i in range(256)
+)
+PUNCTUATION = bytes(i for i in range(33, 128) if not chr(i).isalnum())
 SPELL = bytes.maketrans(b"0134578", b"oieastb")
-SENTENCE = re.compile(rb"[.!?\n]+")
+MIXED = re.compile(rb"[a-z]+[0134578][a-z0-9]*|[0134578]+[a-z][a-z0-9]*")
 LETTERS = re.compile(rb"(?<!\S)(?:[a-z0-9]\s+){2,}[a-z0-9](?!\S)")
-STRETCHES = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
-FLOOR = -2.0
+BLANKS = re.compile(rb"\s+")
+SENTENCE = re.compile(rb"[.!?\n]+")
+#: Where a subsequence's characters are, counted from its first.
+PATTERNS = [(*inner, last) for n in LENGTHS for last in (n - 1, n) for inner in combinations(range(1, last), n - 2)]
+WEIGHTS = np.array([DECAY ** (p[-1] - len(p)) for p in PATTERNS])
+WEIGHTS /= np.sqrt(BEGINS * (WEIGHTS**2).sum())
 
 
-def chunks(text: bytes) -> list[bytes]:
+def coded(text: bytes) -> bytes:
+    """The characters of a text as the kernel sees them, with white space at both ends."""
     plain = text.lower().translate(None, PUNCTUATION)
-    return plain.split() + [re.sub(rb"\s+", b"", m) for m in LETTERS.findall(plain)]
-
-
-def spelled(chunk: bytes) -> bytes:
-    return chunk if chunk.isalpha() or chunk.isdigit() else chunk.translate(SPELL)
-
-
-def coded(chunk: bytes) -> np.ndarray:
-    return np.array([SIDES[0], *spelled(chunk).translate(CODES), SIDES[1]], np.int64)
-
-
-def weights_of(code: np.ndarray) -> dict[int, float]:
-    """The normalised weight of each subsequence of a coded chunk."""
-    parts, total = [], np.zeros(0)
-    for a, b in STRETCHES:
-        if len(code) > b:
-            parts.append((code[:-b] * SIGMA + code[a : len(code) - b + a]) * SIGMA + code[b:])
-            total = np.append(total, np.full(len(parts[-1]), DECAY ** (b + 1)))
-    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-    sums = np.bincount(at, total)
-    return dict(zip(keys.tolist(), (sums / np.sqrt((sums**2).sum())).tolist(), strict=True))
-
-
-def similarities(some: list[dict], table: np.ndarray) -> np.ndarray:
-    """The kernel of each chunk with each landmark (the rows of ``table``)."""
-    return np.array([table[:, list(w)] @ np.array(list(w.values())) for w in some]).reshape(len(some), len(table))
-
-
-def with_insertions(chunk: bytes) -> list[bytes]:
-    return [chunk[:i] + b"x" + chunk[i:] for i in range(1, len(chunk))]
+    plain = LETTERS.sub(lambda m: BLANKS.sub(b"", m[0]), plain)
+    plain = MIXED.sub(lambda m: m[0].translate(SPELL), plain)
+    return BLANKS.sub(b" ", b" " + plain + b" ").translate(CODES)
+
+
+def hashed(characters: list[np.ndarray]) -> np.ndarray:
+    """A number below 2^BITS for each subsequence; 0 for those that go beyond the text's end."""
+    key = np.zeros_like(characters[0])
+    for c in characters:
+        key = key << np.uint32(5) | c
+    key = key * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS)
+    return np.where(characters[-1] == 0, np.uint32(0), np.maximum(key, 1))
+
+
+def keys_of(codes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each pattern, the subsequences that begin at each but the last ``SPAN`` - 1 characters."""
+    n = len(codes) - SPAN + 1
+    for pattern in PATTERNS:
+        yield hashed([codes[i : n + i] for i in (0, *pattern)])
+
+
+def laid(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Coded texts end to end, with room between them that no window crosses, and where each begins."""
+    at = starts(np.array([max(0, len(t) - WIDTH) + 2 * WIDTH for t in texts], np.int64))
+    return np.frombuffer(b"".join(t.ljust(WIDTH, b"\0") + bytes(WIDTH) for t in texts), np.uint8).astype(np.uint32), at[:-1]
+
+
+def window_sums(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The decisions, without the shift, of all windows of some coded texts, text by text, and how many each has."""
+    codes, at = laid(texts)
+    total = np.zeros(len(codes) - SPAN + 2)
+    for keys, weight in zip(keys_of(codes), WEIGHTS, strict=True):
+        total[1:] += weight * weights[keys]
+    total = np.cumsum(total)
+    sums = total[BEGINS:] - total[:-BEGINS]
+    lengths = np.array([max(1, len(t) - WIDTH + 1) for t in texts])
+    return sums[flat(at, lengths)], lengths
+
+
+def decisions(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The decision of the worst window of each coded text, without the shift, and where it begins."""
+    if not texts:
+        return np.empty(0), np.empty(0, np.int64)
+    inside, lengths = window_sums(texts, weights)
+    first = starts(lengths)[:-1]
+    worst = np.maximum.reduceat(inside, first)
+    hits = np.flatnonzero(inside == np.repeat(worst, lengths))
+    _, one = np.unique(np.searchsorted(first, hits, side="right") - 1, return_index=True)
+    return worst, hits[one] - first
+
+
+def signs(texts: list[bytes], machine: Machine) -> np.ndarray:
+    """The worst window's decision, and how far the next worst ones, apart from it and each other, are above -1 in all."""
+    out = np.zeros((len(texts), 2))
+    if not texts:
+        return out
+    inside, lengths = window_sums(texts, machine.weights)
+    inside = np.clip(inside + machine.shift, -3, 3)
+    first = starts(lengths)[:-1]
+    out[:, 0] = np.maximum.reduceat(inside, first)
+    for row, begin, n in zip(out, first.tolist(), lengths.tolist(), strict=True):
+        own = inside[begin : begin + n].copy()
+        for turn in range(WINDOWS):
+            at = int(own.argmax())
+            if own[at] <= -1:
+                break
+            row[1] += (own[at] + 1) * (turn > 0)
+            own[max(0, at - WIDTH) : at + WIDTH] = -3
+    return out
+
+
+def entries(windows: list[bytes]) -> np.ndarray:
+    """The subsequences of each window, pattern by pattern; those beyond a short text's end are -1."""
+    codes = np.frombuffer(b"".join(w.ljust(WIDTH, b"\0") for w in windows), np.uint8).astype(np.uint32).reshape(-1, WIDTH)
+    keys = np.concatenate([hashed([codes[:, i : BEGINS + i] for i in (0, *pattern)]) for pattern in PATTERNS], axis=1).astype(np.int32)
+    return np.where(keys > 0, keys, -1)
+
+
+VALUES = np.repeat(WEIGHTS, BEGINS)
+
+
+def kernel(some: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The similarity of each window with each landmark, both given by their entries."""
+    m, width = marks.shape
+    order = np.argsort(marks, axis=None, kind="stable")
+    known, owner, value = marks.ravel()[order], order // width, VALUES[order % width]
+    out = np.zeros((len(some), m), np.float32)
+    for start in range(0, len(some), 256):
+        block = some[start : start + 256].ravel()
+        low, high = np.searchsorted(known, block), np.searchsorted(known, block, side="right")
+        count = np.where(block < 0, 0, high - low)
+        met = flat(low, count)
+        cell = np.repeat(np.arange(len(block)) // width * m, count) + owner[met]
+        rows = len(block) // width
+        out[start : start + rows] = np.bincount(cell, np.repeat(np.tile(VALUES, rows), count) * value[met], rows * m).reshape(rows, m)
+    return out
 
 
 class Machine:
-    """One weight for each subsequence."""
-
-    def __init__(self, positive: list[bytes], negative: list[bytes]):
-        self.usable = bool(positive) and bool(negative)
-        if not self.usable:
-            return
-        gapped = [v for p in positive for v in with_insertions(p)]
-        good = [weights_of(coded(c)) for c in positive + gapped]
-        table = np.zeros((len(positive), SIGMA**3), np.float32)
-        for i in range(len(positive)):
-            table[i, list(good[i])] = list(good[i].values())
-        bad = [weights_of(coded(c)) for c in negative]
-        hardest = np.argsort(-similarities(bad, table).max(1), kind="stable")[:NEGATIVE]
-        bad = [bad[i] for i in hardest]
-        marks = good[: len(positive)] + bad[: LANDMARKS - len(positive)]
-        table = np.zeros((len(marks), SIGMA**3), np.float32)
-        for i, w in enumerate(marks):
-            table[i, list(w)] = list(w.values())
-        values, vectors = np.linalg.eigh(similarities(marks, table))
-        root = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
-        z = similarities(good + bad, table) @ root
-        y = np.array([1.0] * len(good) + [-1.0] * len(bad))
-        cost = np.where(y > 0, 1 / len(good), 1 / len(bad)) * len(y) / 2
-        w, shift = np.zeros(z.shape[1]), 0.0
-        ones = np.concatenate([z, np.ones((len(z), 1))], axis=1)
-        ridge = RIDGE * np.eye(ones.shape[1])
-        ridge[-1, -1] = 1e-6
-        now = np.append(w, shift)
-        for _ in range(30):
-            active = y * (ones @ now) < 1
-            rows = ones[active] * cost[active][:, None]
-            now = np.linalg.solve(ridge + rows.T @ ones[active], rows.T @ y[active])
+    """A weight for each subsequence, fitted on toxic and clean windows, and a shift."""
+
+    def __init__(self, toxic: list[bytes], clean: list[bytes], landmarks: int):
+        draw = np.random.default_rng(11)
+        good, bad = entries(toxic), entries(clean)
+        half = [e[np.sort(draw.permutation(len(e))[: max(1, landmarks // 2)])] for e in (good, bad)]
+        marks = np.unique(np.concatenate(half), axis=0)
+        values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
+        root = vectors / np.sqrt(np.maximum(values, 1e-4))
+        z = np.ones((len(good) + len(bad), len(marks) + 1), np.float32)
+        for start in range(0, len(z), 2048):
+            z[start : start + 2048, :-1] = kernel(np.concatenate([good, bad])[start : start + 2048], marks) @ root
+        y = np.where(np.arange(len(z)) < len(good), 1.0, -1.0)
+        cost = np.where(y > 0, 1 / len(good), 1 / len(bad)).astype(np.float32)
+        ridge = np.diag(np.append(np.full(z.shape[1] - 1, RIDGE / len(good) ** 0.5), 1e-9))
+        now, active = np.zeros(z.shape[1]), np.ones(len(z), bool)
+        for _ in range(20):
+            rows = z[active] * cost[active][:, None]
+            now = np.linalg.solve(ridge + rows.T @ z[active], rows.T @ y[active])
+            before, active = active, y * (z @ now) < 1
+            if (before == active).all():
+                break
+        # Clean windows beyond the margin have no part in the fit.
+        self.hard = [w for w, a in zip(clean, active[len(good) :], strict=True) if a]
         self.shift = float(now[-1])
-        self.weights = ((root @ now[:-1]) @ table).astype(np.float32)
-
-    def decide(self, some: list[bytes]) -> list[float]:
-        """The machine's decision for each chunk; ``FLOOR`` for those that can't be above zero, and for all without examples."""
-        out = [FLOOR] * len(some)
-        if not self.usable:
-            return out
-        sized: dict[int, list[tuple[int, bytes]]] = {}
-        for i, chunk in enumerate(some):
-            plain = b"\x1b" + spelled(chunk).translate(CODES) + b"\x1c"
-            for start in range(0, max(1, len(plain) - WIDTH // 2), WIDTH // 2):
-                window = plain[start : start + WIDTH]
-                if len(window) > 2:
-                    sized.setdefault(-(-len(window) // 4) * 4, []).append((i, window))
-        for width, found in sized.items():
-            codes = np.frombuffer(b"".join(w.ljust(width, b"\0") for _, w in found), np.uint8).reshape(-1, width).astype(np.int32)
-            length = np.array([len(w) for _, w in found])
-            total, least = np.zeros(len(found), np.float32), np.zeros(len(found), np.float32)
-            for a, b in STRETCHES:
-                if width > b:
-                    key = (codes[:, :-b] * SIGMA + codes[:, a : width - b + a]) * SIGMA + codes[:, b:]
-                    total += np.float32(DECAY ** (b + 1)) * self.weights[key].sum(1)
-                    least += np.float32(DECAY ** (2 * b + 2)) * np.maximum(0, length - b)
-            # A chunk's own length is at least this, so no decision is above the bound.
-            bound = total / np.sqrt(np.maximum(least, 1e-9)) + self.shift
-            for at in np.flatnonzero((bound > 0) & (total > 0)):
-                own = weights_of(codes[at, : length[at]].astype(np.int64))
-                value = float(self.weights[list(own)] @ np.array(list(own.values()))) + self.shift
-                out[found[at][0]] = max(out[found[at][0]], value)
-        return out
+        self.weights = np.bincount(np.where(marks < 0, 0, marks).ravel(), ((root @ now[:-1])[:, None] * VALUES).ravel(), 1 << BITS)
+        self.weights[0] = 0
+        self.weights = self.weights.astype(np.float32)
 
 
 class Judge:
-    """Two machines, for clear insults and for weaker signs, and the logistic function of a document's signs."""
+    """A machine, and the logistic function of a document's signs, which rises with each of them."""
 
-    def __init__(self, clear: list[bytes], weak: list[bytes], negative: list[bytes]):
-        self.machines = [Machine(clear, weak + negative), Machine(weak, negative)]
-        self.usable = self.machines[0].usable
+    def __init__(self, machine: Machine | None = None):
+        self.machine, self.usable = machine, machine is not None
 
     def calibrate(self, x: np.ndarray, label: np.ndarray) -> None:
-        """Fit the logistic function of the documents' signs."""
-        self.middle, self.scale = x.mean(0), x.std(0) + 1e-6
-        z = np.concatenate([(x - self.middle) / self.scale, np.ones((len(x), 1))], axis=1)
+        """Fit the logistic function by Newton's steps."""
+        z = np.concatenate([x, np.ones((len(x), 1))], axis=1)
         w = np.zeros(z.shape[1])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            slope = z.T @ (label - p) - RIDGE * w
-            w = w + np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + RIDGE * np.eye(len(w)), slope)
-        self.logistic = w
-
-    def toxic(self, x: np.ndarray) -> np.ndarray:
-        if not self.usable or not len(x):
-            return np.zeros(len(x))
-        away = ((x - self.middle) / self.scale) @ self.logistic[:-1] + self.logistic[-1]
-        return 1 / (1 + np.exp(-np.clip(away, -500, 500)))
-
-
-class Reader:
-    """The signs of documents; remembers the suspicious chunks it has met, and that others are not."""
-
-    def __init__(self, machines: list[Machine], bound: int = 200_000):
-        self.machines, self.bound = machines, bound
-        self.seen: set[bytes] = set()
-        self.hot: list[dict[bytes, float]] = [{} for _ in machines]
-
-    def signs(self, texts: list[bytes]) -> np.ndarray:
-        found = [chunks(text) for text in texts]
-        if len(self.seen) > self.bound:
-            self.seen, self.hot = set(), [{} for _ in self.machines]
-        new = list(set().union(*found) - self.seen)
-        self.seen.update(new)
-        out = np.zeros((len(texts), 1 + (WORST + 1) * len(self.machines)))
-        out[:, 0] = [np.log1p(len(own)) for own in found]
-        for k, (machine, hot) in enumerate(zip(self.machines, self.hot, strict=True)):
-            hot.update((c, min(1.0, v)) for c, v in zip(new, machine.decide(new), strict=True) if v > 0)
-            for row, own in zip(out[:, 1 + k * (WORST + 1) :], found, strict=True):
-                worst = sorted((hot[c] for c in own if c in hot), reverse=True)
-                row[: min(WORST, len(worst))] = worst[:WORST]
-                row[WORST] = np.log1p(len(worst))
-        return out
+            curve = (z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(w))
+            w = w + np.linalg.solve(curve, z.T @ (label - p) - 1e-2 * w)
+        self.slopes, self.level = np.maximum(w[:-1], 0), float(w[-1])
 
+    def toxic(self, texts: list[bytes]) -> np.ndarray:
+        if not self.usable or not texts:
+            return np.zeros(len(texts))
+        some = [coded(t) for t in texts]
+        away = signs(some, self.machine) @ self.slopes + self.level
+        return np.where([len(t) >= min(LENGTHS) for t in some], 1 / (1 + np.exp(-np.clip(away, -500, 500))), 0.0)
 
-def document_signs(machines: list[Machine]):
-    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(machines)
-        for rows, texts in pieces(batches):
-            yield arrow({"label": rows.column("label"), "x": list(reader.signs(texts))}, SIGNS)
-
-    return signs
 
-
-def sentence_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's chunks, with the first sentence that holds them."""
+def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The coded sentences of each document, with a hash that tells them apart."""
     for rows, texts in pieces(batches):
-        out: dict[str, list] = {"chunk": [], "toxic": [], "sentence": []}
+        out: dict[str, list] = {name: [] for name in SENTENCES.names}
+        for key, label, text in zip(rows.column("doc_id").to_pylist(), rows.column("label").to_pylist(), texts, strict=True):
+            for sentence in {coded(s) for s in SENTENCE.split(text)}:
+                if len(sentence) >= min(LENGTHS):
+                    row = (key, label, xxhash.xxh64_intdigest(sentence) >> 1, sentence)
+                    for name, value in zip(SENTENCES.names, row, strict=True):
+                        out[name].append(value)
+        yield arrow(out, SENTENCES)
+
+
+def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and clean sentences hold each subsequence."""
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    for rows, texts in pieces(batches, "sentence"):
         for label, text in zip(rows.column("label").to_pylist(), texts, strict=True):
-            first: dict[bytes, int] = {}
-            for sentence in SENTENCE.split(text):
-                number = xxhash.xxh64_intdigest(sentence.strip().lower()) >> 1
-                for chunk in chunks(sentence):
-                    first.setdefault(chunk, number)
-            out["chunk"] += first
-            out["sentence"] += first.values()
-            out["toxic"] += [label] * len(first)
-        yield arrow(out, EVIDENCE)
+            codes, _ = laid([text])
+            counts[1 if label else 0, np.unique(np.concatenate(list(keys_of(codes))))] += 1
+    counts[:, 0] = 0
+    held = np.flatnonzero(counts.any(0))
+    yield arrow({"key": held, "toxic": counts[1, held], "clean": counts[0, held]}, SHARES)
+
+
+def worst_windows(weights: np.ndarray):
+    """Finds each sentence's worst window."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in pieces(batches, "sentence"):
+            value, at = decisions(texts, weights)
+            windows = [t[i : i + WIDTH] for t, i in zip(texts, at.tolist(), strict=True)]
+            yield arrow({"doc_id": rows.column("doc_id"), "label": rows.column("label"), "number": rows.column("number"), "decision": value, "window": windows}, WORST)
+
+    return find
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Judge:
     """Learn from the sentences of at most ``sample`` labelled training documents.
 
-    Only bounded lists of chunks reach the driver. Without labelled toxic sentences nothing is toxic.
+    ``WINDOWS`` + 1 windows of each of these documents and round and a count of each subsequence (of 2^20) reach the
+    driver, no more. A sentence that several documents of one label hold counts once. Without labelled sentences of both
+    kinds nothing is toxic.
     """
-    rows = labelled(bounded(docs), labels, "toxic", sample).mapInArrow(sentence_chunks, EVIDENCE)
-    count = lambda k: F.count_distinct(F.when(F.col("toxic") == k, F.col("sentence"))).cast("double")
-    counts = rows.groupBy("chunk").agg(count(1).alias("a"), count(0).alias("b")).where(F.length("chunk") > 2)
-    counts = keep(counts, work_folder(docs.sparkSession, "chunks"))
-    total = counts.agg(F.sum("a"), F.sum("b")).first()
-    if not total[0] or not total[1]:
-        return Judge([], [], [])
-    base, own = F.lit(total[0] / (total[0] + total[1])), F.col("a") / (F.col("a") + F.col("b"))
-    gain = F.col("a") * F.log(own / base) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - own) / (1 - base))).otherwise(0.0)
-    toxic = counts.where((F.col("a") >= 2) & (own > 0.8)).withColumn("gain", gain).orderBy(F.desc("gain"), "chunk").limit(POSITIVE).collect()
-    out = [r for r in toxic if r["gain"] >= STANDS_OUT]
-    clear = [bytes(r["chunk"]) for r in out if r["gain"] >= CLEAR * out[0]["gain"]]
-    weak = [bytes(r["chunk"]) for r in out[len(clear) :]]
-    rest = counts.where((F.col("b") > 0) & (own <= 0.8)).orderBy(F.xxhash64("chunk"), "chunk").limit(SEEN).collect()
-    judge = Judge(clear, weak, [bytes(r["chunk"]) for r in rest])
-    if judge.usable:
-        signs = labelled(docs, labels, "toxic", sample).mapInArrow(document_signs(judge.machines), SIGNS).collect()
-        judge.calibrate(np.array([r["x"] for r in signs]), np.array([r["label"] for r in signs]))
+    path = work_folder(docs.sparkSession, "sentences")
+    rows = labelled(bounded(docs), labels, "toxic", sample).mapInArrow(sentences, SENTENCES)
+    every = keep(rows.dropDuplicates(["number", "label"]), path)
+    aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(ASIDE)) == 0
+    rows = every.where(~aside)
+    sizes = {r["label"]: (r["n"], r["docs"]) for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs")).collect()}
+    if not {0, 1} <= sizes.keys():
+        return Judge()
+    counts = rows.mapInArrow(shares, SHARES).groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toPandas()
+    (n_clean, _), (n_toxic, _) = sizes[0], sizes[1]
+    share = (counts["toxic"] + counts["clean"]) / (n_clean + n_toxic)
+    error = np.sqrt(share * (1 - share) * (1 / n_clean + 1 / n_toxic)) + 1e-12
+    unlike = (counts["toxic"] / n_toxic - counts["clean"] / n_clean) / error
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[counts["key"]] = np.maximum(0, unlike - UNLIKE)
+    landmarks = int(np.ceil(LANDMARKS * np.sqrt(sum(d for _, d in sizes.values()))))
+
+    def worst() -> list:
+        """The worst windows of each document, each from another sentence, and its first window by a hash."""
+        found = rows.mapInArrow(worst_windows(weights), WORST).groupBy("doc_id", "label")
+        windows = F.sort_array(F.collect_list(F.struct("decision", "number", "window")), asc=False)
+        return found.agg(F.slice(windows, 1, WINDOWS).alias("windows"), F.min_by("window", "number").alias("other")).collect()
+
+    clean: set[bytes] = set()
+    shift = 0.0
+    for turn in range(ROUNDS):
+        toxic = set()
+        for r in worst():
+            # Besides the worst window those that the machine calls toxic, at first those half as bad as the worst.
+            least = -shift if turn else r["windows"][0]["decision"] / 2
+            some = [bytes(w["window"]) for i, w in enumerate(r["windows"]) if i == 0 or not r["label"] or w["decision"] > least]
+            (toxic if r["label"] else clean).update(some if r["label"] else [*some, bytes(r["other"])])
+        machine = Machine(sorted(toxic), sorted(clean), landmarks)
+        clean, weights, shift = set(machine.hard), machine.weights, machine.shift
+    judge = Judge(machine)
+    taken = labelled(docs, labels, "toxic", sample)
+    kept = taken.where(aside)
+    if kept.select("label").distinct().count() < 2:
+        kept = taken
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in pieces(batches):
+            yield arrow({"label": rows.column("label"), "x": list(signs([coded(t) for t in texts], machine))}, SIGNS)
+
+    found = kept.mapInArrow(judged, SIGNS).collect()
+    judge.calibrate(np.array([r["x"] for r in found]), np.array([r["label"] for r in found]))
     return judge
 
 
 def score(docs: DataFrame, judge: Judge) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``; a null or empty text has the least score."""
+    """(doc_id, score) of every row of ``docs``; a null or empty text has the score 0."""
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(judge.machines)
         for rows, texts in pieces(batches):
-            values = judge.toxic(reader.signs(texts)) if judge.usable else np.zeros(len(texts))
-            yield arrow({"doc_id": rows.column("doc_id"), "score": values}, SCORES)
+            yield arrow({"doc_id": rows.column("doc_id"), "score": judge.toxic(texts)}, SCORES)
 
     return bounded(docs).select("doc_id", "text").mapInArrow(judged, SCORES)

@@ -3,6 +3,8 @@
 import os
 import random
 import sys
+import zlib
+from itertools import combinations
 from collections import Counter
 
 import numpy as np
@@ -56,17 +58,60 @@ def test_one_class_or_no_labels(spark, edges, no_docs):
     assert toxicity.score(no_docs, toxicity.fit(no_docs, labels)).count() == 0
 
 
-def test_string_kernel_takes_gaps():
-    draw = random.Random(2)
-    syllables = ["an", "the", "or", "ti", "sh", "re", "ed", "wh", "ou", "ble"]
-    words = [("".join(draw.choices(syllables, k=draw.randint(2, 4)))).encode() for _ in range(3000)]
-    machine = toxicity.Machine([b"idiot", b"moron", b"stupid"], words)
-    near = [b"idiot", b"idxiot", b"id1ot", b"idiots", b"stuupid", b"mzoron", b"m0ron"]
-    assert min(machine.decide(near)) > 0.8
-    assert max(machine.decide([("".join(draw.choices(syllables, k=3))).encode() for _ in range(2000)])) < 0.6
-    assert toxicity.chunks(b"You i d i o t, id-iot!") == [b"you", b"i", b"d", b"i", b"o", b"t", b"idiot", b"idiot"]
-    # Long chunks are read in windows: what stands far in is found.
-    assert machine.decide([b"q" * 100 + b"idiotidiot" + b"z" * 50])[0] > toxicity.FLOOR
+def naive_kernel(a: bytes, b: bytes) -> float:
+    """Both windows' subsequences by trying all places, met pair by pair."""
+    found = []
+    for window in (a, b):
+        some: dict[bytes, float] = {}
+        for size in toxicity.LENGTHS:
+            for begin in range(toxicity.BEGINS):
+                for rest in combinations(range(begin + 1, min(begin + size + 1, len(window))), size - 1):
+                    key = bytes(window[i] for i in (begin, *rest))
+                    some[key] = some.get(key, 0.0) + toxicity.DECAY ** (rest[-1] - begin + 1 - size)
+        found.append(some)
+    return sum(v * found[1].get(k, 0.0) for k, v in found[0].items()) / (toxicity.BEGINS * sum(toxicity.DECAY ** (2 * (p[-1] - len(p))) for p in toxicity.PATTERNS))
+
+
+SYLLABLES = ["an", "the", "or", "ti", "sh", "re", "ed", "wh", "ou", "ble", "er", "ing", "on", "ha", "st", "ly"]
+
+
+def test_string_kernel_is_the_naive_one():
+    draw = random.Random(5)
+    windows = [toxicity.coded("".join(draw.choices("ab cd", k=toxicity.WIDTH)).encode())[: draw.randint(4, toxicity.WIDTH)] for _ in range(30)]
+    some = toxicity.entries(windows)
+    fast = toxicity.kernel(some, some)
+    slow = np.array([[naive_kernel(a, b) for b in windows] for a in windows])
+    assert np.allclose(fast, slow, atol=1e-5)
+    weights = np.bincount(np.maximum(some[0], 0), toxicity.VALUES, 1 << toxicity.BITS)
+    weights[0] = 0
+    assert np.allclose(toxicity.decisions(windows, weights)[0], slow[0], atol=1e-5)
+
+
+def test_text_as_the_kernel_sees_it():
+    assert toxicity.coded(b"You i d i o t, id-iot! 1d10t 2020") == toxicity.coded(b"you  idiot idiot idiot 2020")
+
+
+def test_insults_made_of_ordinary_syllables(spark):
+    draw = random.Random(30)
+    word = lambda: "".join(draw.choices(SYLLABLES, k=draw.randint(2, 4)))
+    ordinary = [word() for _ in range(3000)]
+    insults = [w for w in ("".join(draw.choices(SYLLABLES, k=3)) for _ in range(200)) if not any(w in o for o in ordinary)][:30]
+    docs, labels = [], []
+    for i in range(4000):
+        words, toxic = draw.choices(ordinary, k=draw.randint(20, 60)), int(draw.random() < 0.4)
+        for _ in range(2 * toxic):
+            words[draw.randrange(len(words))] = draw.choice(insults)
+        docs.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    judge = toxicity.fit(spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    said = judge.toxic([docs[i][1].encode() for i in held]) >= 0.5
+    truth = np.array([labels[i][1] for i in held]) == 1
+    assert said[truth].mean() > 0.9 and said[~truth].mean() < 0.1
+    # A character, or a space, put into each insult.
+    for extra in ("x", " "):
+        changed = [" ".join([*draw.choices(ordinary, k=30), *(w[:3] + extra + w[3:] for w in insults[j : j + 2]), *ordinary[:5]]) for j in range(0, 30, 2)]
+        assert (judge.toxic([c.encode() for c in changed]) >= 0.5).mean() > 0.7
 
 
 def linked(texts):

@@ -189,8 +189,14 @@ class Machine:
         ridge = np.diag(np.append(np.full(z.shape[1] - 1, RIDGE / len(good) ** 0.5), 1e-9))
         now, active = np.zeros(z.shape[1]), np.ones(len(z), bool)
         for _ in range(20):
-            rows = z[active] * cost[active][:, None]
-            now = np.linalg.solve(ridge + rows.T @ z[active], rows.T @ y[active])
+            left, right = ridge.copy(), np.zeros(len(ridge))
+            # In parts, so that no second copy of all examples is made.
+            for start in range(0, len(z), 2048):
+                used = np.flatnonzero(active[start : start + 2048]) + start
+                rows = z[used] * cost[used][:, None]
+                left += rows.T @ z[used]
+                right += rows.T @ y[used]
+            now = np.linalg.solve(left, right)
             before, active = active, y * (z @ now) < 1
             if (before == active).all():
                 break

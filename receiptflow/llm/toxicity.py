@@ -197,7 +197,8 @@ class Machine:
                 left += rows.T @ z[used]
                 right += rows.T @ y[used]
             now = np.linalg.solve(left, right)
-            before, active = active, y * (z @ now) < 1
+            # In parts again: the product would make a copy of all examples in double precision.
+            before, active = active, y * np.concatenate([z[start : start + 2048] @ now for start in range(0, len(z), 2048)]) < 1
             if (before == active).all():
                 break
         # Clean windows beyond the margin have no part in the fit.
@@ -284,13 +285,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Judge:
     sizes = {r["label"]: (r["n"], r["docs"]) for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs")).collect()}
     if not {0, 1} <= sizes.keys():
         return Judge()
-    counts = rows.mapInArrow(shares, SHARES).groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toPandas()
     (n_clean, _), (n_toxic, _) = sizes[0], sizes[1]
-    share = (counts["toxic"] + counts["clean"]) / (n_clean + n_toxic)
-    error = np.sqrt(share * (1 - share) * (1 / n_clean + 1 / n_toxic)) + 1e-12
-    unlike = (counts["toxic"] / n_toxic - counts["clean"] / n_clean) / error
+    counts = rows.mapInArrow(shares, SHARES).groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    share = (F.col("toxic") + F.col("clean")) / (n_clean + n_toxic)
+    error = F.sqrt(share * (1 - share) * (1 / n_clean + 1 / n_toxic)) + 1e-12
+    unlike = (F.col("toxic") / n_toxic - F.col("clean") / n_clean) / error - UNLIKE
+    # Only the subsequences that count reach the driver, as columns.
+    first = counts.select("key", unlike.alias("unlike")).where("unlike > 0").toArrow()
     weights = np.zeros(1 << BITS, np.float32)
-    weights[counts["key"]] = np.maximum(0, unlike - UNLIKE)
+    weights[first.column("key").to_numpy()] = first.column("unlike").to_numpy()
     landmarks = int(np.ceil(LANDMARKS * np.sqrt(sum(d for _, d in sizes.values()))))
 
     def worst() -> list:

@@ -23,6 +23,7 @@ from receiptflow.sinks import tables as table_sink
 from receiptflow.sources import tables
 from receiptflow.streaming.batches import enrich_batches, without_fraud
 from receiptflow.streaming.enrich import enrich_stream
+from receiptflow.streaming import corrections, late
 from receiptflow.streaming import reports as kept_reports
 from receiptflow.streaming.replay import arrive, read_all, replay, run_until
 from receiptflow.streaming.spend import spend_fired
@@ -78,6 +79,15 @@ def spend_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.groupBy("customer_id").agg(money_sum("total").alias("total"), F.sum("n").alias("n"))
 
 
+def spend_10s_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the watermark closes; rows that come later are set aside, then added back and counted."""
+    folder = work_folder(spark, "spend-late")
+    events = tables.load(spark, sf_dir, "events").withColumn("_order", F.pmod(-F.col("event_id"), F.lit(4)))
+    write = late.keep_late(f"{folder}/out")
+    replay(events, "_order", lambda rows: tables.as_spend(rows).writeStream.foreachBatch(write), folder=folder)
+    return in_millis(late.added_back(spark, f"{folder}/out", tables.as_spend(events).schema))
+
+
 def spend_fired_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows by the clock, each given out once, across restarts of the query.
 
@@ -394,12 +404,46 @@ def peak_hours_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_reports.read_peak_hours(spark, _kept_report(spark, sf_dir, kept_reports.peak_hours("ts"), lambda events: events))
 
 
+def _corrected(spark: SparkSession, sf_dir: str, report: kept_reports.Report, at: Column) -> DataFrame:
+    """A report over receipts that are replaced and marked before and after they count.
+
+    Of three events in a row the purchases are copies of one receipt, and a signup among them marks it; they arrive
+    in four slices out of order.
+    """
+    folder = work_folder(spark, "corrected")
+    write = corrections.correct(kept_reports.maintain(report, f"{folder}/out"), f"{folder}/receipts", buckets=8)
+    receipt = F.floor(F.col("event_id") / 3).cast("string").alias("receipt_id")
+    events = tables.load(spark, sf_dir, "events").withColumn("_order", F.pmod(-F.col("event_id"), F.lit(4)))
+
+    def start(rows: DataFrame):
+        tx = rows.where("event_type = 'purchase'").select(
+            receipt, F.col("event_id").alias("arrival"), F.col("user_id").cast("string").alias("customer_id"),
+            F.col("value").alias("total_amount"), at.alias("receipt_date"),
+        )
+        marks = rows.where("event_type = 'signup'").select(receipt)
+        return corrections.interleaved(tx, marks).writeStream.foreachBatch(write)
+
+    replay(events, "_order", start, folder=folder)
+    return in_millis(corrections.counted(kept_reports.read_report(spark, report, f"{folder}/out")))
+
+
+def totals_without_fraud_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed totals that late marks and newer copies correct."""
+    return _corrected(spark, sf_dir, late.windows(), F.timestamp_micros(tables.compressed()))
+
+
+def monthly_without_fraud_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly spend that late marks and newer copies correct."""
+    return _corrected(spark, sf_dir, kept_reports.MONTHLY_SPEND, F.col("ts"))
+
+
 QUERIES: dict[str, Query] = {
     "spend_10s": spend_10s,
     "spend_10s_stream": spend_10s_stream,
     "spend_10s_shuffled_stream": spend_10s_shuffled_stream,
     "spend_processing_time": spend_processing_time,
     "spend_fired_stream": spend_fired_stream,
+    "spend_10s_late_stream": spend_10s_late_stream,
     "decode_transactions": decode_transactions,
     "decode_customers": decode_customers,
     "decode_fraud": decode_fraud,
@@ -432,5 +476,7 @@ QUERIES: dict[str, Query] = {
     "peak_hours": peak_hours,
     "monthly_spend_stream": monthly_spend_stream,
     "peak_hours_stream": peak_hours_stream,
+    "totals_without_fraud_late_stream": totals_without_fraud_late_stream,
+    "monthly_without_fraud_late_stream": monthly_without_fraud_late_stream,
     **JOB_QUERIES,
 }

@@ -117,6 +117,27 @@ _PEAK_HOURS = """
 SELECT CAST(hour(ts) AS INT) AS h, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC) AS INT) AS rk
 FROM events GROUP BY 1"""
 
+# Receipts of three events each: the newest copy, unless a signup among them marks it.
+_CORRECTED = """
+WITH p AS (
+  SELECT concat('', user_id) AS customer_id, value, ts, event_id // 3 AS receipt,
+         1704067200000000 + (epoch_us(ts) - 1704067200000000) // 10000 AS us
+  FROM events WHERE event_type = 'purchase'
+  QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY event_id DESC) = 1),
+kept AS (
+  SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'signup' AND e.event_id // 3 = p.receipt))"""
+
+# Slices by the id; a row is late if its window's end is not after the newest row of all slices before.
+_SPEND_LATE = """
+WITH e AS (
+  SELECT concat('', user_id) AS customer_id, value, (4 - event_id % 4) % 4 AS slice,
+         1704067200000000 + (epoch_us(ts) - 1704067200000000) // 10000 AS us
+  FROM events),
+seen AS (SELECT slice, max(max(us)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM e GROUP BY slice)
+SELECT customer_id, us // 10000000 * 10000 AS window_start_ms, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+       count(*) AS n, count(*) FILTER (WHERE (us // 10000000 + 1) * 10000000 <= newest) AS n_late
+FROM e JOIN seen USING (slice) GROUP BY 1, 2"""
+
 ORACLE: dict[str, str] = {
     "spend_10s": _SPEND,
     "spend_10s_stream": _SPEND,
@@ -208,6 +229,15 @@ UNION ALL SELECT 'Customer_Transactions', count(*), count(*) FROM pairs""",
 SELECT concat('', user_id) AS customer_id, CAST(year(ts) AS INT) AS y, CAST(month(ts) AS INT) AS m,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend, count(*) AS n
 FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3""",
+    "spend_10s_late_stream": _SPEND_LATE,
+    "totals_without_fraud_late_stream": f"""{_CORRECTED}
+SELECT customer_id, us // 10000000 * 10000 AS window_start_ms,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n
+FROM kept GROUP BY 1, 2""",
+    "monthly_without_fraud_late_stream": f"""{_CORRECTED}
+SELECT customer_id, CAST(year(ts) AS INT) AS y, CAST(month(ts) AS INT) AS m,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spend, count(*) AS n
+FROM kept GROUP BY 1, 2, 3""",
     "peak_hours": _PEAK_HOURS,
     "peak_hours_stream": _PEAK_HOURS,
 }

@@ -90,11 +90,11 @@ def as_spend(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("customer_id"),
         F.col("value").alias("total_amount"),
-        F.timestamp_micros(_compressed()).alias("receipt_date"),
+        F.timestamp_micros(compressed()).alias("receipt_date"),
     )
 
 
-def _compressed() -> Column:
+def compressed() -> Column:
     return F.expr(f"{START_US} + (unix_micros(ts) - {START_US}) div 10000")
 
 

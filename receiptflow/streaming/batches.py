@@ -1,10 +1,10 @@
 """The two ordered enrichment rules as a batch job per micro-batch.
 
 Each micro-batch runs the batch form of the rule over its own rows and what earlier batches left
-behind, a table with the last state per customer. The work stays in the JVM and a customer that holds
-a large share of a batch is cut into chunks like any other batch, so this form suits large, skewed
-micro-batches; it reads and writes the whole state once per micro-batch, where the state store of
-``streaming.enrich`` touches only the customers that occur.
+behind, a table with the last state per customer in hash buckets (``streaming.parts``). The work stays in
+the JVM and a customer that holds a large share of a batch is cut into chunks like any other batch, so this form
+suits large, skewed micro-batches; it reads and writes the buckets whose customers occur, where the state
+store of ``streaming.enrich`` touches the customers alone.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -21,48 +21,35 @@ from receiptflow.operators.enrich import CUST, TX, asof_rows, enriched, interlea
 from receiptflow.operators.latest import latest_per_key
 from receiptflow.operators.quality import drop_fraud
 from receiptflow.operators.skew import Profile, join_unique, profile
+from receiptflow.streaming.parts import State
 
+BUCKETS = 64
 Emit = Callable[[DataFrame, int], None]
 
 
 def enrich_batches(
-    tx: DataFrame, customers: DataFrame, emit: Emit, state_path: str, mode: str = "asof"
+    tx: DataFrame, customers: DataFrame, emit: Emit, state_path: str, mode: str = "asof", buckets: int = BUCKETS
 ) -> DataStreamWriter:
     """A writer that enriches each micro-batch and hands the rows to ``emit(rows, batch_id)``.
 
-    ``emit`` must be safe to repeat for a batch, as a batch that fails half-way runs again. The state
-    left by batch n is kept in ``state_path/n`` until batch n + 2 has left its own.
+    ``emit`` must be safe to repeat for a batch, as a batch that fails half-way runs again. States are kept under
+    ``state_path``; its number of ``buckets`` must not change.
     """
     steps = {"asof": _asof_step, "pair_buffer": _pair_buffer_step}
     step = steps[mode]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        schema = batch.schema
-        before = _read_state(spark, f"{state_path}/{batch_id - 1}", schema, first=batch_id == 0)
         # The batch is read several times; a lost block is read again from the source.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            step(batch, before, lambda rows: emit(rows, batch_id), f"{state_path}/{batch_id}")
-            # Batch n may run again and needs the state of n - 1; nothing needs an older one.
-            _drop(spark, f"{state_path}/{batch_id - 2}")
+            state = State(batch, batch_id, state_path, "customer_id", buckets)
+            step(batch, state.before(), lambda rows: emit(rows, batch_id), state.write)
         finally:
             batch.unpersist()
 
     return interleave(tx, customers).writeStream.foreachBatch(write)
 
 
-def _read_state(spark: SparkSession, path: str, schema: T.StructType, first: bool) -> DataFrame:
-    if first:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def without_fraud(marks: Callable[[], DataFrame], emit: Emit) -> Emit:
     """A ``foreachBatch`` function that passes on transactions without a fraud mark.
 
@@ -85,7 +72,7 @@ def _earliest(kind: T.DataType) -> Column:
     return lowest
 
 
-def _pair_buffer_step(batch: DataFrame, before: DataFrame, emit, state: str) -> None:
+def _pair_buffer_step(batch: DataFrame, before: DataFrame, emit, leave: Callable[[DataFrame], None]) -> None:
     kind = batch.schema["arrival"].dataType
     hot = profile(batch, "customer_id", "arrival")
     # At most one state row per customer: the stored record, or the transaction that waits.
@@ -96,18 +83,19 @@ def _pair_buffer_step(batch: DataFrame, before: DataFrame, emit, state: str) ->
         emit(pairs(rows))  # the state rows themselves never leave
         final = F.max_by(F.struct("keeps", "stored", "kind", "tx"), F.struct("arrival", "kind")).alias("end")
         keeps, waits = F.col("end.keeps"), ~F.col("end.keeps") & (F.col("end.kind") == TX)
-        rows.groupBy("customer_id").agg(final).filter(keeps | waits).select(
+        states = rows.groupBy("customer_id").agg(final).filter(keeps | waits).select(
             "customer_id",
             F.lit(None).cast(kind).alias("arrival"),
             F.when(keeps, CUST).otherwise(TX).alias("kind"),
             F.when(waits, F.col("end.tx")).alias("tx"),
             F.when(keeps, F.col("end.stored")).alias("cust"),
-        ).write.mode("overwrite").parquet(state)
+        )
+        leave(states)
     finally:
         rows.unpersist()
 
 
-def _asof_step(batch: DataFrame, before: DataFrame, emit, state: str) -> None:
+def _asof_step(batch: DataFrame, before: DataFrame, emit, leave: Callable[[DataFrame], None]) -> None:
     kind = batch.schema["arrival"].dataType
     hot = profile(batch, "customer_id", "arrival")
     known = before.filter(F.col("kind") == CUST)
@@ -139,6 +127,6 @@ def _asof_step(batch: DataFrame, before: DataFrame, emit, state: str) -> None:
             F.lit(None).cast(batch.schema["tx"].dataType).alias("tx"),
             F.coalesce("latest", "old").alias("cust"),
         )
-        still.unionByName(stored).write.mode("overwrite").parquet(state)
+        leave(still.unionByName(stored))
     finally:
         rows.unpersist()

@@ -1,9 +1,7 @@
 """Reports that are kept up to date: each micro-batch folds its partial sums into the parts it touches.
 
-A part is a slice of the report (a month, an hour of the day). A batch that touches a part writes it anew into its own
-folder, ``batch=<id>/part=<part>``, from the part as the batches before have left it; all other parts stay as they
-are. The report is the newest folder of each part, of batches that are complete (Spark writes ``_SUCCESS`` last). A
-batch that runs again starts from the folders of earlier batches only, so nothing counts twice.
+A part is a slice of the report (a month, an hour of the day); ``streaming.parts`` says how parts are kept. A batch that
+runs again starts from the folders of earlier batches only, so nothing counts twice.
 """
 
 from __future__ import annotations
@@ -16,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from receiptflow.operators.reports import ranked
+from receiptflow.streaming.parts import drop, folders
 
 
 @dataclass(frozen=True)
@@ -39,9 +38,11 @@ class Report:
 
 
 def _months(tx: DataFrame) -> DataFrame:
-    amount = F.sum(F.col("total_amount").cast("decimal(28,8)")).cast("decimal(38,8)")
+    # Signed changes (``streaming.corrections``) may take rows back.
+    sign = F.col("sign") if "sign" in tx.columns else F.lit(1)
+    amount = F.sum(sign * F.col("total_amount").cast("decimal(28,8)")).cast("decimal(38,8)")
     keys = ["customer_id", F.year("receipt_date").alias("y"), F.month("receipt_date").alias("m")]
-    return tx.groupBy(*keys).agg(amount.alias("spend"), F.count("*").alias("n"))
+    return tx.groupBy(*keys).agg(amount.alias("spend"), F.sum(sign).cast("bigint").alias("n"))
 
 
 def _hours(at: str) -> Callable[[DataFrame], DataFrame]:
@@ -60,26 +61,6 @@ def peak_hours(at: str = "receipt_date") -> Report:
     return Report({"h": "int"}, {"n": "bigint"}, lambda: F.coalesce("h", F.lit(-1)), _hours(at))
 
 
-def _paths(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
-
-
-def _value(path: str, name: str) -> int:
-    return int(path.split(f"/{name}=", 1)[1].split("/", 1)[0])
-
-
-def folders(spark: SparkSession, path: str, before: int | None = None) -> dict[int, list[str]]:
-    """The folders of each part, oldest first, of complete batches (``before`` a batch)."""
-    done = {_value(p, "batch") for p in _paths(spark, f"{path}/batch=*/_SUCCESS")}
-    parts: dict[int, list[str]] = {}
-    for folder in sorted(_paths(spark, f"{path}/batch=*/part=*"), key=lambda p: _value(p, "batch")):
-        if _value(folder, "batch") in done and (before is None or _value(folder, "batch") < before):
-            parts.setdefault(_value(folder, "part"), []).append(folder)
-    return parts
-
-
 def _read(spark: SparkSession, report: Report, paths: list[str]) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], report.schema)
@@ -103,8 +84,7 @@ def maintain(report: Report, path: str) -> Callable[[DataFrame, int], None]:
             whole.withColumn("part", report.part()).write.mode("overwrite").partitionBy("part").parquet(f"{path}/batch={batch_id}")
             for part in touched:
                 for folder in known.get(part, [])[:-1]:
-                    gone = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+                    drop(spark, folder)
         finally:
             fresh.unpersist()
 

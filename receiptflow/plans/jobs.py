@@ -17,6 +17,7 @@ from receiptflow.sinks import jdbc
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import arrival, kafka_source
 from receiptflow.streaming.batches import enrich_batches
+from receiptflow.streaming.corrections import correct, interleaved
 from receiptflow.streaming.enrich import enrich_stream
 
 INPUTS = (TRANSACTION, CUSTOMER, FRAUD_MARK)
@@ -39,7 +40,9 @@ class Job:
     ``topics`` gives the message stream of each input record; ``enriched`` publishes a micro-batch of
     enriched records; ``tables`` gives, per record, a function that stores a micro-batch of its rows
     (both as for ``foreachBatch``); ``bad_messages``, if given, makes a writer for the
-    messages of a table that do not decode, which otherwise stop the job.
+    messages of a table that do not decode, which otherwise stop the job; ``corrected``, if given, takes the signed
+    changes of ``streaming.corrections`` in micro-batches, such as ``reports.maintain`` folds: sums over
+    them count each receipt once and none that is marked as fraud, also when the mark comes later.
     """
 
     checkpoints: str
@@ -48,6 +51,7 @@ class Job:
     totals: Sink = console_sink
     tables: dict[str, Batch] = field(default_factory=dict)
     bad_messages: Callable[[DataFrame, str], DataStreamWriter] | None = None
+    corrected: Batch | None = None
     window: str = "10 seconds"
     window_time: str = "processing"
     lateness: str | None = None  # see operators.spend: a delay lets windows be dropped, and rows with them
@@ -78,6 +82,9 @@ class Job:
             enriched = rows.writeStream.foreachBatch(self._publish)
         writers["spend_per_window"] = self.totals(spend(tx, self.window_time, self.window, self.lateness))
         writers[CUSTOMER_TRANSACTION.topic] = enriched
+        if self.corrected is not None:
+            log = interleaved(tx, records[FRAUD_MARK.name])
+            writers["corrected_spend"] = log.writeStream.foreachBatch(correct(self.corrected, f"{self.checkpoints}/receipts"))
         for record in INPUTS:
             if record.name in self.tables:
                 writers[record.table] = records[record.name].writeStream.foreachBatch(self.tables[record.name])

@@ -16,6 +16,8 @@ from receiptflow.session import work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import kafka_files
+from receiptflow.streaming import corrections
+from receiptflow.streaming import reports as kept_reports
 from receiptflow.streaming.metrics import PROGRESS, ProgressListener, observed, recent_progress
 from receiptflow.streaming.replay import catch_up, replay
 
@@ -161,6 +163,7 @@ def test_whole_job(spark, tmp_path, form):
             totals=lambda df: df.writeStream.outputMode("update").foreachBatch(table_sink.append_batch(f"{tmp_path}/totals")),
             tables={r.name: table_sink.upsert(r, f"{tmp_path}/tables/{r.table}") for r in TABLES},
             bad_messages=lambda df, table: df.writeStream.format("parquet").option("path", f"{tmp_path}/bad/{table}"),
+            corrected=kept_reports.maintain(kept_reports.MONTHLY_SPEND, f"{tmp_path}/monthly"),
             enrich_form=form,
             salts=2,
             trigger={"availableNow": True},
@@ -181,20 +184,28 @@ def test_whole_job(spark, tmp_path, form):
     queries = run()
     assert set(queries) == {
         "spend_per_window", "customer_transactions_topic", "Raw_Transactions", "Customer", "Fraud_Transactions",
-        "bad_Raw_Transactions", "bad_Customer", "bad_Fraud_Transactions",
+        "bad_Raw_Transactions", "bad_Customer", "bad_Fraud_Transactions", "corrected_spend",
     }
+
+    def monthly():
+        rows = corrections.counted(kept_reports.read_report(spark, kept_reports.MONTHLY_SPEND, f"{tmp_path}/monthly"))
+        return {r["customer_id"]: (r["n"], r["spend"]) for r in rows.collect()}
+
+    assert monthly() == {"ann": (2, 2401.0)}
     enriched = spark.read.schema(CUSTOMER_TRANSACTION.schema).parquet(f"{tmp_path}/enriched")
     assert sorted(r.receipt_id for r in enriched.collect()) == ["r1", "r3"]
     write(
         {
             TRANSACTION.name: [receipt(4, "bob"), {**receipt(1, "ann"), "paymentMethod": "PayPal"}],
             CUSTOMER.name: [person("bob", 1), person("ann", 2)],
-            FRAUD_MARK.name: [{"receiptId": "r2", "detectedTs": "2024-01-01T00:02:00.000000"}],
+            FRAUD_MARK.name: [{"receiptId": r, "detectedTs": "2024-01-01T00:02:00.000000"} for r in ("r2", "r3")],
         },
         200,
     )
     run()
     spark.streams.removeListener(listener)
+    # The first receipt came again and counts once; the mark of the third takes it back.
+    assert monthly() == {"ann": (1, 1200.5), "bob": (1, 1200.5)}
     enriched = spark.read.schema(CUSTOMER_TRANSACTION.schema).parquet(f"{tmp_path}/enriched")
     assert sorted(r.receipt_id for r in enriched.collect()) == ["r1", "r1", "r2", "r3", "r4"]
 

@@ -42,7 +42,7 @@ def replay(
         catch_up(start(source), f"{folder}/checkpoint")
 
 
-def run_until(writer: DataStreamWriter, checkpoint: str, done: Callable[[StreamingQuery], bool], within: float = 300) -> None:
+def run_until(writer: DataStreamWriter, checkpoint: str, done: Callable[[StreamingQuery], bool], within: float = 1800) -> None:
     """Run a stream until ``done`` holds; an error in it is raised here.
 
     For streams with timers of processing time: these always have another micro-batch to run, and so never catch up.

@@ -65,3 +65,51 @@ def test_windows_fire_once_by_time_alone(spark, tmp_path):
 
 def test_changes_of_no_batch(spark, tmp_path):
     assert table_sink.read_changes(spark, f"{tmp_path}/none", ["customer_id", "window_start"], TOTALS).count() == 0
+
+
+def test_customers_share_timers_and_parts_of_a_window_add_up():
+    """A bucket asks the state store as often for many customers as for one."""
+    from decimal import Decimal
+
+    import pandas as pd
+
+    from receiptflow.streaming.spend import WindowTotals
+
+    calls = []
+
+    class MapState(dict):
+        def getValue(self, key):
+            calls.append(key)
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            calls.append(key)
+            self[key] = value
+
+        def removeKey(self, key):
+            calls.append(key)
+            del self[key]
+
+    class Handle:
+        timers = []
+
+        def getMapState(self, *_):
+            return MapState()
+
+        def registerTimer(self, end):
+            self.timers.append(end)
+
+    class Times:
+        getCurrentProcessingTimeInMs = staticmethod(lambda: 1500)
+        getExpiryTimeInMs = staticmethod(lambda: 2000)
+
+    totals, many = WindowTotals(1000), [str(i) for i in range(500)]
+    totals.init(Handle())
+    for amount in ("0.10000000", "0.20000000"):
+        rows = pd.DataFrame({"customer_id": [*many, None], "amount": [*[Decimal(amount)] * 500, None]})
+        assert list(totals.handleInputRows((0,), iter([rows.head(300), rows.tail(201)]), Times)) == []
+    assert len(calls) == 6 and Handle.timers == [2000]
+    (out,) = totals.handleExpiredTimer((0,), Times, Times)
+    assert set(zip(out["customer_id"], out["total"], out["n"])) == {*((c, "0.30000000", 2) for c in many), (None, None, 2)}
+    assert set(out["end_ms"]) == {2000} and not totals.open and not totals.parts
+    assert list(totals.handleExpiredTimer((0,), Times, Times)) == []

@@ -23,8 +23,10 @@ PAIR = T.StructType([T.StructField("tx", T.StringType()), T.StructField("cust",
 # The processors travel to the workers whole, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BODY = T.StructType([T.StructField("body", T.StringType())])
 SLOT = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("body", T.StringType())])
+GROUP = "customer_id string, salt int"
+#: Groups that the customers are dealt over; fixed for the life of a checkpoint.
+BUCKETS = 1024
 
 
 def enrich_stream(
@@ -34,6 +36,7 @@ def enrich_stream(
     salts: int = 8,
     hot_keys: list[str] | None = None,
     ttl: str | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Enrich a stream of transactions with a stream of customer records (append output).
 
@@ -45,6 +48,9 @@ def enrich_stream(
     ``pair_buffer`` depends on every row before it and keeps one group per customer; for customers
     too hot for one task use ``streaming.batches``, which cuts them into chunks.
 
+    State groups share ``buckets`` calls of Python by their hash: a call sorts and pairs the rows of all its customers
+    at once, and asks the state store for those that occur. ``buckets`` is fixed for the life of a checkpoint, too.
+
     State never expires unless ``ttl`` (like "30 days") is given. With it Spark keeps running empty
     micro-batches to expire state, so such a query does not end by itself under ``availableNow``.
     """
@@ -61,7 +67,8 @@ def enrich_stream(
         _salts(mode, salts, hot_keys, list(parts.values())).alias("salt"),
     )
     ttl_ms = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
-    pairs = packed.groupBy("customer_id", "salt").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("customer_id", "salt"), F.lit(buckets)).cast("int")
+    pairs = packed.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=processors[mode](list(parts), ttl_ms),
         outputStructType=PAIR,
         outputMode="Append",
@@ -118,76 +125,101 @@ def _unpack(body: str, log: DataFrame) -> Column:
 
 
 class _InOrder(StatefulProcessor):
-    """Hands a group's rows of one micro-batch to ``step`` in order of arrival."""
+    """Hands a bucket's rows of one micro-batch to ``step``, each customer's in order of arrival."""
 
     def __init__(self, order: list[str], ttl_ms: int | None = None):
         self.order = order
         self.ttl_ms = ttl_ms
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterable[pd.DataFrame]:
-        # One group's share of one micro-batch, which the source's per-trigger limit bounds.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values([*self.order, "kind"], kind="stable")
-        tx, cust = self.step(batch["kind"].to_numpy() == CUST, batch["body"].to_numpy())
+        # One bucket's share of one micro-batch, which the source's per-trigger limit bounds.
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values(["customer_id", "salt", *self.order, "kind"], kind="stable")
+        customer, salt = batch["customer_id"].to_numpy(), batch["salt"].to_numpy()
+        heads = np.ones(len(batch), dtype=bool)
+        heads[1:] = (customer[1:] != customer[:-1]) | (salt[1:] != salt[:-1])
+        groups = list(zip(customer[heads].tolist(), salt[heads].tolist()))
+        tx, cust = self.step(groups, heads, batch["kind"].to_numpy() == CUST, batch["body"].to_numpy())
         yield pd.DataFrame({"tx": tx, "cust": cust}, dtype=object)
 
     def close(self) -> None:
         pass
 
 
-def _last_before(is_cust: np.ndarray) -> np.ndarray:
-    """Per row, the position of the newest customer record up to it, or -1."""
-    return np.maximum.accumulate(np.where(is_cust, np.arange(len(is_cust)), -1))
+def _newest(heads: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Per row, the position of the newest chosen row of its group up to it, or -1; ``heads`` start the groups."""
+    rows = np.arange(len(heads))
+    newest = np.maximum.accumulate(np.where(chosen, rows, -1))
+    return np.where(newest < np.maximum.accumulate(np.where(heads, rows, 0)), -1, newest)
 
 
 class AsOf(_InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.customer = handle.getValueState("customer", BODY, self.ttl_ms)
-        self.pending = handle.getListState("pending", BODY, self.ttl_ms)
-
-    def step(self, is_cust: np.ndarray, body: np.ndarray):
-        fresh = body[is_cust]
-        stored = self.customer.get()
-        if stored is None and len(fresh) == 0:
-            self.pending.appendList([(text,) for text in body])
-            return [], []
-        waiting = []
-        if stored is None:
-            waiting = [row[0] for row in self.pending.get()]
-            if waiting:
-                self.pending.clear()
-        if len(fresh):
-            self.customer.update((fresh[-1],))
-        # Rows with no record before them take the stored one, else the first of this batch.
-        opening = fresh[0] if stored is None else stored[0]
-        last = _last_before(is_cust)
-        cust = np.where(last >= 0, body[last], opening)[~is_cust]
-        return waiting + list(body[~is_cust]), [opening] * len(waiting) + list(cust)
+        # The customer record, or none and the number of blocks of transactions that wait for one.
+        self.customer = handle.getMapState("customer", GROUP, "body string, blocks long", self.ttl_ms)
+        self.pending = handle.getMapState("pending", f"{GROUP}, block long", "bodies array<string>", self.ttl_ms)
+
+    def step(self, groups: list[tuple], heads: np.ndarray, is_cust: np.ndarray, body: np.ndarray):
+        starts = np.append(np.flatnonzero(heads), len(heads))
+        last = _newest(heads, is_cust)
+        fresh = np.flatnonzero(is_cust)
+        places = np.searchsorted(fresh, starts)
+        openings = np.empty(len(groups), dtype=object)
+        served = np.ones(len(groups), dtype=bool)
+        waiting, opened = [], []
+        for g, group in enumerate(groups):
+            stored, blocks = self.customer.getValue(group) or (None, 0)
+            has_fresh = places[g] < places[g + 1]
+            if stored is None and not has_fresh:
+                self.pending.updateValue((*group, blocks), (body[starts[g] : starts[g + 1]].tolist(),))
+                self.customer.updateValue(group, (None, blocks + 1))
+                served[g] = False
+                continue
+            # Rows with no record before them take the stored one, else the first of this batch.
+            openings[g] = body[fresh[places[g]]] if stored is None else stored
+            for block in range(blocks):
+                held = self.pending.getValue((*group, block))
+                if held is not None:  # else it has expired
+                    waiting += held[0]
+                    opened += [openings[g]] * len(held[0])
+                    self.pending.removeKey((*group, block))
+            if has_fresh:
+                self.customer.updateValue(group, (body[fresh[places[g + 1] - 1]], 0))
+        of = np.cumsum(heads) - 1
+        leaves = ~is_cust & served[of]
+        cust = np.where(last >= 0, body[last], openings[of])[leaves]
+        return waiting + list(body[leaves]), opened + list(cust)
 
 
 class PairBuffer(_InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
         # Never both: a transaction waits only while no customer record is stored.
-        self.slot = handle.getValueState("slot", SLOT, self.ttl_ms)
+        self.slot = handle.getMapState("slot", GROUP, SLOT, self.ttl_ms)
 
-    def step(self, is_cust: np.ndarray, body: np.ndarray):
-        slot = self.slot.get()
+    def step(self, groups: list[tuple], heads: np.ndarray, is_cust: np.ndarray, body: np.ndarray):
+        slots = [self.slot.getValue(group) for group in groups]
         # A state is what one earlier row would have left behind, so it goes in front as that row.
-        if slot is not None:
-            is_cust = np.concatenate([[slot[0] == CUST], is_cust])
-            body = np.concatenate([np.array([slot[1]], dtype=object), body])
-        last = _last_before(is_cust)
-        follows_tx = np.concatenate([[False], ~is_cust[:-1]])
-        keeps = np.logical_or.accumulate(is_cust & ~follows_tx)
+        held = [g for g, slot in enumerate(slots) if slot is not None]
+        places = np.flatnonzero(heads)[held]
+        heads[places] = False
+        heads = np.insert(heads, places, True)
+        is_cust = np.insert(is_cust, places, [slots[g][0] == CUST for g in held])
+        body = np.insert(body, places, np.array([slots[g][1] for g in held], dtype=object))
+        last = _newest(heads, is_cust)
+        follows_tx = np.concatenate([[False], ~is_cust[:-1]]) & ~heads
+        keeps = _newest(heads, is_cust & ~follows_tx) >= 0
         before = np.concatenate([np.array([None], dtype=object), body[:-1]])
         leaves = is_cust != keeps
         tx = np.where(is_cust, before, body)[leaves]
         cust = np.where(is_cust, body, body[last])[leaves]
-        if keeps[-1]:
-            left = (CUST, body[last[-1]])
-        else:
-            left = None if is_cust[-1] else (TX, body[-1])
-        if left is None:
-            self.slot.clear()
-        elif slot is None or left != tuple(slot):
-            self.slot.update(left)
+        for group, slot, end in zip(groups, slots, np.append(np.flatnonzero(heads)[1:], len(heads)) - 1):
+            if keeps[end]:
+                left = (CUST, body[last[end]])
+            else:
+                left = None if is_cust[end] else (TX, body[end])
+            if left is None:
+                if slot is not None:
+                    self.slot.removeKey(group)
+            elif slot is None or left != tuple(slot):
+                self.slot.updateValue(group, left)
         return list(tx), list(cust)

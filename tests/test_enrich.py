@@ -193,6 +193,31 @@ def test_streams_equal_model(spark, tmp_path, mode, slices):
     assert pairs(spark.read.parquet(out)) == expected
 
 
+@pytest.mark.parametrize("mode", list(MODELS))
+def test_customers_share_calls(spark, tmp_path, monkeypatch, mode):
+    """All customers of a bucket in one call, whatever its state: as the model, and far fewer calls than customers."""
+    from receiptflow.streaming import enrich as form
+
+    events = random_events(21, 900, keys=150)
+    table = spark.createDataFrame(events, EVENT)
+    calls = spark.sparkContext.accumulator(0)
+    plain = form._InOrder.handleInputRows
+
+    def counted(self, key, rows, times):
+        calls.add(1)
+        return plain(self, key, rows, times)
+
+    monkeypatch.setattr(form._InOrder, "handleInputRows", counted)
+
+    def start(log):
+        rows = enrich_stream(make_tx(log), make_customers(log), mode, salts=1, buckets=2)
+        return rows.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+
+    replay(table, "seq", start, 4, folder=f"{tmp_path}/in")
+    assert pairs(spark.read.parquet(f"{tmp_path}/out")) == MODELS[mode](events)
+    assert 1 <= calls.value <= 2 * 4
+
+
 def test_stream_spreads_only_named_keys(spark, tmp_path):
     events = random_events(3, 300, keys=6)
     table = spark.createDataFrame(events, EVENT)

@@ -10,6 +10,8 @@ from receiptflow.session import prepare
 
 # Fixed value: 2024-01-01 00:00 UTC in microseconds, where the event table starts.
 START_US = 1704067200000000
+#: The columns of a line item that make it a transaction.
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_transactions(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items as transactions.
+
+    Orders are joined last: that brings all copies of a receipt into one task, and a step that keeps one of them can
+    drop the others before its exchange.
+    """
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     grade = F.substring("o_orderpriority", 1, 1)
@@ -40,8 +47,8 @@ def as_transactions(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
         .otherwise("Store credit")
     )
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("receipt_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),

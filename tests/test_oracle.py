@@ -70,3 +70,14 @@ def test_hot_profile_reads_stored_transactions(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(catalog, "profile", profile)
     catalog.enrich_current_hot(spark, sf_dir)
     assert seen and not any(word in plan for plan in seen for word in ("Join", "Window"))
+
+
+def test_copies_of_a_receipt_meet_before_the_exchange(spark, sf_dir):
+    """Orders are joined last, and a replayed slice holds only what makes a transaction."""
+    from receiptflow.sources import tables
+
+    tx = tables.transactions(spark, sf_dir)
+    plan = tx._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("o_orderkey") < plan.index("p_partkey")
+    lines = tables.load(spark, sf_dir, "lineitem").select(*tables.LINE)
+    assert tables.as_transactions(lines, spark, sf_dir).exceptAll(tx).isEmpty()

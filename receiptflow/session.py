@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+COUNTED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -17,7 +19,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Changelog checkpoints upload only the state rows a micro-batch touched.
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set(CHANGES, "true")
     return spark
 
 

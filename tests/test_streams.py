@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from receiptflow.operators import quality, reports
 from receiptflow.operators.skew import profile
 from receiptflow.operators.spend import TOTALS, spend
+from receiptflow.plans import catalog
 from receiptflow.plans.jobs import INPUTS, TABLES, Job
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
-from receiptflow.session import work_folder
+from receiptflow.session import CHANGES, work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import kafka_files
@@ -92,6 +93,32 @@ def test_dedupe(spark, tmp_path):
     assert sorted(receipts) == [f"r{i}" for i in range(10)]
 
 
+def test_a_replay_starts_from_whole_states(spark, tmp_path):
+    """Not from the changes of all runs before; other streams keep changes."""
+    rows = spark.createDataFrame([sale("a", float(i), i % 7, f"r{i % 10}") + (i,) for i in range(50)], SALE + ", seq bigint")
+
+    def start(stream):
+        return quality.dedupe(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+
+    before = spark.conf.get(CHANGES, None)
+    replay(rows, "seq", start, 3, folder=str(tmp_path))
+    kept = {f.suffix for f in (tmp_path / "checkpoint" / "state").rglob("*") if f.suffix in (".zip", ".changelog")}
+    assert kept == {".zip"} and spark.conf.get(CHANGES, None) == before
+    assert sorted(r.receipt_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [f"r{i}" for i in range(10)]
+
+
+def test_rows_with_copies(spark):
+    """Absent values are equal, each row stays once, and a row that differs in one column is no copy."""
+    row = ("r1", "c", "pr-1", "kettle", 1.0, 2, 2.0, None, "Cash")
+    make = lambda rows: spark.createDataFrame(rows, TRANSACTION.schema)
+    copies = make([row, row, ("r2", *row[1:]), ("r3", *row[1:])])
+    got = catalog.with_copies(make([row, row, ("r2", *row[1:8], "Invoice"), ("r4", *row[1:])]), copies)
+    assert sorted((r.receipt_id, r.payment_method, r.is_copy) for r in got.collect()) == [
+        ("r1", "Cash", True), ("r1", "Cash", True), ("r2", "Invoice", False), ("r4", "Cash", False)
+    ]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+
+
 def test_drop_fraud(spark):
     tx = spark.createDataFrame([sale("a", 1.0, i, f"r{i % 4}") for i in range(400)] + [("a", 1.0, None, None)], SALE)
     marks = spark.createDataFrame([("r1",), ("r1",), ("unknown",), (None,)], "receipt_id string")

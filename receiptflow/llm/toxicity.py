@@ -55,14 +55,19 @@ UNLIKE = 3.0
 
 #: Letters are 1 to 26, 27 is white space, 28 all else in ASCII, 29 to 31 bytes of other letters; 0 is no character.
 BITS, BLANK = 20, 27
+#: Characters that are worked on at a time.
+BLOCK = 1 << 14
 CODES = bytes(
     ord(chr(i).lower()) - 96 if i < 128 and chr(i).isalpha() else BLANK if i in b" \t\n\x0b\x0c\r" else 28 if i < 128 else 29 + i % 3 for i in range(256)
 )
 PUNCTUATION = bytes(i for i in range(33, 128) if not chr(i).isalnum())
 SPELL = bytes.maketrans(b"0134578", b"oieastb")
-MIXED = re.compile(rb"[a-z]+[0134578][a-z0-9]*|[0134578]+[a-z][a-z0-9]*")
+MIXED = re.compile(rb"(?<![a-z])[a-z]++[0134578][a-z0-9]*|[0134578]++[a-z][a-z0-9]*")
 LETTERS = re.compile(rb"(?<!\S)(?:[a-z0-9]\s+){2,}[a-z0-9](?!\S)")
 BLANKS = re.compile(rb"\s+")
+#: What a text holds (the second, with white space at both ends) if the two above it match anywhere; quick to look for.
+MAY_MIX = re.compile(rb"[0134578](?:(?=[a-z])|(?<=[a-z].))")
+MAY_SPELL = re.compile(rb"\s[a-z0-9]\s+[a-z0-9]\s+[a-z0-9]\s")
 SENTENCE = re.compile(rb"[.!?\n]+")
 #: Where a subsequence's characters are, counted from its first.
 PATTERNS = [(*inner, last) for n in LENGTHS for last in (n - 1, n) for inner in combinations(range(1, last), n - 2)]
@@ -73,25 +78,47 @@ WEIGHTS /= np.sqrt(BEGINS * (WEIGHTS**2).sum())
 def coded(text: bytes) -> bytes:
     """The characters of a text as the kernel sees them, with white space at both ends."""
     plain = text.lower().translate(None, PUNCTUATION)
-    plain = LETTERS.sub(lambda m: BLANKS.sub(b"", m[0]), plain)
-    plain = MIXED.sub(lambda m: m[0].translate(SPELL), plain)
-    return BLANKS.sub(b" ", b" " + plain + b" ").translate(CODES)
+    if MAY_SPELL.search(b" " + plain + b" "):
+        plain = LETTERS.sub(lambda m: BLANKS.sub(b"", m[0]), plain)
+    if MAY_MIX.search(plain):
+        plain = MIXED.sub(lambda m: m[0].translate(SPELL), plain)
+    words = plain.split()
+    return b" ".join([b"", *words, b""] if words else [b"", b""]).translate(CODES)
 
 
-def hashed(characters: list[np.ndarray]) -> np.ndarray:
-    """A number below 2^BITS for each subsequence; 0 for those that go beyond the text's end."""
-    key = np.zeros_like(characters[0])
-    for c in characters:
-        key = key << np.uint32(5) | c
-    key = key * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS)
-    return np.where(characters[-1] == 0, np.uint32(0), np.maximum(key, 1))
+def hashed(key: np.ndarray) -> np.ndarray:
+    """A number from 1 to below 2^BITS for each subsequence, given as the run of its characters' codes."""
+    key = key * np.uint32(0x9E3779B1)
+    key >>= np.uint32(32 - BITS)
+    return np.maximum(key, 1, out=key)
 
 
 def keys_of(codes: np.ndarray) -> Iterator[np.ndarray]:
-    """For each pattern, the subsequences that begin at each but the last ``SPAN`` - 1 characters."""
-    n = len(codes) - SPAN + 1
+    """For each pattern, the subsequences that begin at each but the last ``SPAN`` - 1 characters of the last axis.
+
+    0 stands for those that go beyond the text's end. Patterns share what they begin with.
+    """
+    n = codes.shape[-1] - SPAN + 1
+    runs = {(): codes[..., :n]}
+    ends = {last: codes[..., last : n + last] == 0 for last in {p[-1] for p in PATTERNS}}
     for pattern in PATTERNS:
-        yield hashed([codes[i : n + i] for i in (0, *pattern)])
+        for i, at in enumerate(pattern):
+            if pattern[: i + 1] not in runs:
+                run = runs[pattern[:i]] << np.uint32(5)
+                run |= codes[..., at : n + at]
+                runs[pattern[: i + 1]] = run
+        keys = hashed(runs[pattern])
+        keys[ends[pattern[-1]]] = 0
+        yield keys
+
+
+def blocks(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Stretches of some coded texts, each with the characters that its last subsequences reach, and where it begins.
+
+    What is worked out for a stretch stays in the processor's cache.
+    """
+    for start in range(0, len(codes) - SPAN + 1, BLOCK):
+        yield start, codes[start : start + BLOCK + SPAN - 1]
 
 
 def laid(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +131,11 @@ def window_sums(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np
     """The decisions, without the shift, of all windows of some coded texts, text by text, and how many each has."""
     codes, at = laid(texts)
     total = np.zeros(len(codes) - SPAN + 2)
-    for keys, weight in zip(keys_of(codes), WEIGHTS, strict=True):
-        total[1:] += weight * weights[keys]
+    for start, part in blocks(codes):
+        sums = total[start + 1 : start + 1 + BLOCK]
+        for keys, weight in zip(keys_of(part), WEIGHTS, strict=True):
+            # All keys are in range; without the check for it this takes half the time.
+            sums += weight * weights.take(keys, mode="clip")
     total = np.cumsum(total)
     sums = total[BEGINS:] - total[:-BEGINS]
     lengths = np.array([max(1, len(t) - WIDTH + 1) for t in texts])
@@ -147,7 +177,7 @@ def signs(texts: list[bytes], machine: Machine) -> np.ndarray:
 def entries(windows: list[bytes]) -> np.ndarray:
     """The subsequences of each window, pattern by pattern; those beyond a short text's end are -1."""
     codes = np.frombuffer(b"".join(w.ljust(WIDTH, b"\0") for w in windows), np.uint8).astype(np.uint32).reshape(-1, WIDTH)
-    keys = np.concatenate([hashed([codes[:, i : BEGINS + i] for i in (0, *pattern)]) for pattern in PATTERNS], axis=1).astype(np.int32)
+    keys = np.concatenate(list(keys_of(codes)), axis=1).astype(np.int32)
     return np.where(keys > 0, keys, -1)
 
 
@@ -250,9 +280,17 @@ def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and clean sentences hold each subsequence."""
     counts = np.zeros((2, 1 << BITS), np.int64)
     for rows, texts in pieces(batches, "sentence"):
-        for label, text in zip(rows.column("label").to_pylist(), texts, strict=True):
-            codes, _ = laid([text])
-            counts[1 if label else 0, np.unique(np.concatenate(list(keys_of(codes))))] += 1
+        toxic = rows.column("label").to_numpy() != 0
+        # Sentences go side by side, as many at a time as fill a block.
+        ends = np.cumsum([len(t) for t in texts]) // BLOCK
+        for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
+            codes, at = laid([texts[i] for i in some])
+            begins = np.flatnonzero(codes[: len(codes) - SPAN + 1])
+            owner = (np.searchsorted(at, begins, side="right") - 1 + some[0]) << BITS
+            held = np.sort(np.concatenate([owner | keys[begins] for keys in keys_of(codes)]))
+            held = held[np.diff(held, prepend=-1) > 0]
+            for label, row in enumerate(counts):
+                np.add.at(row, held[toxic[held >> BITS] == label] & (1 << BITS) - 1, 1)
     counts[:, 0] = 0
     held = np.flatnonzero(counts.any(0))
     yield arrow({"key": held, "toxic": counts[1, held], "clean": counts[0, held]}, SHARES)

@@ -8,6 +8,7 @@ from itertools import combinations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import clashing, edges, no_docs  # noqa: F401
 
@@ -91,6 +92,31 @@ def test_text_as_the_kernel_sees_it():
     assert toxicity.coded(b"You i d i o t, id-iot! 1d10t 2020") == toxicity.coded(b"you  idiot idiot idiot 2020")
 
 
+def test_shares_go_through_many_sentences_at_a_time(monkeypatch):
+    draw, calls, keys_of = random.Random(8), [], toxicity.keys_of
+    texts = [toxicity.coded("".join(draw.choices("abc d", k=draw.choice([0, 3, 9, 40]))).encode()) for _ in range(600)]
+    labels = [draw.randint(0, 1) for _ in texts]
+    counts = [Counter(), Counter()]
+    for text, label in zip(texts, labels, strict=True):
+        counts[label].update({int(k) for keys in keys_of(toxicity.laid([text])[0]) for k in keys if k})
+    monkeypatch.setattr(toxicity, "keys_of", lambda codes: calls.append(len(codes)) or keys_of(codes))
+    batch = pa.RecordBatch.from_pydict({"label": pa.array(labels, pa.int32()), "sentence": pa.array(texts, pa.binary())})
+    (found,) = toxicity.shares(iter([batch]))
+    assert len(calls) < 10  # before: one call for each sentence
+    assert {r["key"]: (r["clean"], r["toxic"]) for r in found.to_pylist()} == {k: (counts[0][k], counts[1][k]) for k in counts[0] | counts[1]}
+
+
+def test_decisions_do_not_depend_on_blocks(monkeypatch):
+    draw = random.Random(9)
+    texts = [toxicity.coded("".join(draw.choices("abc d1é", k=draw.choice([0, 2, 20, 300]))).encode()) for _ in range(40)]
+    weights = np.random.default_rng(4).standard_normal(1 << toxicity.BITS).astype(np.float32)
+    weights[0] = 0
+    whole = toxicity.window_sums(texts, weights)
+    monkeypatch.setattr(toxicity, "BLOCK", 100)
+    for a, b in zip(whole, toxicity.window_sums(texts, weights), strict=True):
+        assert (a == b).all()
+
+
 def test_insults_made_of_ordinary_syllables(spark):
     draw = random.Random(30)
     word = lambda: "".join(draw.choices(SYLLABLES, k=draw.randint(2, 4)))

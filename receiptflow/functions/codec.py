@@ -40,6 +40,9 @@ def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "
     keys = F.map_keys("_map")
     repeated = F.size(F.array_distinct(keys)) < F.size(keys)
     strange = F.array_except(keys, F.array(*[F.lit(name) for name in record.json_names]))
+    # As many entries as different known fields: none is repeated and none is strange.
+    plain = F.size(keys) == sum((F.array_contains(keys, name).cast("int") for name in record.json_names), F.lit(0))
+    strange = F.when(plain, F.array().cast("array<string>")).otherwise(strange)
     text = {f: f"_text_{f.column}" for f in record.fields}
     typed = {f: f"_typed_{f.column}" for f in record.fields}
     # Each step names what the next ones use more than once, so that it is worked out once. The two
@@ -47,7 +50,7 @@ def decode(df: DataFrame, record: Record, mode: str = "failfast", value: str = "
     messages = df.select(*other, F.col(value).cast("string").alias("raw"))
     messages = messages.select(*other, "raw", F.explode(F.array(parsed)).alias("_map"))
     messages = messages.filter("_map IS NOT NULL OR raw IS NULL OR trim(raw) <> 'null'")
-    messages = messages.withColumns({"_map": F.when(repeated, _last_wins("_map")).otherwise(F.col("_map")), "_strange": strange})
+    messages = messages.withColumns({"_map": F.when(~plain & repeated, _last_wins("_map")).otherwise(F.col("_map")), "_strange": strange})
     messages = messages.withColumns({text[f]: F.col("_map").getItem(f.json) for f in record.fields})
     messages = messages.withColumns({typed[f]: _typed(f, F.col(text[f])) for f in record.fields})
     problem = F.coalesce(

@@ -143,3 +143,26 @@ def test_encode_then_decode(spark, record, times):
     assert again.collect() == first.collect()
     assert again.schema.names == record.schema.names
     assert [f.dataType for f in again.schema] == [f.dataType for f in record.schema]
+
+
+def test_only_odd_messages_pay_for_sets_of_names(spark):
+    names = ["customerId", "name", "email", "birthdate"]
+    whole = dict.fromkeys(names, "x")
+    texts = {
+        "plain": json.dumps(whole),
+        "fewer": '{"customerId": "a"}',
+        "again": '{"customerId": "a", "customerId": "b", "name": "n", "email": "e"}',  # as many entries as fields
+        "other": '{"customerId": "a", "name": "n", "email": "e", "extra": 1}',
+        "both": '{"customerId": "a", "customerId": "b", "extra": 1, "extra": 2}',
+        "none": "{}",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "kind string, value string")
+    decoded = decode(rows, CUSTOMER, "quarantine")
+    found = {r.kind: (r.customer_id, r.problem) for r in decoded.collect()}
+    assert found == {
+        "plain": ("x", None), "fewer": ("a", None), "again": ("b", None), "other": (None, "unknown field extra"),
+        "both": (None, "unknown field extra"), "none": (None, None),
+    }
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[: plan.index("array_except")].rsplit("\n", 1)[-1]
+    assert before.count("array_contains") >= len(names)  # asked first, and the rest only if it fails

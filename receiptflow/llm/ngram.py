@@ -4,13 +4,12 @@ A word w after u scores ln(c(uw) / c(u)) if the pair was counted at least ``LEAS
 ln(0.4 c(w) / N); the first word of a document always backs off. Words are lower-cased (A-Z) runs of
 other than white space. Scores are added up as whole millionths, so the sum depends on no order.
 
-Count tables are partitioned by hash and joined with the exploded bigrams, then summed per document.
-An exploded bigram is not a row of its own: what a batch of documents holds for a hash bucket travels
-as one packed row of distinct bigrams and their places. Bigrams that make up a large share of all,
-of which there can be few, are counted and joined apart, spread over all tasks.
-
-Word counts are read by the exploding tasks from a broadcast table of at most ``VOCABULARY`` words;
-where there are more, ``score_by_rows`` does the same with plain joins.
+Documents are read once, in batches of ``SIZE`` bytes that are written as packed words. A batch asks
+for the counts of its distinct words and bigrams: their hashes, in order, go to the buckets they fall
+into, one packed row a bucket, and the buckets send the counts back in the same order, without the
+hashes. Batch and counts then meet, and each of its documents is summed up at once. What travels is
+in proportion to the text at any size and any number of buckets, words and documents; a bigram has one
+entry a batch, however frequent it is.
 """
 
 from __future__ import annotations
@@ -28,27 +27,23 @@ from receiptflow.llm.text import Hashes, arrow, bounded, flat, joined, mix, piec
 from receiptflow.session import work_folder
 
 LEAST, BACKOFF, MICRO = 2, 0.4, 1e6
-VOCABULARY = 6_000_000
-#: A bigram is apart if over one in so many of all bigrams are its copies; so at most so many are.
+#: Entries in a bucket of words, and of bigrams, at most, about; and bytes of text in a batch.
+VOCABULARY, BUCKET, SIZE = 2_000_000, 4_000_000, 8 << 20
+#: Kept for callers that set it: no bigram is set apart, as none has more than one entry a batch.
 HEAVY = 1000
-#: Bigrams in a bucket, about, least number of buckets, and bytes of text exploded at once.
-BUCKET, BUCKETS, SIZE = 2_000_000, 64, 8 << 20
-FLUSH = 400_000
 
-COUNTS = schema_of("kind int, gram long, n long")
-PACKED = schema_of("bucket int, kind int, rows array<long>, ids array<long>, body binary")
-PARTS = schema_of("row long, doc_id long, n_words long, n_hit long, micro long, gram long, tf long")
+WORDS = schema_of("batch long, n_words long, n_distinct long, body binary")
+PACKED = schema_of("batch long, bucket int, body binary")
+SUMS = schema_of("doc_id long, n_words long, n_hit long, micro long")
 
 
 def words_of(text: bytes, hashes: Hashes) -> np.ndarray:
     return hashes.of(text.lower().split())
 
 
-def pairs_of(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all bigrams of some documents, and the place of each one's second word."""
-    lengths = np.array([len(w) for w in words], np.int64)
-    tokens, begin = joined(words), starts(lengths)
-    second = flat(begin[:-1] + 1, np.maximum(0, lengths - 1))
+def pairs_of(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all bigrams of documents laid end to end, and the place of each one's second word."""
+    second = flat(starts(lengths)[:-1] + 1, np.maximum(0, lengths - 1))
     return mix(tokens[second - 1] * np.uint64(0x9E3779B97F4A7C15) + tokens[second]), second
 
 
@@ -56,27 +51,6 @@ def micros(x: np.ndarray) -> np.ndarray:
     return np.rint(np.log(x) * MICRO).astype(np.int64)
 
 
-def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word counts (kind 1), and bigrams that are frequent in their batch (kind 2)."""
-    hashes, total = Hashes(), {}
-
-    def rows(kind: int, counts: dict) -> pa.RecordBatch:
-        grams = np.fromiter(counts, np.uint64, len(counts)).astype(np.int64)
-        return arrow({"kind": [kind] * len(counts), "gram": grams, "n": list(counts.values())}, COUNTS)
-
-    for _, texts in pieces(batches):
-        words = [words_of(t, hashes) for t in texts]
-        for gram, n in zip(*(x.tolist() for x in np.unique(joined(words), return_counts=True)), strict=True):
-            total[gram] = total.get(gram, 0) + n
-        grams, n = np.unique(pairs_of(words)[0], return_counts=True)
-        often = n * HEAVY > n.sum()
-        yield rows(2, dict(zip(grams[often].tolist(), n[often].tolist(), strict=True)))
-        if len(total) > FLUSH:
-            yield rows(1, total)
-            total = {}
-    yield rows(1, total)
-
-
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of equal or unequal length, compressed by byte planes."""
     planes = [np.int64(len(a)).tobytes() + a.dtype.str.encode().ljust(8) + a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
@@ -94,166 +68,116 @@ def unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
-def explode(words: tuple, heavy: np.ndarray, total: int, buckets: int):
-    """Packs the distinct bigrams of each batch, by bucket: hash, worth if it was a backoff, places.
+def read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of documents as packed words: ids, lengths, distinct words by falling frequency, and each word's place there."""
+    hashes, docs, ids, first, size = Hashes(), [], [], None, 0
 
-    Rows of kind 0 hold the documents' words and the sum they have if all of them back off, rows of
-    kind 2 the heavy bigrams, dealt to any bucket.
-    """
+    def packed() -> pa.RecordBatch:
+        distinct, place, n = np.unique(joined(docs), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        known = np.array([i is not None for i in ids], np.uint8)
+        lengths = np.array([len(w) for w in docs], np.int64)
+        body = pack(np.array([i or 0 for i in ids], np.int64), known, lengths, distinct[order], rank[place])
+        return arrow({"batch": [first], "n_words": [len(place)], "n_distinct": [len(distinct)], "body": [body]}, WORDS)
 
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = words.value
-        hashes = Hashes()
-        for number, (rows, texts) in enumerate(pieces(batches, size=SIZE)):
-            docs = [words_of(t, hashes) for t in texts]
-            lengths = np.array([len(w) for w in docs], np.int64)
-            tokens = joined(docs)
-            seen = counts[np.searchsorted(vocabulary, tokens)] if len(tokens) else np.empty(0, np.int64)
-            alone, context = micros(BACKOFF * seen / total), micros(seen)
-            begin = starts(lengths)
-            sums = np.concatenate([[0], np.cumsum(alone)])
-            ids, keys = rows.column("doc_id").to_pylist(), rows.column("row").to_pylist()
-            spread = int(keys[0] + number) % buckets
-            out = [(spread, 0, keys, ids, pack(lengths, sums[begin[1:]] - sums[begin[:-1]]))]
-            grams, second = pairs_of(docs)
-            worth = context[second - 1] + alone[second]
-            owner = np.repeat(np.arange(len(docs), dtype=np.uint32), lengths)[second]
-            order = np.lexsort((owner, grams))
-            grams, worth, owner = grams[order], worth[order], owner[order]
-            apart = np.isin(grams, heavy)
-            bucket = (grams % np.uint64(buckets)).astype(np.int64)
-            if apart.any():
-                out.append((spread, 2, keys, ids, packed(grams[apart], worth[apart], owner[apart])))
-            rest = np.flatnonzero(~apart)
-            rest = rest[np.argsort(bucket[rest], kind="stable")]
-            for at in np.split(rest, np.flatnonzero(np.diff(bucket[rest])) + 1) if len(rest) else []:
-                out.append((int(bucket[at[0]]), 1, keys, ids, packed(grams[at], worth[at], owner[at])))
-            yield arrow(dict(zip(PACKED.names, map(list, zip(*out, strict=True)), strict=True)), PACKED)
-
-    return exploded
-
-
-def packed(grams: np.ndarray, worth: np.ndarray, owner: np.ndarray) -> bytes:
-    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-    places = np.diff(np.append(first, len(grams))).astype(np.uint32)
-    distinct = grams[first]
-    return pack(np.diff(distinct, prepend=np.uint64(0)), worth[first].astype(np.int32), places, owner)
-
-
-def add_up(group: pa.Table) -> pa.Table:
-    """The parts of a bucket's bigrams in the scores of their documents."""
-    grams, worth, row, tables = [], [], [], []
-    for kind, rows, ids, body in zip(*(group.column(c) for c in PACKED.names[1:]), strict=True):
-        rows, ids = np.array(rows.as_py(), np.int64), ids.as_py()
-        parts = unpack(body.as_py())
-        if kind.as_py() == 0:
-            none = [None] * len(rows)
-            tables.append({"row": rows, "doc_id": ids, "n_words": parts[0], "n_hit": [0] * len(rows), "micro": parts[1], "gram": none, "tf": none})
-            continue
-        places = parts[2].astype(np.int64)
-        own = np.repeat(np.cumsum(parts[0]), places)
-        value = np.repeat(parts[1].astype(np.int64), places)
-        if kind.as_py() == 2:
-            place = parts[3]
-            at = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (place[1:] != place[:-1])))
-            tf = np.diff(np.append(at, len(own)))
-            of = place[at].tolist()
-            tables.append({
-                "row": rows[of], "doc_id": [ids[i] for i in of], "n_words": [0] * len(at), "n_hit": tf,
-                "micro": -value[at] * tf, "gram": own[at].astype(np.int64), "tf": tf,
-            })
-            continue
-        grams.append(own)
-        worth.append(value)
-        row.append(rows[parts[3]])
-    if grams:
-        _, at, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-        counts = counts[at]
-        hit = counts >= LEAST
-        gain = (micros(counts) - np.concatenate(worth))[hit]
-        rows, place = np.unique(np.concatenate(row)[hit], return_inverse=True)
-        tables.append({
-            "row": rows, "doc_id": pa.nulls(len(rows), pa.int64()), "n_words": [0] * len(rows), "n_hit": np.bincount(place, minlength=len(rows)),
-            "micro": np.bincount(place, gain, len(rows)).astype(np.int64), "gram": [None] * len(rows), "tf": [None] * len(rows),
-        })
-    return pa.Table.from_batches([arrow(t, PARTS) for t in tables], arrow({c: [] for c in PARTS.names}, PARTS).schema)
-
-
-def result(parts: DataFrame) -> DataFrame:
-    """One row per document: (doc_id, n_words, n_hit, micro, score), the score a mean logarithm per word."""
-    rows = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_words", "n_hit", "micro")])
-    mean = F.when(F.col("n_words") > 0, F.col("micro") / MICRO / F.col("n_words"))
-    return rows.select("doc_id", "n_words", "n_hit", "micro", mean.alias("score"))
-
-
-def score_packed(docs: DataFrame, words: DataFrame, heavy: list[int], total: int, folder: str) -> DataFrame:
-    """Scores by packed rows; the table of words has at most ``VOCABULARY`` rows, ``heavy`` at most ``HEAVY``."""
-    spark = docs.sparkSession
-    table = words.toArrow()
-    grams, n = (table.column(c).to_numpy() for c in ("gram", "n"))
-    order = np.argsort(grams.view(np.uint64))
-    vocabulary = spark.sparkContext.broadcast((grams.view(np.uint64)[order], n[order].astype(np.int64)))
-    buckets = max(BUCKETS, -(-total // BUCKET))
-    few = np.array(heavy, np.int64).view(np.uint64)
-    rows = docs.mapInArrow(explode(vocabulary, few, total, buckets), PACKED)
-    parts = rows.groupBy("bucket").applyInArrow(add_up, PARTS)
-    if not heavy:
-        return result(parts)
-    parts = keep(parts, f"{folder}/parts")
-    counts = parts.where("gram is not null").groupBy("gram").agg(F.sum("tf").alias("c"))
-    # At most HEAVY rows; what was counted less than LEAST times has no part in a sum, as anywhere else.
-    counts = counts.where(F.col("c") >= LEAST)
-    apart = parts.where("gram is not null").join(F.broadcast(counts), "gram")
-    apart = apart.withColumn("micro", F.col("micro") + F.col("tf") * F.round(F.log("c") * MICRO).cast("long"))
-    return result(parts.where("gram is null").unionByName(apart.select(*PARTS.names)))
-
-
-def explode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
     for rows, texts in pieces(batches):
-        docs = [words_of(t, hashes) for t in texts]
-        keys, ids = rows.column("row").to_pylist(), rows.column("doc_id").to_pylist()
-        lengths = [len(w) for w in docs]
-        before = [np.concatenate([w[:1], w[:-1]]) for w in docs]
-        at = np.repeat(np.arange(len(docs)), lengths)
-        first = joined([np.arange(n) == 0 for n in lengths], bool)
-        both = mix(joined(before) * np.uint64(0x9E3779B97F4A7C15) + joined(docs)).astype(np.int64)
-        yield arrow({
-            "row": [keys[i] for i in at], "doc_id": [ids[i] for i in at], "word": joined(docs).astype(np.int64), "context": joined(before).astype(np.int64),
-            "gram": pa.array(both, mask=first), "empty": [False] * len(at),
-        }, ROWS)
-        none = [i for i, n in enumerate(lengths) if not n]
-        yield arrow({"row": [keys[i] for i in none], "doc_id": [ids[i] for i in none], "word": [None] * len(none), "context": [None] * len(none), "gram": [None] * len(none), "empty": [True] * len(none)}, ROWS)
-
-
-ROWS = schema_of("row long, doc_id long, word long, context long, gram long, empty boolean")
-
-
-def score_by_rows(docs: DataFrame, words: DataFrame, total: int) -> DataFrame:
-    """The same scores with one row per bigram, joined to tables of any size; adaptive execution splits hot keys."""
-    rows = docs.mapInArrow(explode_rows, ROWS)
-    pairs = rows.where("gram is not null").groupBy("gram").agg(F.count("*").alias("c"))
-    named = lambda x: words.select(F.col("gram").alias(x), F.col("n").alias(f"n_{x}"))
-    joint = rows.join(pairs, "gram", "left").join(named("word"), "word", "left").join(named("context"), "context", "left")
-    micro = lambda x: F.round(F.log(x) * MICRO).cast("long")
-    hit = F.coalesce(F.col("c") >= LEAST, F.lit(False))
-    value = F.when(F.col("empty"), 0).when(hit, micro(F.col("c")) - micro(F.col("n_context"))).otherwise(micro(BACKOFF * F.col("n_word") / total))
-    return result(joint.select("row", "doc_id", (~F.col("empty")).cast("long").alias("n_words"), hit.cast("long").alias("n_hit"), value.alias("micro")))
+        if first is None:
+            first = rows.column("row")[0].as_py()
+        ids += rows.column("doc_id").to_pylist()
+        docs += [words_of(t, hashes) for t in texts]
+        size += sum(map(len, texts))
+        # Empty texts count as a byte.
+        if size + len(ids) >= SIZE:
+            yield packed()
+            docs, ids, first, size = [], [], None, 0
+    if ids:
+        yield packed()
+
+
+def batch_of(body: bytes) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, lengths, sorted distinct words and each word's place there, as ``read_words`` has packed them."""
+    ids, known, lengths, distinct, place = unpack(body)
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return [i if k else None for i, k in zip(ids.tolist(), known.tolist(), strict=True)], lengths, distinct[order], rank[place]
+
+
+def dealt(hashes: np.ndarray, counts: np.ndarray, buckets: int, first: int) -> Iterator[tuple[int, bytes]]:
+    """Sorted hashes and their counts, packed for the buckets that they fall into: even ranges, numbered from ``first``."""
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
+    for start, end in zip(cuts, cuts[1:]):
+        yield first + int(bucket[start]), pack(np.diff(hashes[start:end], prepend=np.uint64(0)), counts[start:end].astype(np.uint32))
+
+
+def ask(word_buckets: int, pair_buckets: int):
+    """Each batch's distinct words and bigrams, with their counts in the batch, by bucket: first those of words."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for batch, body in zip(rows.column("batch").to_pylist(), rows.column("body"), strict=True):
+                _, lengths, distinct, place = batch_of(body.as_py())
+                grams, n = np.unique(pairs_of(distinct[place], lengths)[0], return_counts=True)
+                out = [*dealt(distinct, np.bincount(place, minlength=len(distinct)), word_buckets, 0), *dealt(grams, n, pair_buckets, word_buckets)]
+                yield arrow({"batch": [batch] * len(out), "bucket": [k for k, _ in out], "body": [x for _, x in out]}, PACKED)
+
+    return asked
+
+
+def count(group: pa.Table) -> pa.Table:
+    """The counts in all batches of what a bucket was asked for, in the order of each batch's row."""
+    asked = [unpack(body.as_py()) for body in group.column("body")]
+    _, entry = np.unique(np.concatenate([np.cumsum(deltas) for deltas, _ in asked]), return_inverse=True)
+    counts = np.bincount(entry, np.concatenate([n for _, n in asked])).astype(np.int64)[entry]
+    cuts = starts(np.array([len(n) for _, n in asked]))
+    bodies = [pack(counts[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return pa.Table.from_batches([arrow({"batch": group.column("batch").combine_chunks(), "bucket": group.column("bucket").combine_chunks(), "body": bodies}, PACKED)])
+
+
+def add_up(total: int, word_buckets: int):
+    """The sums of a batch's documents, from its words (bucket -1) and the counts that the buckets have sent back."""
+
+    def summed(group: pa.Table) -> pa.Table:
+        group = group.sort_by("bucket")
+        bucket, bodies = group.column("bucket").to_numpy(), [body.as_py() for body in group.column("body")]
+        ids, lengths, distinct, place = batch_of(bodies[0])
+        counts = [unpack(body)[0] for body in bodies[1:]]
+        n_words = int(np.count_nonzero(bucket[1:] < word_buckets))
+        seen, pairs = joined(counts[:n_words], np.int64), joined(counts[n_words:], np.int64)
+        grams, second = pairs_of(distinct[place], lengths)
+        known, gram = np.unique(grams, return_inverse=True)
+        if len(seen) != len(distinct) or len(pairs) != len(known):
+            raise ValueError(f"batch {group.column('batch')[0]}: {len(seen)} counts for {len(distinct)} words, {len(pairs)} for {len(known)} bigrams")
+        value = micros(BACKOFF * seen / total)[place]
+        hit = np.zeros(len(place), np.int64)
+        of = second[pairs[gram] >= LEAST]
+        value[of] = micros(pairs)[gram[pairs[gram] >= LEAST]] - micros(seen)[place[of - 1]]
+        hit[of] = 1
+        begin = starts(lengths)
+        per_document = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[begin])
+        return pa.Table.from_batches([arrow({"doc_id": ids, "n_words": lengths, "n_hit": per_document(hit), "micro": per_document(value)}, SUMS)])
+
+    return summed
 
 
 def score(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     """(doc_id, n_words, n_hit, micro, score) of every row of ``docs`` by the model of all of them.
 
-    ``n_hit`` words were scored by their bigram. A text without words, or a null one, has the sum 0
-    and a null score. Repeated rows count, and are scored, each.
+    ``n_hit`` words were scored by their bigram; the score is a mean logarithm per word. A text without words, or a
+    null one, has the sum 0 and a null score. Repeated rows count, and are scored, each. ``vocabulary`` only decides
+    into how many buckets words are dealt: there are about so many in one.
     """
-    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "ngrams")
+    folder = work_folder(docs.sparkSession, "ngrams")
     docs = bounded(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = keep(docs.select("text").mapInArrow(count, COUNTS).groupBy("kind", "gram").agg(F.sum("n").alias("n")), f"{folder}/counts")
-    words = counts.where("kind = 1").select("gram", "n")
-    size = words.agg(F.count("*"), F.sum("n")).first()
-    total = size[1] or 1
-    if size[0] > vocabulary:
-        return score_by_rows(docs, words, total)
-    heavy = counts.where((F.col("kind") == 2) & (F.col("n") * HEAVY > total)).select("gram").limit(HEAVY).collect()
-    return score_packed(docs, words, [r[0] for r in heavy], total, folder)
+    # Written once, so that batches are the same wherever they are read again.
+    words = keep(docs.mapInArrow(read_words, WORDS), f"{folder}/words")
+    total, distinct = words.agg(F.sum("n_words"), F.sum("n_distinct")).first()
+    total, word_buckets, pair_buckets = total or 1, -(-(distinct or 1) // vocabulary), -(-(total or 1) // BUCKET)
+    counts = words.select("batch", "body").mapInArrow(ask(word_buckets, pair_buckets), PACKED).groupBy("bucket").applyInArrow(count, PACKED)
+    both = words.select("batch", F.lit(-1).alias("bucket"), "body").unionByName(counts)
+    sums = both.groupBy("batch").applyInArrow(add_up(total, word_buckets), SUMS)
+    mean = F.when(F.col("n_words") > 0, F.col("micro") / MICRO / F.col("n_words"))
+    return sums.select("doc_id", "n_words", "n_hit", "micro", mean.alias("score"))

@@ -269,6 +269,37 @@ def test_language_model_of_few_words(spark, vocabulary):
     assert [rows[i] for i in range(len(texts))] == scores(texts)
 
 
+def test_language_model_in_many_buckets_and_batches(spark, monkeypatch):
+    """One plan, without joins, however many words there are."""
+    import random
+
+    draw = random.Random(2)
+    monkeypatch.setattr(ngram, "BUCKET", 20)
+    texts = [" ".join(f"w{min(draw.randint(0, 99), draw.randint(0, 99))}" for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(7)
+    found = ngram.score(docs, 5)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.micro) for r in found.collect()}
+    assert [rows[i] for i in range(len(texts))] == scores(texts)
+
+
+def test_language_model_sends_no_more_to_more_buckets():
+    import random
+
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randint(0, 9999)}" for _ in range(30)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"row": range(4000), "doc_id": range(4000), "text": texts})
+    words = list(ngram.read_words(iter([batch])))
+    assert len(words) == 1  # both runs of about a megabyte
+
+    def sent(buckets):
+        return sum(len(x) for rows in ngram.ask(1, buckets)(iter(words)) for x in rows.column("body").to_pylist())
+
+    assert sent(512) < 1.2 * sent(8)
+
+
 def test_language_model_on_edges(edges, no_docs, clashing):
     assert ngram.score(no_docs).count() == 0
     assert ngram.score(edges).where("score IS NULL").count() == 3

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 COUNTED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+COMPRESSED = "spark.sql.streaming.stateStore.rocksdb.compression"
+MAINTAINED = "spark.sql.streaming.stateStore.maintenanceInterval"
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -23,6 +28,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, and with those of before again at the end."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for checkpoints and derived tables.
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from receiptflow.session import CHANGES, COUNTED, work_folder
+from receiptflow.session import CHANGES, COMPRESSED, COUNTED, FREED, MAINTAINED, configured, work_folder
+from receiptflow.streaming.parts import drop
 
 
 def arrive(table: DataFrame, order: str, path: str, slices: int) -> Iterator[int]:
@@ -34,13 +35,15 @@ def replay(
     folder: str | None = None,
 ) -> None:
     """Let ``table`` arrive in slices, and run the query that ``start`` builds until it has caught up
-    after each. Every run but the first resumes from the checkpoint of the one before.
+    after each. Every run but the first resumes from the checkpoint of the one before. The files of a slice go when
+    it has been read.
     """
     spark = table.sparkSession
     folder = folder or work_folder(spark, "replay")
     for _ in arrive(table, order, f"{folder}/in", slices):
         source = spark.readStream.schema(table.schema).parquet(f"{folder}/in")
         catch_up(start(source), f"{folder}/checkpoint")
+        drop(spark, f"{folder}/in")
 
 
 def run_until(writer: DataStreamWriter, checkpoint: str, done: Callable[[StreamingQuery], bool], within: float = 1800) -> None:
@@ -73,20 +76,15 @@ def catch_up(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-@contextmanager
-def few_batches(spark: SparkSession) -> Iterator[None]:
+def few_batches(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside run a few large micro-batches, then stop: they keep whole states of the state store, not changes.
 
     The run after them starts from the files of the last state. From changes it would put all rows of all runs before
     into an empty store again, so that each run costs more than the last. The rows of the state are not counted, which
     asks the store once more for each row put; these runs report none (``state_rows``).
+
+    The disk holds little that is done with: a micro-batch's shuffles go when it ends, not when the driver happens to
+    collect its garbage, and the stores of a run that has ended are closed within seconds (the first stream that a
+    process runs decides how many). States are compressed more.
     """
-    settings = {CHANGES: "false", COUNTED: "false"}
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return configured(spark, {CHANGES: "false", COUNTED: "false", COMPRESSED: "zstd", MAINTAINED: "15s", FREED: "true"})

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -13,7 +14,7 @@ from receiptflow.operators.spend import TOTALS, spend
 from receiptflow.plans import catalog
 from receiptflow.plans.jobs import INPUTS, TABLES, Job
 from receiptflow.schemas import CUSTOMER, CUSTOMER_TRANSACTION, FRAUD_MARK, TRANSACTION
-from receiptflow.session import CHANGES, work_folder
+from receiptflow.session import CHANGES, FREED, work_folder
 from receiptflow.sinks import tables as table_sink
 from receiptflow.sinks.stream import console_sink, kafka_sink
 from receiptflow.sources.kafka import kafka_files
@@ -107,6 +108,37 @@ def test_a_replay_starts_from_whole_states(spark, tmp_path):
     assert sorted(r.receipt_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [f"r{i}" for i in range(10)]
 
 
+def test_a_replay_leaves_no_slices_and_shuffles(spark, tmp_path):
+    rows = spark.createDataFrame([sale("a", float(i), i % 7, f"r{i % 10}") + (i,) for i in range(50)], SALE + ", seq bigint")
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {int(name.split("_")[1]) for name in names if name.startswith("shuffle_")}
+
+    def start(stream):
+        return quality.dedupe(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+
+    before, freed = shuffles(), spark.conf.get(FREED, None)
+    replay(rows, "seq", start, 4, folder=str(tmp_path))
+    deadline = time.monotonic() + 30
+    # One is that of the least and largest number, from before the stream.
+    while len(shuffles() - before) > 1 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 1
+    assert not (tmp_path / "in").exists() and spark.conf.get(FREED, None) == freed
+    assert sorted(r.receipt_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [f"r{i}" for i in range(10)]
+
+
+def test_a_receipt_is_checked_in_the_part_of_its_order(spark):
+    keys = [(k, n) for k in (0, 1, -1, 12, -345, 2**63 - 1, -(2**63)) for n in (1, -2, None)]
+    rows = spark.createDataFrame(keys, "l_orderkey bigint, l_linenumber int")
+    receipt = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    order = catalog.order_of(receipt).cast("bigint")
+    parts = rows.select("l_orderkey", order.alias("order"), catalog.part_of_order(order).alias("a"), catalog.part_of_order(F.col("l_orderkey")).alias("b")).collect()
+    assert all(r.order == r.l_orderkey and r.a == r.b and 0 <= r.a < catalog.CHECKS for r in parts)
+
+
 def test_rows_with_copies(spark):
     """Absent values are equal, each row stays once, and a row that differs in one column is no copy."""
     row = ("r1", "c", "pr-1", "kettle", 1.0, 2, 2.0, None, "Cash")
